@@ -49,7 +49,11 @@ def carry_last(
     filled = df.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
 
     nearest = F.max_by if forward else F.min_by
-    position = F.when(F.col("_value").isNotNull(), F.struct(*[column(c) for c in order]))
+    # One order column as it is keeps the aggregate hash-based.
+    place = [column(c) for c in order]
+    position = F.when(
+        F.col("_value").isNotNull(), place[0] if len(place) == 1 else F.struct(*place)
+    )
     before = _ordered(keys, [chunk], forward).rowsBetween(Window.unboundedPreceding, -1)
     group = [*keys, chunk]
     carried = (

@@ -1,8 +1,9 @@
-"""Counts that describe a frame. Each report is one aggregate over one scan."""
+"""Counts that describe a frame."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,11 +14,6 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _surplus(name: str) -> Column:
-    """Non-NULL values of a column beyond the first of each kind."""
-    return F.count(column(name)) - F.count_distinct(column(name))
-
-
 def missing_profile(
     df: DataFrame, columns: Sequence[str] | None = None, text_nan: bool = False
 ) -> DataFrame:
@@ -59,23 +55,36 @@ def surplus_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     ).withColumn("surplus", F.col("row_count") - F.col("key_count"))
 
 
-def surplus_per_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: duplicated values of each column taken on its own."""
-    return df.select([_surplus(n).alias(n) for n in columns or df.columns])
+def _column_facts(df: DataFrame, name: str) -> DataFrame:
+    """One row about one column, from the counts of its values.
 
+    Only this column is read from a columnar source. A hot value is one entry
+    of the partial counts, and no distinct aggregate widens the rows.
+    """
+    kind = df.schema[name].dataType.simpleString()
+    value = column(name)
+    counts = df.groupBy(value.alias("value")).agg(
+        _rows().alias("n"), F.first(is_missing(df, name)).alias("gap")
+    )
+    total = lambda keep: F.coalesce(F.sum(F.when(keep, F.col("n"))), F.lit(0))
+    return counts.select(
+        F.lit(name).alias("column_name"),
+        F.lit(kind).alias("column_type"),
+        total(F.col("gap")).alias("missing"),
+        total(F.col("value").isNotNull()).alias("present"),
+        F.count("value").alias("distinct_values"),
+    )
 
-def exploration_report(df: DataFrame) -> DataFrame:
+
+def exploration_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: type, missing, present and distinct values."""
-    measured = df.agg(
-        *[
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("column_type"),
-                F.count_if(is_missing(df, field.name)).alias("missing"),
-                F.count(column(field.name)).alias("present"),
-                F.count_distinct(column(field.name)).alias("distinct_values"),
-            ).alias(f"_{i}")
-            for i, field in enumerate(df.schema.fields)
-        ]
+    return reduce(DataFrame.union, (_column_facts(df, n) for n in columns or df.columns))
+
+
+def surplus_per_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: each column's non-NULL values beyond the first of each kind."""
+    names = list(columns or df.columns)
+    surplus = F.col("present") - F.col("distinct_values")
+    return exploration_report(df, names).agg(
+        *[F.max(F.when(F.col("column_name") == n, surplus)).alias(n) for n in names]
     )
-    return measured.select(F.inline(F.array(*measured.columns)))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from keelstone import scratch
 from keelstone.operators import cleaning, gates, profile
@@ -19,7 +22,15 @@ from keelstone.sources.files import list_files, read_many
 
 @dataclass(frozen=True)
 class Settings:
-    """Inputs, output and switches of a run. All paths may be any Hadoop URI."""
+    """Inputs, output and switches of a run. All paths may be any Hadoop URI.
+
+    arrivals:         a folder whose files are aligned by name, or a list of paths.
+    arrivals_schema:  layout all arrival files are known to have; without it each
+                      file's layout is looked up, which suits hundreds of files.
+    count_inputs:     count the rows of the delimited sources for the report,
+                      which reads them once more.
+    check_keys:       prove that the fact's surrogate key is unique.
+    """
 
     arrivals: str | Sequence[str]
     cities: str
@@ -30,13 +41,15 @@ class Settings:
     arrivals_format: str = "parquet"
     arrivals_options: Mapping[str, str] = field(default_factory=dict)
     arrivals_limit: int | None = None
+    arrivals_schema: StructType | None = None
     label_section: str = labels.PORT_SECTION
     label_lines: tuple[int, int] | None = None
     distinct_dates: bool = False
     stable_fact_id: bool = False
     match_state: bool = False
     ignore_temperature_case: bool = False
-    check_keys: bool = True
+    check_keys: bool = False
+    count_inputs: bool = True
     show_missing: bool = False
 
 
@@ -44,6 +57,10 @@ class StageReport:
     """Rows and seconds of each stage, as a small DataFrame when asked for."""
 
     _SCHEMA = "stage string, rows_in long, rows_out long, seconds double"
+    _ORDER = [
+        t.name
+        for t in (star.DATES, star.FACT, star.PERSONS, star.CITIES, star.AIRPORTS, star.TEMPERATURES)
+    ]
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
@@ -55,15 +72,12 @@ class StageReport:
         started = time.perf_counter()
         written = write_checked(df, f"{base}/{table.folder}", table.partition_by)
         seconds = time.perf_counter() - started
-        into = written.rows if rows_in is None else rows_in
-        self._stages.append((table.name, into, written.rows, seconds))
+        self._stages.append((table.name, rows_in, written.rows, seconds))
         return written.table
 
-    def rows_out(self, stage: str) -> int:
-        return next(out for name, _, out, _ in self._stages if name == stage)
-
     def to_frame(self) -> DataFrame:
-        return self._spark.createDataFrame(self._stages, self._SCHEMA)
+        stages = sorted(self._stages, key=lambda s: self._ORDER.index(s[0]))
+        return self._spark.createDataFrame(stages, self._SCHEMA)
 
 
 def _note_missing(report: StageReport, name: str, df: DataFrame, settings: Settings) -> None:
@@ -71,6 +85,27 @@ def _note_missing(report: StageReport, name: str, df: DataFrame, settings: Setti
         report.missing[name] = profile.missing_profile(df)
 
 
+def _rows_in(df: DataFrame, settings: Settings) -> int | None:
+    return df.count() if settings.count_inputs else None
+
+
+def _side_by_side(spark: SparkSession, *jobs: Callable) -> list:
+    """Submit independent jobs together, so they share the cluster."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in running]
+
+
+def read_arrivals(spark: SparkSession, settings: Settings) -> DataFrame:
+    paths = settings.arrivals
+    if isinstance(paths, str):
+        paths = list_files(spark, paths)
+    return read_many(
+        spark, paths, settings.arrivals_format, settings.arrivals_limit,
+        settings.arrivals_options, settings.arrivals_schema,
+    )
+
+
 def load_arrivals(
     spark: SparkSession, settings: Settings, report: StageReport
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -80,30 +115,32 @@ def load_arrivals(
     staged once: narrowed to the columns needed, free of rows without
     citizenship, one row per cicid.
     """
-    paths = settings.arrivals
-    if isinstance(paths, str):
-        paths = list_files(spark, paths)
-    raw = read_many(
-        spark, paths, settings.arrivals_format, settings.arrivals_limit, settings.arrivals_options
-    )
+    raw = read_arrivals(spark, settings)
     _note_missing(report, "arrivals", raw, settings)
-    dates = report.write(
-        star.arrival_dates(raw, settings.distinct_dates), star.DATES, settings.output, None
-    )
     needed = raw.select(star.ARRIVAL_COLUMNS)
-    rows_in = raw.count() if settings.distinct_dates else report.rows_out(star.DATES.name)
-    cleaned = scratch.stage(cleaning.clean(needed, ["i94cit"], ["cicid"]).frame, "arrivals")
-    fact = report.write(
-        star.immigration_fact(cleaned, settings.stable_fact_id), star.FACT, settings.output, rows_in
-    )
-    if settings.check_keys:
-        gates.check_unique(fact, ["Immig_Fact_ID"])
-    travellers = cleaning.drop_missing(cleaned, ["fltno"])
-    persons = report.write(
-        star.person_details(travellers), star.PERSONS, settings.output,
-        report.rows_out(star.FACT.name),
-    )
-    return dates, fact, persons
+    rows_in = _rows_in(needed, settings)
+
+    def dates() -> DataFrame:
+        table = star.arrival_dates(needed, settings.distinct_dates)
+        return report.write(table, star.DATES, settings.output, rows_in)
+
+    def fact_and_persons() -> list[DataFrame]:
+        cleaned = scratch.stage(cleaning.clean(needed, ["i94cit"], ["cicid"]).frame, "arrivals")
+
+        def fact() -> DataFrame:
+            table = star.immigration_fact(cleaned, settings.stable_fact_id)
+            return report.write(table, star.FACT, settings.output, rows_in)
+
+        def persons() -> DataFrame:
+            table = star.person_details(cleaning.drop_missing(cleaned, ["fltno"]))
+            return report.write(table, star.PERSONS, settings.output, cleaned.count())
+
+        return _side_by_side(spark, fact, persons)
+
+    date_table, (fact_table, person_table) = _side_by_side(spark, dates, fact_and_persons)
+    if settings.check_keys or settings.stable_fact_id:
+        gates.check_unique(fact_table, ["Immig_Fact_ID"])
+    return date_table, fact_table, person_table
 
 
 def load_cities(
@@ -113,7 +150,7 @@ def load_cities(
     _note_missing(report, "cities", raw, settings)
     cleaned = cleaning.clean(raw.select([f"`{c}`" for c in star.CITY_COLUMNS]), dup_keys=["City"])
     table = star.us_cities(cleaned.frame, ports, settings.match_state)
-    return report.write(table, star.CITIES, settings.output, raw.count())
+    return report.write(table, star.CITIES, settings.output, _rows_in(raw, settings))
 
 
 def load_airports(
@@ -123,7 +160,7 @@ def load_airports(
     _note_missing(report, "airports", raw, settings)
     cleaned = cleaning.clean(raw.select(star.AIRPORT_COLUMNS), dup_keys=["ident", "name"])
     table = star.airports(cleaned.frame, ports)
-    return report.write(table, star.AIRPORTS, settings.output, raw.count())
+    return report.write(table, star.AIRPORTS, settings.output, _rows_in(raw, settings))
 
 
 def load_temperatures(
@@ -135,7 +172,7 @@ def load_temperatures(
         raw.select(star.TEMPERATURE_COLUMNS), ["AverageTemperature"], ["City"]
     )
     table = star.world_temperatures(cleaned.frame, ports, settings.ignore_temperature_case)
-    return report.write(table, star.TEMPERATURES, settings.output, raw.count())
+    return report.write(table, star.TEMPERATURES, settings.output, _rows_in(raw, settings))
 
 
 def load_ports(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -164,12 +201,22 @@ class Run:
 
 
 def run_all(spark: SparkSession, settings: Settings) -> Run:
-    """Build, write and check all six tables and register the query views."""
+    """Build, write and check all six tables and register the query views.
+
+    The four sources do not depend on each other, so their jobs are submitted
+    side by side and share the cluster.
+    """
     report = StageReport(spark)
-    ports = load_ports(spark, settings)
-    dates, fact, persons = load_arrivals(spark, settings, report)
-    cities = load_cities(spark, settings, ports, report)
-    airports = load_airports(spark, settings, ports, report)
-    temperatures = load_temperatures(spark, settings, ports, report)
+
+    def lookups() -> list[DataFrame]:
+        ports = load_ports(spark, settings)
+        loads = (load_cities, load_airports, load_temperatures)
+        return _side_by_side(
+            spark, *[lambda load=load: load(spark, settings, ports, report) for load in loads]
+        )
+
+    (dates, fact, persons), (cities, airports, temperatures) = _side_by_side(
+        spark, lambda: load_arrivals(spark, settings, report), lookups
+    )
     queries.register_views(fact, persons, cities)
     return Run(dates, fact, persons, cities, airports, temperatures, report)

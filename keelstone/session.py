@@ -30,3 +30,18 @@ def get_session(app_name: str = "keelstone", master: str | None = None, **conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the number of shuffle partitions for an input of this size.
+
+    Adaptive execution merges small partitions but only splits large ones in
+    skewed joins and rebalances, so the number to start from has to grow with
+    the data. Returns it.
+    """
+    partitions = min(max(200, -(-input_bytes // PARTITION_BYTES)), 200_000)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions

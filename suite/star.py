@@ -1,5 +1,7 @@
 """Whole runs: raw files written from the stand-ins, star-schema tables out."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from keelstone import scratch
@@ -69,8 +71,11 @@ def _settings(spark, folder, *needed):
         "temperatures": lambda: text("temperatures", ","),
         "labels": lambda: standins.write_label_file(spark, folder),
     }
-    paths = {name: write() if name in needed else "" for name, write in writers.items()}
-    return batch.Settings(output=f"{base}/tables", **paths)
+    with ThreadPoolExecutor(len(needed)) as pool:
+        written = {name: pool.submit(writers[name]) for name in needed}
+        paths = {name: job.result() for name, job in written.items()}
+    absent = dict.fromkeys(writers, "")
+    return batch.Settings(output=f"{base}/tables", **{**absent, **paths})
 
 
 def _everything(spark, folder):

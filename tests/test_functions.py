@@ -1,0 +1,89 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from keelstone.functions import dates, keys, text
+from keelstone.functions.missing import is_missing, known
+from tests.conftest import rows
+
+
+@pytest.mark.parametrize(
+    "number, expected",
+    [
+        (20574.0, "2016-04-30"),
+        (20574.9, "2016-04-30"),
+        (-0.5, "1959-12-31"),
+        (0.5, "1960-01-01"),
+        (0.0, None),
+        (-0.0, None),
+        (None, None),
+        (math.nan, None),
+        (math.inf, None),
+        (1e300, None),
+    ],
+)
+def test_day_number(spark, number, expected):
+    df = spark.createDataFrame([(number,)], "d double")
+    date, iso = df.select(
+        dates.day_number_to_date(F.col("d")), dates.day_number_to_iso(F.col("d"))
+    ).first()
+    assert iso == expected
+    assert date == (expected and dt.date.fromisoformat(expected))
+
+
+def test_day_number_of_integers_and_back(spark):
+    df = spark.createDataFrame([(-715509,), (2936549,), (1,)], "d int")
+    back = df.select("d", dates.date_to_day_number(dates.day_number_to_date(F.col("d"))))
+    assert all(a == b for a, b in back.collect())
+
+
+def test_date_parts(spark):
+    df = spark.sql("SELECT date'2016-04-30' AS d")
+    assert df.select(dates.date_parts(F.col("d"), "Arrive")).first().asDict() == {
+        "ArriveYear": 2016, "ArriveMonth": 4, "ArriveDay": 30, "Arrive_DayOfWeek": "Saturday",
+    }
+
+
+def test_missing_by_type(spark):
+    df = spark.sql(
+        """
+        SELECT * FROM VALUES
+          ('abc', double('NaN'), 1, date'2020-01-01', timestamp'2020-01-01 00:00:00', true),
+          ('NaN', 1.5D, CAST(NULL AS INT), NULL, NULL, NULL),
+          (NULL, CAST(NULL AS DOUBLE), 2, NULL, NULL, false)
+        AS t(s, d, i, day, ts, b)
+        """
+    )
+    count = lambda **o: df.select(
+        [F.count_if(is_missing(df, c, **o)).alias(c) for c in df.columns]
+    ).first().asDict()
+    assert count() == {"s": 1, "d": 2, "i": 1, "day": 2, "ts": 2, "b": 1}
+    assert count(text_nan=True)["s"] == 2
+    assert rows(df.select(known(df, "d"))) == [(1.5,), (None,), (None,)]
+
+
+def test_strip_removes_tabs_and_returns(spark):
+    df = spark.createDataFrame([("\t a b \r\n",), (" x ",), (None,)], "s string")
+    assert [r[0] for r in df.select(text.strip(F.col("s"))).collect()] == ["a b", "x", None]
+
+
+def test_clean_names(spark):
+    df = spark.createDataFrame([(1, 2)], ["a (b);\t", "{c d},\n"])
+    assert text.with_clean_names(df).columns == ["a_b", "c_d"]
+
+
+def test_first_digit_and_empty_text(spark):
+    df = spark.createDataFrame([("1a",), ("a1",), ("",), (None,)], "s string")
+    got = df.select(text.starts_with_digit(F.col("s")), text.empty_to_null(F.col("s"))).collect()
+    assert [tuple(r) for r in got] == [(True, "1a"), (False, "a1"), (False, None), (None, None)]
+
+
+def test_surrogate_ids(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a")], "x string, y string")
+    ids = df.select(keys.hashed_id("x", "y").alias("i"))
+    assert ids.distinct().count() == 3
+    assert rows(ids) == rows(df.repartition(3).select(keys.hashed_id("x", "y").alias("i")))
+    many = spark.range(1000).repartition(7).select(keys.running_id().alias("i"))
+    assert many.distinct().count() == 1000

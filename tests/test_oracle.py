@@ -1,0 +1,32 @@
+"""Every registered query equals its SQL in DuckDB, in names, types and rows."""
+
+import pytest
+
+from check import connect, difference
+from suite import ORACLES, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(FOLDER)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, db, name):
+    assert difference(spark, db, name, FOLDER) is None
+
+
+def test_entry(spark):
+    import __spark_entry__ as contract
+
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+    result = contract.entry(spark)
+    assert result.columns == ["count_F_Immg"]
+    counts = [r[0] for r in result.collect()]
+    assert counts and counts == sorted(counts, reverse=True)
