@@ -10,6 +10,7 @@ too many rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from keelstone.functions.missing import column
 
@@ -20,8 +21,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a text dictionary, reading no further than `max_rows` rows."""
-    width = sum((F.coalesce(F.octet_length(column(c)), F.lit(0)) for c in df.columns), F.lit(0))
+    """Measure a frame of flat columns, taking no more than `max_rows` rows of it."""
+    width = F.lit(8 * len(df.columns))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
     rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 

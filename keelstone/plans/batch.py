@@ -20,6 +20,10 @@ from keelstone.sources.delimited import read_delimited
 from keelstone.sources.files import list_files, read_many
 
 
+PORTS_STAGE = "ports"
+CLEANED_STAGE = "cleaned_arrivals"
+
+
 @dataclass(frozen=True)
 class Settings:
     """Inputs, output and switches of a run. All paths may be any Hadoop URI.
@@ -57,9 +61,10 @@ class StageReport:
     """Rows and seconds of each stage, as a small DataFrame when asked for."""
 
     _SCHEMA = "stage string, rows_in long, rows_out long, seconds double"
-    _ORDER = [
-        t.name
-        for t in (star.DATES, star.FACT, star.PERSONS, star.CITIES, star.AIRPORTS, star.TEMPERATURES)
+    # Fixed order, as stages run side by side.
+    STAGES = [
+        PORTS_STAGE, CLEANED_STAGE, star.DATES.name, star.FACT.name, star.PERSONS.name,
+        star.CITIES.name, star.AIRPORTS.name, star.TEMPERATURES.name,
     ]
 
     def __init__(self, spark: SparkSession):
@@ -67,8 +72,16 @@ class StageReport:
         self._stages: list[tuple] = []
         self.missing: dict[str, DataFrame] = {}
 
+    def stage(self, df: DataFrame, name: str, rows_in: int | None) -> DataFrame:
+        """Stage an intermediate frame and record it."""
+        started = time.perf_counter()
+        staged = scratch.stage(df, name)
+        rows = staged.count()
+        self._stages.append((name, rows_in, rows, time.perf_counter() - started))
+        return staged
+
     def write(self, df: DataFrame, table: star.Table, base: str, rows_in: int | None) -> DataFrame:
-        """Write one table behind the gate and record the stage."""
+        """Write one table behind the gate and record it."""
         started = time.perf_counter()
         written = write_checked(df, f"{base}/{table.folder}", table.partition_by)
         seconds = time.perf_counter() - started
@@ -76,7 +89,7 @@ class StageReport:
         return written.table
 
     def to_frame(self) -> DataFrame:
-        stages = sorted(self._stages, key=lambda s: self._ORDER.index(s[0]))
+        stages = sorted(self._stages, key=lambda s: self.STAGES.index(s[0]))
         return self._spark.createDataFrame(stages, self._SCHEMA)
 
 
@@ -125,7 +138,8 @@ def load_arrivals(
         return report.write(table, star.DATES, settings.output, rows_in)
 
     def fact_and_persons() -> list[DataFrame]:
-        cleaned = scratch.stage(cleaning.clean(needed, ["i94cit"], ["cicid"]).frame, "arrivals")
+        kept = cleaning.clean(needed, ["i94cit"], ["cicid"]).frame
+        cleaned = report.stage(kept, CLEANED_STAGE, rows_in)
 
         def fact() -> DataFrame:
             table = star.immigration_fact(cleaned, settings.stable_fact_id)
@@ -175,12 +189,12 @@ def load_temperatures(
     return report.write(table, star.TEMPERATURES, settings.output, _rows_in(raw, settings))
 
 
-def load_ports(spark: SparkSession, settings: Settings) -> DataFrame:
+def load_ports(spark: SparkSession, settings: Settings, report: StageReport) -> DataFrame:
     """Port dictionary, parsed once for all the lookups that use it."""
     ports = labels.read_ports(
         spark, settings.labels, settings.label_section, settings.label_lines
     )
-    return scratch.stage(ports, "ports")
+    return report.stage(ports, PORTS_STAGE, None)
 
 
 @dataclass(frozen=True)
@@ -209,7 +223,7 @@ def run_all(spark: SparkSession, settings: Settings) -> Run:
     report = StageReport(spark)
 
     def lookups() -> list[DataFrame]:
-        ports = load_ports(spark, settings)
+        ports = load_ports(spark, settings, report)
         loads = (load_cities, load_airports, load_temperatures)
         return _side_by_side(
             spark, *[lambda load=load: load(spark, settings, ports, report) for load in loads]

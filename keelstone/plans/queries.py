@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelstone.functions.missing import column
+from keelstone.operators.lookup import fits_broadcast
 
 # View names.
 FACT_VIEW = "Fact_Imm"
@@ -90,6 +91,19 @@ def arrivals_by_foreign_born(
     return counts.select(*shown).orderBy(F.desc(COUNT_NAME))
 
 
+def arrival_details(fact: DataFrame, persons: DataFrame, cities: DataFrame) -> DataFrame:
+    """Rows of the fact joined to its city by port and to its person by cicid.
+
+    Repeated names are told apart: the person's DepartureDate (a day number)
+    comes as PersonDepartureDate, the keys come once. A city table small enough
+    by measure is broadcast; the join by cicid is a shuffle join, in which
+    adaptive execution splits a key that holds too many rows.
+    """
+    people = persons.withColumnRenamed("DepartureDate", "PersonDepartureDate")
+    places = F.broadcast(cities) if fits_broadcast(cities) else cities
+    return fact.join(places, "AirPortCode").join(people, "cicid_Immigrant")
+
+
 def count_by_key_and_month(df: DataFrame, key: str, date: str) -> DataFrame:
     """Rows per key, year and month of a date column."""
     return df.groupBy(

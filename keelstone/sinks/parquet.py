@@ -32,6 +32,8 @@ def write_checked(
     values are read with the given schema instead of being guessed. An empty
     text as partition value comes back as NULL.
     """
+    if mode not in ("overwrite", "error", "errorifexists"):
+        raise ValueError(f"mode {mode} would mix the rows with those of another write")
     counted = Observation()
     ready = df if partition_by is None else df.hint("rebalance", partition_by)
     writer = ready.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)

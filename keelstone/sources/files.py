@@ -13,6 +13,9 @@ from keelstone.functions.missing import column
 
 LOOKUP_THREADS = 16
 
+# Formats of Spark's own that read many paths of one layout as one relation.
+SPLITTABLE_FORMATS = {"parquet", "orc", "csv", "json", "avro"}
+
 
 class SourceError(ValueError):
     """The given sources cannot be read as one table."""
@@ -52,7 +55,8 @@ def read_many(
     differently or hold more (ignored), but a missing one is an error. Files
     are grouped by layout and every layout is read as one relation, so the
     plan has as many inputs as there are layouts, not files. With `schema`
-    all files are trusted to have it and no layout is looked up.
+    all files are trusted to have it and no layout is looked up. `fmt` may
+    also name a third-party source; its files are read one by one.
     """
     chosen = within_budget(paths, limit)
     options = dict(options or {})
@@ -66,17 +70,18 @@ def read_many(
     with ThreadPoolExecutor(LOOKUP_THREADS) as pool:
         layouts = list(pool.map(lambda p: reader().load(p).schema, chosen))
     wanted = layouts[0].fieldNames()
+    grouped = fmt.lower() in SPLITTABLE_FORMATS
     groups: dict[str, tuple[StructType, list[str]]] = {}
     for path, layout in zip(chosen, layouts):
         lost = [name for name in wanted if name not in layout.fieldNames()]
         if lost:
             raise SourceError(f"{path} lacks the columns {lost}")
-        groups.setdefault(layout.json(), (layout, []))[1].append(path)
+        groups.setdefault(layout.json() if grouped else path, (layout, []))[1].append(path)
     frames = [
-        reader().schema(layout).load(members).select([column(n) for n in wanted])
+        (reader().schema(layout).load(members) if grouped else reader().load(members[0]))
         for layout, members in groups.values()
     ]
-    return reduce(DataFrame.union, frames)
+    return reduce(DataFrame.union, (f.select([column(n) for n in wanted]) for f in frames))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -40,8 +40,8 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     offsets = (
-        numbered.groupBy("file", "split")
-        .agg(F.max("_pos").cast("long").alias("_lines"))
+        lines.groupBy("file", "split")
+        .agg(F.count(F.lit(1)).alias("_lines"))
         .withColumn("_offset", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
         .drop("_lines")
     )

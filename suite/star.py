@@ -5,7 +5,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 
 from keelstone import scratch
-from keelstone.plans import batch
+from keelstone.operators import cleaning
+from keelstone.plans import batch, queries, star
 from suite import standins
 from suite.dates import DATES_SQL, fact_sql, person_sql
 from suite.lookups import airports_sql, cities_sql, temperatures_sql
@@ -93,7 +94,8 @@ def _arrivals(spark, folder):
 def _dimension(spark, folder, name):
     settings = _settings(spark, folder, name, "labels")
     load = getattr(batch, f"load_{name}")
-    return load(spark, settings, batch.load_ports(spark, settings), batch.StageReport(spark))
+    report = batch.StageReport(spark)
+    return load(spark, settings, batch.load_ports(spark, settings, report), report)
 
 
 @query(DATES_SQL)
@@ -138,6 +140,26 @@ def star_flagship(spark, folder):
     return _everything(spark, folder).arrivals_by_foreign_born(with_key=True)
 
 
+@query(
+    f"""
+    SELECT f.*, p.* EXCLUDE ("cicid_Immigrant", "DepartureDate"),
+           p."DepartureDate" AS "PersonDepartureDate", c.* EXCLUDE ("AirPortCode")
+    FROM ({fact_sql(standins.ARRIVALS_SQL)}) AS f
+    JOIN ({_CITIES}) AS c ON f."AirPortCode" = c."AirPortCode"
+    JOIN ({_PERSONS}) AS p ON f."cicid_Immigrant" = p."cicid_Immigrant"
+    """
+)
+def arrival_details(spark, folder):
+    raw = standins.arrivals(spark, folder)
+    people = cleaning.clean(raw, ["i94cit"], ["cicid"]).frame
+    towns = cleaning.keep_first(standins.cities(spark, folder), ["City"])
+    return queries.arrival_details(
+        star.immigration_fact(raw).drop("Immig_Fact_ID"),
+        star.person_details(cleaning.drop_missing(people, ["fltno"])),
+        star.us_cities(towns, standins.ports(spark, folder)),
+    )
+
+
 def _stage_sql(stage, rows_in, rows_out):
     return f"""
         SELECT '{stage}' AS stage, (SELECT count(*) FROM ({rows_in})) AS rows_in,
@@ -148,6 +170,8 @@ def _stage_sql(stage, rows_in, rows_out):
 @query(
     " UNION ALL ".join(
         [
+            "SELECT 'ports' AS stage, NULL AS rows_in, count(*) AS rows_out FROM supplier",
+            _stage_sql("cleaned_arrivals", "FROM lineitem", _CLEAN_ARRIVALS),
             _stage_sql("D_DateTime", "FROM lineitem", "FROM lineitem"),
             _stage_sql("Fact_Immigrant", "FROM lineitem", _FACT),
             _stage_sql("D_Immigrant_detail", _FACT, _PERSONS),

@@ -162,9 +162,9 @@ def test_lookup_fans_out_and_keeps_all_rows(spark, max_rows):
 
 def test_dictionary_size_is_measured(spark):
     df = spark.range(10).selectExpr("repeat('x', 100) AS s")
-    assert fits_broadcast(df, 10, 1000)
+    assert fits_broadcast(df, 10, 1080)
     assert not fits_broadcast(df, 9, 10**6)
-    assert not fits_broadcast(df, 10, 999)
+    assert not fits_broadcast(df, 10, 1079)
     assert fits_broadcast(df.where("false"))
 
 

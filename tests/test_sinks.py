@@ -64,3 +64,8 @@ def test_scratch_lives_in_the_shared_folder(spark):
     staged = scratch.stage(spark.range(3), "numbers")
     assert all(root in path for path in staged.inputFiles())
     assert rows(staged) == [(0,), (1,), (2,)]
+
+
+def test_append_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_checked(spark.range(1), str(tmp_path / "t"), mode="append")

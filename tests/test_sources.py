@@ -153,3 +153,10 @@ def test_delimited_forms(spark, tmp_path):
     assert raw.columns == ["_c0", "_c1", "_c2"] and raw.count() == 3
     with pytest.raises(ValueError, match="nosuch"):
         read_delimited(spark, path, ";", types={"nosuch": "int"})
+
+
+def test_sources_without_multi_path_schemas_are_read_one_by_one(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(name * 3)
+    got = read_many(spark, list_files(spark, str(tmp_path)), "binaryFile")
+    assert rows(got.selectExpr("cast(content AS string)", "length")) == [("aaa", 3), ("bbb", 3)]

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelstone import DataQualityError, Settings, run_all
+from keelstone.__main__ import main
 from keelstone.operators import cleaning
 from keelstone.plans import batch, queries, star
 from keelstone.session import size_shuffles
@@ -104,7 +105,8 @@ def test_whole_run(spark, sources):
     assert rows(run.arrivals_by_foreign_born(with_key=True)) == [(77, 2)]
     assert queries.arrivals_by_foreign_born_sql(spark).collect() == [(2,)]
     assert [tuple(r) for r in run.report.to_frame().drop("seconds").collect()] == [
-        ("D_DateTime", 7, 7), ("Fact_Immigrant", 7, 4), ("D_Immigrant_detail", 4, 3),
+        ("ports", None, 3), ("cleaned_arrivals", 7, 4), ("D_DateTime", 7, 7),
+        ("Fact_Immigrant", 7, 4), ("D_Immigrant_detail", 4, 3),
         ("D_USCities", 3, 3), ("D_AirPort", 3, 3), ("D_WorldTemp", 4, 2),
     ]
 
@@ -212,3 +214,13 @@ def test_shuffles_grow_with_the_input(spark, settings):
     assert size_shuffles(spark, 10) == 200
     assert size_shuffles(spark, 100 * 1024**4) == 200_000
     assert size_shuffles(spark, 1024**4) == 5243
+
+
+def test_command_line(spark, sources, capsys):
+    names = ("cities", "airports", "temperatures", "labels", "output")
+    paths = [p for n in names for p in (f"--{n}", getattr(sources, n))]
+    arrivals = sources.arrivals[0]
+    main(["--arrivals", arrivals, "--arrivals-limit", "1", "--show-missing", *paths])
+    shown = capsys.readouterr().out
+    assert "Missing values in arrivals" in shown and "Fact_Immigrant" in shown
+    assert "count_F_Immg" in shown
