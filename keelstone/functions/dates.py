@@ -12,6 +12,9 @@ DAY_ZERO = dt.date(1960, 1, 1)
 FIRST_DAY = (dt.date.min - DAY_ZERO).days
 LAST_DAY = (dt.date.max - DAY_ZERO).days
 
+# Weekday names, in the order of `dayofweek` (1 is Sunday).
+WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
 
 def day_number_to_date(days: Column) -> Column:
     """Day number to date; a fraction is floored.
@@ -33,11 +36,16 @@ def date_to_day_number(date: Column) -> Column:
     return F.datediff(date, F.lit(DAY_ZERO)).cast("double")
 
 
+def weekday_name(date: Column) -> Column:
+    """Full English name; a constant lookup, without a trip through timestamps."""
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(date))
+
+
 def date_parts(date: Column, prefix: str) -> list[Column]:
     """Year, month, day and full English weekday name of a date."""
     return [
         F.year(date).alias(f"{prefix}Year"),
         F.month(date).alias(f"{prefix}Month"),
         F.dayofmonth(date).alias(f"{prefix}Day"),
-        F.date_format(date, "EEEE").alias(f"{prefix}_DayOfWeek"),
+        weekday_name(date).alias(f"{prefix}_DayOfWeek"),
     ]

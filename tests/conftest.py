@@ -4,7 +4,7 @@ from keelstone import get_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = get_session(
         "tests",
         "local[8]",
@@ -13,8 +13,6 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
     )
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -46,6 +46,14 @@ def test_date_parts(spark):
     }
 
 
+def test_weekday_names(spark):
+    days = spark.sql("SELECT explode(sequence(date'2023-12-25', date'2024-01-08')) AS d")
+    named = days.select(dates.weekday_name(F.col("d")), F.date_format("d", "EEEE"))
+    assert all(a == b for a, b in named.collect())
+    nothing = spark.sql("SELECT CAST(NULL AS DATE) AS d")
+    assert nothing.select(dates.weekday_name(F.col("d"))).first()[0] is None
+
+
 def test_missing_by_type(spark):
     df = spark.sql(
         """

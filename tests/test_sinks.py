@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -57,15 +59,30 @@ def test_write_new_refuses_to_overwrite(spark, tmp_path):
         write_new(spark.range(2).toDF("a"), path)
 
 
-def test_scratch_lives_in_the_shared_folder(spark):
+def test_staged_tables_live_in_the_shared_folder(spark):
     root = scratch.shared_root(spark)
-    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch.new_folder(spark, "x") != scratch.new_folder(spark, "x")
     staged = scratch.stage(spark.range(3), "numbers")
     assert all(root in path for path in staged.inputFiles())
     assert rows(staged) == [(0,), (1,), (2,)]
 
 
+def _session(master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=conf.get),
+        sparkContext=SimpleNamespace(master=master, applicationId="app"),
+    )
+
+
+def test_shared_folder_comes_from_the_session():
+    named = _session("yarn", **{"spark.checkpoint.dir": "hdfs://x/y/"})
+    assert scratch.shared_root(named) == "hdfs://x/y"
+    with pytest.raises(RuntimeError):
+        scratch.shared_root(_session("yarn"))
+    local = _session("local[2]")
+    assert scratch.shared_root(local) == scratch.shared_root(local)
+
+
 def test_append_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         write_checked(spark.range(1), str(tmp_path / "t"), mode="append")

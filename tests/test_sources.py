@@ -56,6 +56,8 @@ def test_lines_are_numbered(spark, label_file):
     lines = labels.read_lines(spark, label_file)
     numbered = {r.line_no: r.line for r in lines.collect()}
     assert numbered == dict(enumerate(LABELS.split("\r\n")[:-1], start=1))
+    splits = lines.select("split").distinct().count()
+    assert splits == 1 or splits > 5
 
 
 def test_port_section(spark, label_file):
