@@ -42,6 +42,11 @@ def city_and_state(label: Column) -> tuple[Column, Column]:
     return city, state
 
 
+def us_state(region: Column) -> Column:
+    """State of a 'US-XX' region; NULL for other countries."""
+    return F.nullif(F.regexp_extract(region, "^US-(.+)$", 1), F.lit(""))
+
+
 def starts_with_digit(text: Column) -> Column:
     return text.rlike("^[0-9]")
 

@@ -33,6 +33,7 @@ class Settings:
                       file's layout is looked up, which suits hundreds of files.
     count_inputs:     count the rows of the delimited sources for the report,
                       which reads them once more.
+    match_state:      match cities and airports to ports by city and state.
     check_keys:       prove that the fact's surrogate key is unique.
     """
 
@@ -172,8 +173,10 @@ def load_airports(
 ) -> DataFrame:
     raw = read_delimited(spark, settings.airports, types=star.AIRPORT_TYPES)
     _note_missing(report, "airports", raw, settings)
-    cleaned = cleaning.clean(raw.select(star.AIRPORT_COLUMNS), dup_keys=["ident", "name"])
-    table = star.airports(cleaned.frame, ports)
+    region = [star.REGION_COLUMN] if settings.match_state else []
+    needed = raw.select(star.AIRPORT_COLUMNS + region)
+    cleaned = cleaning.clean(needed, dup_keys=["ident", "name"])
+    table = star.airports(cleaned.frame, ports, settings.match_state)
     return report.write(table, star.AIRPORTS, settings.output, _rows_in(raw, settings))
 
 

@@ -104,11 +104,12 @@ def arrival_details(fact: DataFrame, persons: DataFrame, cities: DataFrame) -> D
     return fact.join(places, "AirPortCode").join(people, "cicid_Immigrant")
 
 
-def count_by_key_and_month(df: DataFrame, key: str, date: str) -> DataFrame:
-    """Rows per key, year and month of a date column."""
-    return df.groupBy(
-        column(key), F.year(column(date)).alias("year"), F.month(column(date)).alias("month")
-    ).agg(F.count(F.lit(1)).alias("row_count"))
+def count_by_period(df: DataFrame, key: str, date: str, monthly: bool = True) -> DataFrame:
+    """Rows per key and year, or per key, year and month, of a date column."""
+    periods = [F.year(column(date)).alias("year")]
+    if monthly:
+        periods.append(F.month(column(date)).alias("month"))
+    return df.groupBy(column(key), *periods).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def largest_groups(df: DataFrame, key: str, k: int, count_name: str = "row_count") -> DataFrame:

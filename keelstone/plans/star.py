@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keelstone.functions import dates, keys
+from keelstone.functions import dates, keys, text
 from keelstone.functions.missing import column
 from keelstone.operators.lookup import attach_port_codes
 
@@ -44,6 +44,7 @@ CITY_COLUMNS = [
 AIRPORT_COLUMNS = [
     "ident", "type", "name", "municipality", "elevation_ft", "iso_country", "coordinates",
 ]
+REGION_COLUMN = "iso_region"
 TEMPERATURE_COLUMNS = ["dt", "AverageTemperature", "City", "Latitude", "Longitude"]
 
 # Types of the delimited sources; columns not named are text.
@@ -126,11 +127,16 @@ def us_cities(cities: DataFrame, ports: DataFrame, match_state: bool = False) ->
     )
 
 
-def airports(airports: DataFrame, ports: DataFrame) -> DataFrame:
-    """Airport dimension, port codes by upper-cased municipality."""
+def airports(airports: DataFrame, ports: DataFrame, match_state: bool = False) -> DataFrame:
+    """Airport dimension, port codes by upper-cased municipality.
+
+    Municipalities are matched world-wide. `match_state` also compares the
+    state in iso_region, so that only airports in the US find a port.
+    """
     raised = airports.withColumn("municipality", F.upper("municipality"))
+    state = text.us_state(F.col(REGION_COLUMN)) if match_state else None
     return _project(
-        attach_port_codes(raised, ports, F.col("municipality")),
+        attach_port_codes(raised, ports, F.col("municipality"), state),
         AirPortCode="AirPortCode",
         AirPortID="ident",
         Type="type",

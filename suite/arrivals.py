@@ -76,9 +76,18 @@ def flagship_top50(spark, folder):
     """
 )
 def count_by_key_month(spark, folder):
-    return queries.count_by_key_and_month(
-        table(spark, folder, "orders"), "o_orderstatus", "o_orderdate"
-    )
+    return queries.count_by_period(table(spark, folder, "orders"), "o_orderstatus", "o_orderdate")
+
+
+@query(
+    """
+    SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS row_count
+    FROM orders GROUP BY ALL
+    """
+)
+def count_by_key_year(spark, folder):
+    orders = table(spark, folder, "orders")
+    return queries.count_by_period(orders, "o_custkey", "o_orderdate", monthly=False)
 
 
 @query("SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5")

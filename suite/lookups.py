@@ -21,13 +21,14 @@ def cities_sql(source, extra=""):
     """
 
 
-def airports_sql(source):
+def airports_sql(source, extra=""):
     return f"""
         SELECT port_code AS "AirPortCode", ident AS "AirPortID", type AS "Type",
                name AS "AirportName", upper(municipality) AS "CityName",
                elevation_ft AS "Elevation", iso_country AS "Country",
                coordinates AS "Coordinates"
         FROM ({source}) AS s LEFT JOIN ({PORTS_SQL}) AS p ON upper(municipality) = port_city
+            {extra}
     """
 
 
@@ -67,6 +68,11 @@ def lookup_two_keys(spark, folder):
     return star.us_cities(cities(spark, folder), ports(spark, folder), match_state=True)
 
 
+@query(airports_sql(AIRPORTS_SQL, "AND iso_region = 'US-' || port_state"))
+def lookup_airports_two_keys(spark, folder):
+    return star.airports(airports(spark, folder), ports(spark, folder), match_state=True)
+
+
 @query(
     f"""
     SELECT count(*) AS row_count, count(*) FILTER ("AirPortCode" IS NULL) AS misses

@@ -164,7 +164,8 @@ AIRPORTS_SQL = """
            CASE WHEN p_size > 3 THEN 'Town ' || CAST(floor(p_partkey / 40) AS BIGINT) END
                AS municipality,
            NULLIF(p_size, 50) AS elevation_ft, p_brand AS iso_country,
-           p_partkey || ', ' || p_size AS coordinates
+           p_partkey || ', ' || p_size AS coordinates,
+           CASE WHEN p_type = 'ECONOMY' THEN 'CA-S' ELSE 'US-S' END || p_size AS iso_region
     FROM part
 """
 
@@ -179,6 +180,8 @@ def airports(spark, folder):
         F.nullif(size, F.lit(50)).alias("elevation_ft"),
         F.col("p_brand").alias("iso_country"),
         F.concat(part, F.lit(", "), size).alias("coordinates"),
+        F.concat(F.when(F.col("p_type") == "ECONOMY", "CA-S").otherwise("US-S"), size)
+        .alias("iso_region"),
     )
 
 

@@ -38,10 +38,10 @@ Springfield;Illinois;33.5;1000;10;77;2.5;IL;X
 Springfield;Missouri;34.5;2000;20;78;2.5;MO;Y
 Shelbyville;Tennessee;30;500;;;2.1;TN;X
 """
-AIRPORTS = """ident,type,name,elevation_ft,iso_country,municipality,coordinates
-I1,small_airport,One,11,US,springfield,"-70, 40"
-I1,small_airport,One,12,US,springfield,"-70, 40"
-I2,heliport,Two,,CA,Ottawa,"-75, 45"
+AIRPORTS = """ident,type,name,elevation_ft,iso_country,iso_region,municipality,coordinates
+I1,small_airport,One,11,US,US-MO,springfield,"-70, 40"
+I1,small_airport,One,12,US,US-MO,springfield,"-70, 40"
+I2,heliport,Two,,CA,CA-ON,Ottawa,"-75, 45"
 """
 TEMPERATURES = """dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude,Longitude
 1850-01-01,,1.0,Springfield,US,40N,70W
@@ -123,6 +123,7 @@ def test_options(spark, sources):
     assert rows(run.temperatures.select("AirPortCode", "CityName")) == [
         ("AA2", "Springfield"), ("AAA", "Springfield"), ("BBB", "SHELBYVILLE"),
     ]
+    assert rows(run.airports.select("AirPortCode", "AirPortID")) == [("AA2", "I1"), (None, "I2")]
     missing = run.report.missing
     assert missing["arrivals"].first()["i94cit"] == 1
     assert missing["cities"].first()["Foreign-born"] == 1
@@ -202,7 +203,8 @@ def test_top_groups_and_months(spark):
     assert [tuple(r) for r in queries.largest_groups(df, "k", 3).collect()] == [
         ("a", 2), (None, 1), ("b", 1),
     ]
-    assert rows(queries.count_by_key_and_month(df, "k", "d")) == [
+    assert ("a", 2020, 2) in rows(queries.count_by_period(df, "k", "d", monthly=False))
+    assert rows(queries.count_by_period(df, "k", "d")) == [
         ("a", 2020, 1, 2), ("b", 2020, 2, 1), ("c", 2019, 2, 1), (None, None, None, 1),
     ]
     assert queries.preview(df, 2).count() == 2
