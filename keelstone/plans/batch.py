@@ -14,10 +14,11 @@ from pyspark.sql.types import StructType
 from keelstone import scratch
 from keelstone.operators import cleaning, gates, profile
 from keelstone.plans import queries, star
+from keelstone.session import shuffles_for
 from keelstone.sinks.parquet import write_checked
 from keelstone.sources import labels
 from keelstone.sources.delimited import read_delimited
-from keelstone.sources.files import list_files, read_many
+from keelstone.sources.files import list_files, read_many, total_bytes, within_budget
 
 
 PORTS_STAGE = "ports"
@@ -110,14 +111,12 @@ def _side_by_side(spark: SparkSession, *jobs: Callable) -> list:
         return [job.result() for job in running]
 
 
-def read_arrivals(spark: SparkSession, settings: Settings) -> DataFrame:
+def arrival_paths(spark: SparkSession, settings: Settings) -> list[str]:
+    """Arrival files of the run: sorted, and within the file budget."""
     paths = settings.arrivals
     if isinstance(paths, str):
         paths = list_files(spark, paths)
-    return read_many(
-        spark, paths, settings.arrivals_format, settings.arrivals_limit,
-        settings.arrivals_options, settings.arrivals_schema,
-    )
+    return within_budget(paths, settings.arrivals_limit)
 
 
 def load_arrivals(
@@ -129,7 +128,10 @@ def load_arrivals(
     staged once: narrowed to the columns needed, free of rows without
     citizenship, one row per cicid.
     """
-    raw = read_arrivals(spark, settings)
+    raw = read_many(
+        spark, arrival_paths(spark, settings), settings.arrivals_format,
+        options=settings.arrivals_options, schema=settings.arrivals_schema,
+    )
     _note_missing(report, "arrivals", raw, settings)
     needed = raw.select(star.ARRIVAL_COLUMNS)
     rows_in = _rows_in(needed, settings)
@@ -232,8 +234,11 @@ def run_all(spark: SparkSession, settings: Settings) -> Run:
             spark, *[lambda load=load: load(spark, settings, ports, report) for load in loads]
         )
 
-    (dates, fact, persons), (cities, airports, temperatures) = _side_by_side(
-        spark, lambda: load_arrivals(spark, settings, report), lookups
-    )
+    inputs = [*arrival_paths(spark, settings), settings.cities, settings.airports,
+              settings.temperatures]
+    with shuffles_for(spark, total_bytes(spark, inputs)):
+        (dates, fact, persons), (cities, airports, temperatures) = _side_by_side(
+            spark, lambda: load_arrivals(spark, settings, report), lookups
+        )
     queries.register_views(fact, persons, cities)
     return Run(dates, fact, persons, cities, airports, temperatures, report)

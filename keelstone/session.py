@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings the plans in this package count on. All are ordinary Spark options;
@@ -11,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Also the size at which a rebalance cuts hot partition values: larger
+    # output files than the 64 MB Spark starts from.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -33,15 +39,22 @@ def get_session(app_name: str = "keelstone", master: str | None = None, **conf)
 
 
 PARTITION_BYTES = 200 * 1024 * 1024
+MAX_PARTITIONS = 200_000
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set the number of shuffle partitions for an input of this size.
+@contextmanager
+def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Raise the number of shuffle partitions to suit an input of this size.
 
     Adaptive execution merges small partitions but only splits large ones in
     skewed joins and rebalances, so the number to start from has to grow with
-    the data. Returns it.
+    the data. A higher setting stands; the old one returns at the end.
     """
-    partitions = min(max(200, -(-input_bytes // PARTITION_BYTES)), 200_000)
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    return partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    wanted = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    number = max(int(before), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", number)
+    try:
+        yield number
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from keelstone.functions.missing import column
@@ -33,6 +33,12 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> lis
     return [row.path for row in reader.load(folder).select("path").orderBy("path").collect()]
 
 
+def total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Size of all files at or below `paths`, from the listing alone."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+
+
 def within_budget(paths: Sequence[str], limit: int | None) -> list[str]:
     """First `limit` paths in name order; no limit (None or <= 0) keeps all."""
     if not paths:

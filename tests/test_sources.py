@@ -2,7 +2,9 @@ import pytest
 
 from keelstone.sources import labels
 from keelstone.sources.delimited import read_delimited
-from keelstone.sources.files import SourceError, list_files, read_many, within_budget
+from keelstone.sources.files import (
+    SourceError, list_files, read_many, total_bytes, within_budget,
+)
 from tests.conftest import rows
 
 LABELS = "\r\n".join(
@@ -101,6 +103,14 @@ def test_list_files_skips_folders_and_filters(spark, tmp_path):
     assert [p.rsplit("/", 1)[1] for p in list_files(spark, str(tmp_path), "*.txt")] == ["a.txt"]
 
 
+def test_total_bytes(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a").write_text("12")
+    (tmp_path / "sub" / "b").write_text("345")
+    assert total_bytes(spark, [str(tmp_path)]) == 5
+    assert total_bytes(spark, [str(tmp_path / "a"), str(tmp_path / "sub")]) == 5
+
+
 @pytest.mark.parametrize("limit, count", [(1, 1), (2, 2), (None, 3), (0, 3), (-1, 3), (9, 3)])
 def test_file_budget(limit, count):
     assert within_budget(["c", "a", "b"], limit) == ["a", "b", "c"][:count]

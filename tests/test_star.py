@@ -8,7 +8,7 @@ from keelstone import DataQualityError, Settings, run_all
 from keelstone.__main__ import main
 from keelstone.operators import cleaning
 from keelstone.plans import batch, queries, star
-from keelstone.session import size_shuffles
+from keelstone.session import shuffles_for
 from suite import QUERIES
 from tests.conftest import final_plan, rows
 
@@ -211,11 +211,13 @@ def test_top_groups_and_months(spark):
     assert queries.preview(df.dropna(), 1, "d").first().k == "c"
 
 
-def test_shuffles_grow_with_the_input(spark, settings):
-    settings(spark__sql__shuffle__partitions="8")
-    assert size_shuffles(spark, 10) == 200
-    assert size_shuffles(spark, 100 * 1024**4) == 200_000
-    assert size_shuffles(spark, 1024**4) == 5243
+def test_shuffles_grow_with_the_input(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    for size, number in ((10, int(before)), (1024**4, 5243), (100 * 1024**4, 200_000)):
+        with shuffles_for(spark, size) as chosen:
+            assert chosen == number == int(spark.conf.get(setting))
+        assert spark.conf.get(setting) == before
 
 
 def test_command_line(spark, sources, capsys):
