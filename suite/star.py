@@ -55,10 +55,10 @@ def _settings(spark, folder, *needed):
     """Write the raw sources named in `needed` and describe the run over them."""
     base = scratch.new_folder(spark, "sources")
 
-    def month(status):
-        rows = standins.arrivals(spark, folder).where(F.col("i94addr") == status)
-        rows.write.parquet(f"{base}/arrivals-{status}")
-        return f"{base}/arrivals-{status}"
+    def months():
+        rows = standins.arrivals(spark, folder).withColumn("month", F.col("i94addr"))
+        rows.write.partitionBy("month").parquet(f"{base}/arrivals")
+        return [f"{base}/arrivals/month={status}" for status in ("F", "O")]
 
     def text(name, sep):
         frame = getattr(standins, name)(spark, folder)
@@ -66,7 +66,7 @@ def _settings(spark, folder, *needed):
         return f"{base}/{name}"
 
     writers = {
-        "arrivals": lambda: [month("F"), month("O")],
+        "arrivals": months,
         "cities": lambda: text("cities", ";"),
         "airports": lambda: text("airports", ","),
         "temperatures": lambda: text("temperatures", ","),

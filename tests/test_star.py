@@ -179,6 +179,17 @@ def test_flagship_with_hot_keys_equals_brute_force(spark):
     assert rows(unique) == expected
 
 
+def test_flagship_never_forms_the_pairs_of_a_hot_key(spark):
+    size = 300_000
+    fact = spark.range(size).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS cicid_Immigrant", "IF(id % 3 = 0, 'P', 'Q') AS AirPortCode"
+    )
+    persons = spark.range(size).selectExpr("IF(id % 3 = 0, 0, id) AS cicid_Immigrant")
+    cities = spark.createDataFrame([("P", 1), ("Q", 2)], "AirPortCode string, ForeignBorn int")
+    counts = queries.arrivals_by_foreign_born(fact, persons, cities, with_key=True)
+    assert rows(counts) == [(1, (size // 3) ** 2), (2, size - size // 3)]
+
+
 def test_flagship_reads_only_keys(spark):
     plan = final_plan(QUERIES["flagship_group_count"](spark, "/root/testdata/sf0.001"))
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan
