@@ -20,7 +20,6 @@ from keelstone.sources import labels
 from keelstone.sources.delimited import read_delimited
 from keelstone.sources.files import list_files, read_many, total_bytes, within_budget
 
-
 PORTS_STAGE = "ports"
 CLEANED_STAGE = "cleaned_arrivals"
 

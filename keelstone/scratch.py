@@ -59,7 +59,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> bool:
-    """Delete what this application staged. Call it once results are consumed."""
+    """Delete the tables this application staged, once results are consumed.
+
+    Checkpoints stay: Spark owns them and removes them by its cleaner settings.
+    """
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(_own_root(spark))
     return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
