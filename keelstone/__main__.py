@@ -15,8 +15,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--arrivals-limit", type=int, help="read only the first N files")
     parser.add_argument("--match-state", action="store_true", help="match ports by city and state")
     parser.add_argument("--show-missing", action="store_true", help="profile missing values")
+    settings = Settings(**vars(parser.parse_args(arguments)))
     spark = get_session()
-    run = run_all(spark, Settings(**vars(parser.parse_args(arguments))))
+    run = run_all(spark, settings)
     for name, counts in run.report.missing.items():
         print(f"Missing values in {name}:")
         counts.show(truncate=False)
