@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelstone.llm import ngram_join, quality_rules
+from keelstone.llm import ngram_join, packing, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query()
 def op1_ngram_jaccard_join(spark, folder):
     """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
@@ -71,3 +77,32 @@ def op7_quality_rules(spark, folder):
         (~quality_rules.passes("base")).alias("base_failed"),
         quality_rules.passes().alias("kept"),
     )
+
+
+@query()
+def op2_packing(spark, folder):
+    """Pieces of all documents in sequences of 2,048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+           FROM documents),
+w AS (SELECT doc_id, words, generate_subscripts(words, 1) AS i FROM t),
+g AS (SELECT doc_id, i, hash(list_slice(words, i, i + 12)) AS gram FROM w WHERE i + 12 <= len(words)),
+f AS (SELECT gram, min(doc_id) AS first_doc FROM g GROUP BY gram),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN f USING (gram)
+      WHERE first_doc < doc_id),
+k AS (SELECT w.doc_id, string_agg(words[w.i], ' ' ORDER BY w.i) FILTER (c.i IS NULL) AS kept,
+             count(c.i) AS n_removed
+      FROM w LEFT JOIN c ON w.doc_id = c.doc_id AND w.i = c.i GROUP BY w.doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)
+"""
+
+
+@query(OP3_SQL)
+def op3_substring_dedup(spark, folder):
+    """Words that remain when repeats of 13 words or more are removed."""
+    return substring_dedup.digest(table(spark, folder, "documents"))
