@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelstone.llm import ngram_join, packing, quality_rules, substring_dedup
+from keelstone.llm import decontaminate, ngram_join, packing, quality_rules, substring_dedup
 from keelstone.llm.queries import table, tokenizer_path
 from keelstone.llm.shared import stage
 
@@ -29,6 +29,11 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, REPEAT_WORDS)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage close to a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
     return packing.pack(docs, tokenizer_path())
@@ -38,6 +43,7 @@ STAGES = [
     ("quality_rules", quality),
     ("ngram_jaccard_join", near_duplicates),
     ("substring_dedup", repeats),
+    ("benchmark_decontamination", decontaminated),
     ("packing", packed),
 ]
 

@@ -20,8 +20,9 @@ table gives no pieces.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ LENGTH = 2048
 BLOCK_TOKENS = 2048 * LENGTH
 END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_000_000
+TEXT_BLOCK_BYTES = 2 * 1024 * 1024
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -42,23 +44,71 @@ SCHEMA = (
 )
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+# Words of Latin letters, then perhaps marks: their pre-tokens are the letters and the marks.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
 
-    return Tokenizer.from_file(path)
+
+def _byte_letters() -> list[str]:
+    """Letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from 256 up."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
 class WordTokens:
-    """Token ids by word, for a tokenizer that never joins over white space.
+    """Token ids by word, for a byte-level tokenizer that never joins over white space.
 
-    Every distinct word is given to the tokenizer once while it is cached; the
-    cache is emptied when it is full.
+    Every distinct word (by its 64-bit hash) is tokenised once. Words of plain Latin letters go
+    to the tokenizer's model directly, which skips its text handling; all others, and the marks
+    behind words, go through the whole tokenizer. What is known is forgotten when it grows too large.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.at = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+        self.stems: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"": []}
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _word(self, word: str) -> list[int]:
+        plain = _PLAIN.fullmatch(word)
+        if plain is None:
+            return self._encode(word)
+        stem, mark = plain[1].lower(), plain[2]
+        ids = self.stems.get(stem)
+        if ids is None:
+            spelled = stem if stem.isascii() else "".join([self.letters[b] for b in stem.encode()])
+            ids = self.stems[stem] = [t.id for t in self.model.tokenize(spelled)]
+        if not mark:
+            return ids
+        after = self.marks.get(mark)
+        if after is None:
+            after = self.marks[mark] = self._encode(mark)
+        return ids + after
+
+    def _learn(self, hashes: np.ndarray, spelled: list[bytes]) -> None:
+        pieces = [self._word(w.decode("utf-8")) for w in spelled]
+        size = np.array([len(p) for p in pieces], dtype=np.int64)
+        at = len(self.ids) + np.cumsum(size) - size
+        new = np.fromiter(chain.from_iterable(pieces), np.uint32, int(size.sum()))
+        self.ids = np.concatenate((self.ids, new))
+        merged = np.concatenate((self.hashes, hashes))
+        order = np.argsort(merged, kind="stable")
+        self.hashes = merged[order]
+        self.at = np.concatenate((self.at, at))[order]
+        self.size = np.concatenate((self.size, size))[order]
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each), without end-of-document ids."""
@@ -66,28 +116,23 @@ class WordTokens:
         words = Words(data, begin)
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        spelled = [
-            data[a:b].tobytes()
-            for a, b in zip(words.start[first].tolist(), words.end[first].tolist())
-        ]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        new = [w for w in spelled if w not in self.known]
-        found = self.tokenizer.encode_batch(
-            [w.decode("utf-8", "replace") for w in new], add_special_tokens=False
-        )
-        for word, encoding in zip(new, found):
-            self.known[word] = np.array(encoding.ids, dtype=np.uint32)
-        ids = [self.known[w] for w in spelled]
-        size = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.concatenate(ids)
-        at = np.cumsum(size) - size
-        n = size[number]
+        if len(self.hashes) > CACHED_WORDS:
+            self._forget()
+        distinct, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), dtype=bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == distinct[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            spans = zip(words.start[first[new]].tolist(), words.end[first[new]].tolist())
+            self._learn(distinct[new], [data[a:b].tobytes() for a, b in spans])
+            place = np.searchsorted(self.hashes, distinct)
+        n = self.size[place][number]
         ends = np.cumsum(n)
-        place = np.repeat(at[number] - (ends - n), n) + np.arange(ends[-1])
+        source = np.repeat(self.at[place][number] - (ends - n), n) + np.arange(ends[-1])
         per_word = np.concatenate(([0], ends))
-        return flat[place], per_word[words.first[1:]] - per_word[words.first[:-1]]
+        return self.ids[source], per_word[words.first[1:]] - per_word[words.first[:-1]]
 
 
 def _cost(n: int) -> float:
@@ -173,7 +218,7 @@ def pack(
         base = TaskContext.get().partitionId() << 32
         docs, ids, total, sequence = [], [], 0, 0
         for batch in batches:
-            for block in split_block(batch, "text"):
+            for block in split_block(batch, "text", TEXT_BLOCK_BYTES):
                 flat, sizes = words.of(block.column(1))
                 ends = np.cumsum(sizes)
                 for doc, a, b in zip(

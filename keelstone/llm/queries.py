@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from keelstone.llm import ngram_join, packing, quality_rules, substring_dedup
+from keelstone.llm import (
+    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, sharding,
+    substring_dedup, toxicity, url_reputation,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,3 +109,48 @@ FROM t LEFT JOIN k USING (doc_id)
 def op3_substring_dedup(spark, folder):
     """Words that remain when repeats of 13 words or more are removed."""
     return substring_dedup.digest(table(spark, folder, "documents"))
+
+
+@query()
+def op4_html_extraction(spark, folder):
+    """Main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op5_benchmark_decontamination(spark, folder):
+    """Documents that contain a benchmark item, and the closest passage."""
+    return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op6_url_filters(spark, folder):
+    """Verdict on every page's url."""
+    return url_reputation.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@query()
+def op8_toxicity(spark, folder):
+    """Toxicity score of every document; the held-out fold is never learned from."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    lexicon = toxicity.learn(docs, labels.where(fold != 2))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", (fold == 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "n_hits",
+    )
+
+
+@query()
+def op9_sharding(spark, folder):
+    """Sixteen shards of near-equal bytes."""
+    return sharding.shard(table(spark, folder, "documents"), shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op10_license_scans(spark, folder):
+    """License labels of every document."""
+    return license_scan.scan(table(spark, folder, "documents"))
