@@ -35,8 +35,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructType
 
+from keelstone.llm.shared import fresh
 from keelstone.llm.words import Words, map_blocks, text_bytes
 
 RATE = 0.15
@@ -298,14 +299,16 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, recall: float =
     """`docs` without the rows that contain an item."""
     names = docs.columns
     place = names.index("text")
-    schema = StructType([*docs.schema.fields]).add("_leaks", "boolean")
+    flag = fresh(docs, "leaks")
+    schema = StructType([*docs.schema.fields]).add(flag, BooleanType())
     for index in item_blocks(items, rate=rate, recall=recall):
 
         def work(block, index=index):
             leaks = np.zeros(len(block), dtype=bool)
             for found in search(block.column(place), index, rate):
                 leaks[found[0]] = True
-            return pa.RecordBatch.from_arrays([*block.columns, pa.array(leaks)], [*names, "_leaks"])
+            return pa.RecordBatch.from_arrays([*block.columns, pa.array(leaks)], [*names, flag])
 
-        docs = map_blocks(docs, "text", work, schema, TEXT_BLOCK_BYTES).where("not _leaks").drop("_leaks")
+        searched = map_blocks(docs, "text", work, schema, TEXT_BLOCK_BYTES)
+        docs = searched.where(~F.col(flag)).drop(flag)
     return docs

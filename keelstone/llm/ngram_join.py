@@ -27,8 +27,8 @@ differ) do not rule it out. Copies by the thousand thus never become pairs.
 
 Defined cases: NULL, empty or blank texts have an empty set and link with
 nothing. Equal rows stay rows of the result. Ids should be unique; if one has
-several texts, the smallest of them is compared for all. Other columns are
-ignored; an empty table gives an empty result.
+several texts, the smallest of them is compared for all; a row without an id
+belongs to no component. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -333,7 +333,7 @@ def jaccard_components(
     sets = stage(_sets(docs, k), "sets")
     # Equal sets: the smallest id stands for all of them.
     leaders = stage(
-        sets.where("n > 0").groupBy("f1", "f2")
+        sets.where("n > 0 and doc_id is not null").groupBy("f1", "f2")
         .agg(F.min("doc_id").alias("id"), F.any_value("n").alias("n")),
         "leaders",
     )
@@ -419,7 +419,7 @@ def jaccard_components(
         sets.join(of_leader, ["f1", "f2"], "left")
         .select(
             "doc_id", F.col("n").alias("n_shingles"),
-            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         )
     )
 

@@ -6,14 +6,14 @@ the bits later, and ablations are bitwise aggregates over the distinct bit
 patterns, so neither reads a text again.
 
 Defined cases: a NULL, empty or blank text has zero measurements and fails
-`few_words`. Repeated rows and ids are judged row by row. Columns other than
-id and text are carried along; those named like a ledger column are replaced.
-An empty table gives an empty ledger.
+`few_words`. Repeated rows and ids are judged row by row. The ledger has no other
+columns of the input; `keep_good` keeps all of them as they are. An empty table
+gives an empty ledger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -77,22 +77,25 @@ def repeated_words(words: Words, k: int = WINDOW) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule fails where `failed` is true; `failed` is SQL over the measurements."""
+    """A rule fails where `failed` is true of the measurements (arrays by name)."""
 
     name: str
-    failed: str
+    failed: Callable[[Mapping[str, np.ndarray]], np.ndarray]
 
 
 #: The order gives the bit of a rule and is never changed; new rules go to the end.
 RULES: tuple[Rule, ...] = (
-    Rule("few_words", "n_words < 10"),
-    Rule("repeats", "100 * n_repeat_words > 20 * n_words"),
-    Rule("symbols", "100 * n_symbols > 40 * n_words"),
-    Rule("dup_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule("short_words", "word_chars < 2 * n_words"),
-    Rule("long_words", "word_chars > 25 * n_words"),
-    Rule("shouting", "n_words >= 10 and 100 * n_capitals > 60 * word_chars"),
-    Rule("some_symbols", "100 * n_symbols > 20 * n_words"),
+    Rule("few_words", lambda m: m["n_words"] < 10),
+    Rule("repeats", lambda m: 100 * m["n_repeat_words"] > 20 * m["n_words"]),
+    Rule("symbols", lambda m: 100 * m["n_symbols"] > 40 * m["n_words"]),
+    Rule("dup_lines", lambda m: 100 * m["n_dup_lines"] > 50 * m["n_lines"]),
+    Rule("short_words", lambda m: m["word_chars"] < 2 * m["n_words"]),
+    Rule("long_words", lambda m: m["word_chars"] > 25 * m["n_words"]),
+    Rule(
+        "shouting",
+        lambda m: (m["n_words"] >= 10) & (100 * m["n_capitals"] > 60 * m["word_chars"]),
+    ),
+    Rule("some_symbols", lambda m: 100 * m["n_symbols"] > 20 * m["n_words"]),
 )
 
 #: A policy rejects what fails any of its rules. Published versions stay as they are.
@@ -112,27 +115,28 @@ def mask(names: Sequence[str], rules: Sequence[Rule] = RULES) -> int:
     return sum(known[n] for n in set(names))
 
 
+def failed_bits(found: Mapping[str, np.ndarray], rules: Sequence[Rule] = RULES) -> np.ndarray:
+    """Bit i of a row is set if it fails rule i."""
+    bits = np.zeros(len(found["n_words"]), dtype=np.int64)
+    for i, rule in enumerate(rules):
+        bits |= rule.failed(found).astype(np.int64) << i
+    return bits
+
+
 def ledger(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES
 ) -> DataFrame:
     """One row per input row: its id, the measurements and `failed_bits`."""
-    schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, " + ", ".join(
-        f"{m} bigint" for m in MEASURES
-    )
+    names = [id_col, *MEASURES, "failed_bits"]
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
         found = measure(block.column(1))
-        return pa.RecordBatch.from_arrays(
-            [block.column(0), *(pa.array(found[m]) for m in MEASURES)], [id_col, *MEASURES]
-        )
+        columns = [block.column(0), *(pa.array(found[m]) for m in MEASURES)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(failed_bits(found, rules))], names)
 
-    measured = map_blocks(df.select(id_col, text_col), text_col, work, schema)
-    bits: Column = F.lit(0).cast("bigint")
-    for i, rule in enumerate(rules):
-        bits = bits.bitwiseOR(
-            F.when(F.expr(rule.failed), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-        )
-    return measured.withColumn("failed_bits", bits)
+    kind = df.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, " + ", ".join(f"{m} bigint" for m in names[1:])
+    return map_blocks(df.select(id_col, text_col), text_col, work, schema)
 
 
 def passes(policy: str = PRODUCTION_POLICY, bits: str = "failed_bits") -> Column:
@@ -175,38 +179,13 @@ def ablations(rows: DataFrame, policy: str, rules: Sequence[Rule] = RULES) -> Da
 def keep_good(df: DataFrame, policy: str = PRODUCTION_POLICY) -> DataFrame:
     """Rows of a documents table that pass the policy, with their own columns.
 
-    The text goes through the rules once and comes back with the verdict, so
-    no join on the id is needed and rows with equal ids are judged apart.
+    The verdict is made where the text is, so no join on the id is needed and
+    rows with equal ids are judged apart.
     """
-    schema = df.schema
-    bits = "_failed_bits"
-    fields = schema.jsonValue()["fields"]
-    names = [f["name"] for f in fields]
-    place = names.index("text")
+    place, rejecting = df.columns.index("text"), mask(POLICIES[policy])
 
     def work(block: pa.RecordBatch) -> pa.RecordBatch:
-        found = measure(block.column(place))
-        return pa.RecordBatch.from_arrays(
-            [*block.columns, *(pa.array(found[m]) for m in MEASURES)], [*names, *measured]
-        )
+        bits = failed_bits(measure(block.column(place)))
+        return block.filter(pa.array((bits & rejecting) == 0))
 
-    measured = [f"_m_{m}" for m in MEASURES]
-    out = type(schema)(list(schema.fields))
-    for m in measured:
-        out = out.add(m, "bigint")
-    rows = map_blocks(df, "text", work, out)
-    renamed = {}
-    value: Column = F.lit(0).cast("bigint")
-    for i, rule in enumerate(RULES):
-        text = rule.failed
-        for m in MEASURES:
-            text = _with_prefix(text, m)
-        value = value.bitwiseOR(F.when(F.expr(text), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
-    renamed[bits] = value
-    return rows.withColumns(renamed).where(passes(policy, bits)).select(*[F.col(f"`{n}`") for n in names])
-
-
-def _with_prefix(text: str, name: str) -> str:
-    import re
-
-    return re.sub(rf"\b{name}\b", f"_m_{name}", text)
+    return map_blocks(df, "text", work, df.schema)

@@ -1,4 +1,4 @@
-"""Staged tables for these operators, in the folder all executors share."""
+"""Staged tables in the folder all executors share, and column names that clash with none."""
 
 from __future__ import annotations
 
@@ -10,3 +10,11 @@ from keelstone import scratch
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once in the shared folder and return the written table."""
     return scratch.stage(df, label)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one if `df` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

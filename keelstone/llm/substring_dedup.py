@@ -22,7 +22,8 @@ Windows that are covered and overlap make maximal repeats; those of fewer than
 
 Words are compared by 128 bits of hashes. Defined cases: NULL, empty and short texts hold no window and are left
 as they are. Rows with equal ids are one document split over rows: they never
-remove from each other. Extra columns are kept where a documents table is
+remove from each other; rows without an id
+neither remove nor lose words. Extra columns are kept where a documents table is
 returned. An empty table gives an empty result.
 """
 
@@ -33,9 +34,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructType
 
-from keelstone.llm.shared import stage
+from keelstone.llm.shared import fresh, stage
 from keelstone.llm.words import Words, map_blocks, mix, signed, text_bytes
 
 WINDOW = 13
@@ -208,12 +209,12 @@ def _cut(texts: pa.Array, ranges: pa.Array, min_words: int):
         yield b - a, n_gone, b" ".join(kept)
 
 
-def _with_ranges(df: DataFrame, id_col: str) -> DataFrame:
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col("text"))
-    found = covered(docs).withColumnRenamed("doc_id", "_range_id")
-    return df.join(found, F.col(id_col) == F.col("_range_id"), "left").drop("_range_id").withColumnRenamed(
-        "ranges", "_ranges"
-    )
+def _with_ranges(df: DataFrame) -> DataFrame:
+    """`df` with the ranges of each row's document as a last column."""
+    docs = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    of, ranges = fresh(df, "range_id"), fresh(df, "ranges")
+    found = covered(docs).select(F.col("doc_id").alias(of), F.col("ranges").alias(ranges))
+    return df.join(found, df["doc_id"] == found[of], "left").drop(of)
 
 
 def digest(df: DataFrame, min_words: int = WINDOW) -> DataFrame:
@@ -230,7 +231,7 @@ def digest(df: DataFrame, min_words: int = WINDOW) -> DataFrame:
             ["doc_id", "n_words", "n_removed", "kept_sha256"],
         )
 
-    rows = _with_ranges(df, "doc_id").select("doc_id", "text", "_ranges")
+    rows = _with_ranges(df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     return map_blocks(
         rows, "text", work, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     )
@@ -242,10 +243,11 @@ def remove_repeats(df: DataFrame, min_words: int = WINDOW) -> DataFrame:
     A text without any is left as it is, white space included; in others the
     kept words are joined by single spaces. Rows that lose all words go.
     """
-    rows = _with_ranges(df, "doc_id")
+    rows = _with_ranges(df)
+    flag = fresh(df, "all_gone")
     names = df.columns
     place = names.index("text")
-    schema = StructType([*df.schema.fields]).add("_all_gone", "boolean")
+    schema = StructType([*df.schema.fields]).add(flag, BooleanType())
 
     def work(block):
         texts = block.column(place)
@@ -256,6 +258,6 @@ def remove_repeats(df: DataFrame, min_words: int = WINDOW) -> DataFrame:
             gone.append(n_gone > 0 and n_gone == n_words)
         columns = list(block.columns[: len(names)])
         columns[place] = pa.array(new, pa.string())
-        return pa.RecordBatch.from_arrays([*columns, pa.array(gone)], [*names, "_all_gone"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(gone)], [*names, flag])
 
-    return map_blocks(rows, "text", work, schema).where("not _all_gone").drop("_all_gone")
+    return map_blocks(rows, "text", work, schema).where(~F.col(flag)).drop(flag)

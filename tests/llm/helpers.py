@@ -1,0 +1,96 @@
+"""Brute-force counterparts of the operators, in plain Python."""
+
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs(spark, rows):
+    """A documents table of (doc_id, text) rows."""
+    full = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in rows]
+    return spark.createDataFrame(full, DOCS)
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def shingles(text, k):
+    w = words((text or "").translate(ASCII_LOWER))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1)))
+
+
+def components(rows, k, percent):
+    """{doc_id: (set size, component)} by comparing all pairs."""
+    sets = {i: shingles(t, k) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(i for i in sets if sets[i])
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def repeats(rows, window=13):
+    """{doc_id: (words, removed flags)}."""
+    first = {}
+    out = {}
+    for i, text in sorted(rows):
+        w = words(text)
+        gone = [False] * len(w)
+        grams = [tuple(w[j : j + window]) for j in range(len(w) - window + 1)]
+        for j, gram in enumerate(grams):
+            if first.get(gram, i) < i:
+                gone[j : j + window] = [True] * window
+        for gram in grams:
+            first.setdefault(gram, i)
+        out[i] = (w, gone)
+    return out
+
+
+def measures(text):
+    text = text or ""
+    w = words(text)
+    count = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    covered = set()
+    for i in range(len(w) - 4):
+        if count[tuple(w[i : i + 5])] > 1:
+            covered.update(range(i, i + 5))
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return {
+        "n_words": len(w), "word_chars": sum(map(len, w)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+    }
+
+
+def edit_distance_inside(pattern, text):
+    """Least edit distance of pattern to any passage of text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def grouped(pairs):
+    out = defaultdict(list)
+    for key, value in pairs:
+        out[key].append(value)
+    return out
