@@ -3,13 +3,15 @@
 An item is contained in a document if some passage of it has an edit distance (in bytes
 of lower-cased text with single spaces) of at most `rate * len(item)`.
 
-1. Windows: passages of an item's size that share a run of three words with it,
-   at the place where the run stands in the item. They come from all words of
-   all texts, by a look-up of rolling hashes.
+1. Windows: passages of an item's size that share a seed with it, at the place
+   where the seed stands in the item. Seeds are runs of three words, of two
+   words of five bytes or more, and single words of eight or more. They come from all words of all texts, by a look-up of rolling hashes.
 2. Embedding: CGK maps a string to a random walk over it. At each step the walk
    writes its current byte and, by a random bit for step and byte, moves on or
    stays; strings that are few edits apart fall into step again after each
    edit, so their walks differ in few places: edit distance becomes Hamming distance.
+   Walks over a window and its item start beside the seed, where both are in step, towards the
+   longer side of the item.
 3. LSH: each repetition has a walk of its own and samples a few of its places; a
    window goes on if all of them equal the item's in any repetition. The number of
    repetitions is calibrated: copies of items at the largest distance allowed
@@ -21,8 +23,8 @@ Steps 1 and 3 can lose a passage with the stated probability; step 4 never
 accepts a wrong one. Items are looked up in blocks of bounded size, one pass over
 the documents for each, so what is sent to the executors has a proven bound.
 
-Defined cases: NULL and empty texts contain nothing; NULL items and items of fewer than three
-words match nothing. Repeated rows, ids and items are judged row by row; of
+Defined cases: NULL and empty texts contain nothing; NULL items and items without a
+seed match nothing. Repeated rows, ids and items are judged row by row; of
 several passages for one item in a row the closest counts, then the earliest. Extra
 columns are ignored by `hits` and kept by `clean`. Empty tables give no hits.
 """
@@ -42,11 +44,12 @@ from keelstone.llm.words import Words, map_blocks, text_bytes
 
 RATE = 0.15
 TARGET_RECALL = 0.99
-SEED_WORDS = 3
+LONG_WORD, LONGER_WORD = 5, 8  # bytes
 SAMPLED = 3
+STEPS = 52  # of a walk, of which samples are taken
 ITEM_BLOCK_BYTES = 4 * 1024 * 1024
 CALIBRATION_ITEMS = 64
-MAX_REPEATS = 64  # of the calibration; what it cannot reach is not filtered at all
+MAX_REPEATS = 60  # tried by the calibration; if they miss the recall, nothing is filtered by walks
 TEXT_BLOCK_BYTES = 2 * 1024 * 1024
 RANDOM_SEED = 7
 
@@ -62,12 +65,13 @@ class Index:
 
     ids: list[int]
     texts: list[bytes]
-    gram: np.ndarray  # sorted hashes of runs of three words
+    sizes: np.ndarray
+    gram: np.ndarray  # sorted hashes of the seeds
     item: np.ndarray  # their item
     place: np.ndarray  # and its byte offset in the item
+    after: np.ndarray  # byte offset of its end
     bits: np.ndarray  # step, byte -> move on or stay, one bit per repetition
     sampled: np.ndarray  # repetition, sample -> step
-    walks: np.ndarray  # item, repetition, sample -> byte
     repeats: int
 
 
@@ -84,6 +88,20 @@ def normalised(texts: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarr
     return words, out, at[:-1], at[words.first]
 
 
+def _seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and last word of every seed."""
+    h = words.hashes()
+    three, at_three = words.grams(3, h)
+    two, at_two = words.grams(2, h)
+    length = words.end - words.start
+    one = np.flatnonzero(length >= LONGER_WORD)
+    long = length >= LONG_WORD
+    both = long[at_two] & long[at_two + 1] if len(at_two) else np.zeros(0, dtype=bool)
+    first = np.concatenate((at_three, at_two[both], one))
+    last = np.concatenate((at_three + 2, at_two[both] + 1, one))
+    return np.concatenate((three, two[both], h[one])), first, last
+
+
 def _walks(strings: np.ndarray, lengths: np.ndarray, bits: np.ndarray, sampled: np.ndarray) -> np.ndarray:
     """Bytes at the sampled steps of each string's walks: (string, repetition, sample)."""
     n, r = len(strings), sampled.shape[0]
@@ -129,29 +147,34 @@ def _edited(text: bytes, edits: int, random: np.random.Generator) -> bytes:
 
 def build_index(
     ids: list[int], texts: list[bytes], gram: np.ndarray, item: np.ndarray, place: np.ndarray,
-    rate: float = RATE, recall: float = TARGET_RECALL,
+    after: np.ndarray, rate: float = RATE, recall: float = TARGET_RECALL,
 ) -> Index:
     """Random walks for a block of items, with as many repetitions as reach the recall."""
     random = np.random.default_rng(RANDOM_SEED)
-    matrix, lengths = _matrix(texts)
-    steps = 3 * matrix.shape[1]
-    bits = random.integers(0, 2**63, size=(steps, 256), dtype=np.int64).astype(np.uint64)
-    # Sampled steps lie within the walk over the shortest item, so all items share them.
-    shortest = max(int(lengths.min(initial=1)), 1)
-    sampled = random.integers(0, max(2 * shortest, SAMPLED), size=(MAX_REPEATS, SAMPLED))
-    walks = _walks(matrix, lengths, bits, sampled)
-    chosen = random.permutation(len(texts))[:CALIBRATION_ITEMS]
-    edited = [_edited(texts[i], int(rate * len(texts[i])), random) for i in chosen for _ in range(4)]
-    m, n = _matrix(edited)
-    equal = (_walks(m, n, bits, sampled) == walks[np.repeat(chosen, 4)]).all(axis=2)
-    found = np.maximum.accumulate(equal, axis=1).mean(axis=0) if len(equal) else np.ones(1)
-    enough = np.flatnonzero(found >= recall)
-    repeats = int(enough[0]) + 1 if len(enough) else 0
+    bits = random.integers(0, 2**63, size=(STEPS, 256), dtype=np.int64).astype(np.uint64)
+    sampled = random.integers(STEPS, size=(MAX_REPEATS, SAMPLED))
     order = np.argsort(gram, kind="stable")
-    return Index(
-        ids, texts, gram[order], item[order], place[order], bits, sampled[:repeats],
-        walks[:, :repeats], repeats,
+    index = Index(
+        ids, texts, np.array([len(t) for t in texts], dtype=np.int64), gram[order], item[order],
+        place[order], after[order], bits, sampled, MAX_REPEATS,
     )
+    chosen = np.repeat(random.permutation(len(texts))[:CALIBRATION_ITEMS], 4)
+    edited = [
+        _edited(texts[i], int(rate * len(texts[i])), random).decode("utf-8", "replace") for i in chosen
+    ]
+    found = windows(pa.array(edited, pa.large_string()), index)
+    right = found.item == chosen[found.owner]
+    # First repetition in which any window of an edited copy agrees with its item.
+    first = np.full(len(edited), MAX_REPEATS)
+    agrees = _agreeing(found, index)[right]
+    at = np.where(agrees.any(axis=1), agrees.argmax(axis=1), MAX_REPEATS)
+    np.minimum.at(first, found.owner[right], at)
+    seeded = np.unique(found.owner[right])
+    share = np.array([(first[seeded] <= r).mean() if len(seeded) else 1.0 for r in range(MAX_REPEATS)])
+    enough = np.flatnonzero(share >= recall)
+    index.repeats = int(enough[0]) + 1 if len(enough) else 0
+    index.sampled = sampled[: index.repeats]
+    return index
 
 
 def item_blocks(
@@ -174,11 +197,12 @@ def item_blocks(
 
 def _index_of(ids, texts, rate, recall) -> Index:
     words, flat, word_at, text_at = normalised(pa.array(texts, pa.large_string()))
-    gram, first = words.grams(SEED_WORDS)
+    gram, first, last = _seeds(words)
     owner = words.text_of()[first]
     place = word_at[first] - text_at[owner]
+    after = word_at[last] + (words.end - words.start)[last] - text_at[owner]
     plain = [flat[a : max(b - 1, a)].tobytes() for a, b in zip(text_at[:-1], text_at[1:])]
-    return build_index(ids, plain, gram, owner, place, rate, recall)
+    return build_index(ids, plain, gram, owner, place, after, rate, recall)
 
 
 def distance(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -214,40 +238,77 @@ def distance(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
-def search(texts: pa.Array, index: Index, rate: float = RATE) -> list[tuple[int, int, int, int, int]]:
-    """(text, item, distance, first word, last word) of the closest passage for each found pair."""
+@dataclass
+class Windows:
+    """Item-sized passages at the place that a seed gives them, and the texts they are from."""
+
+    words: Words
+    flat: np.ndarray
+    word_at: np.ndarray
+    owner: np.ndarray
+    item: np.ndarray
+    start: np.ndarray
+    place: np.ndarray  # of the seed, in the item
+    after: np.ndarray  # and of its end
+    size: np.ndarray
+    begin: np.ndarray  # of the text
+    stop: np.ndarray
+
+
+def windows(texts: pa.Array, index: Index) -> Windows:
     words, flat, word_at, text_at = normalised(texts)
-    gram, first = words.grams(SEED_WORDS)
-    # A small table of high bits rules out most runs at once.
+    gram, first, _ = _seeds(words)
+    # A small table of high bits rules out most seeds at once.
     table = np.zeros(1 << 20, dtype=bool)
     table[(index.gram >> np.uint64(44)).astype(np.int64)] = True
     maybe = np.flatnonzero(table[(gram >> np.uint64(44)).astype(np.int64)])
     lo = np.searchsorted(index.gram, gram[maybe], "left")
     n = np.searchsorted(index.gram, gram[maybe], "right") - lo
-    maybe, lo, n = maybe[n > 0], lo[n > 0], n[n > 0]
-    if not len(maybe):
-        return []
     which = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     word = np.repeat(first[maybe], n)
     item = index.item[which]
     owner = words.text_of()[word]
     start = word_at[word] - index.place[which]
-    pairs = np.unique(np.stack((owner, item, start)), axis=1)
-    owner, item, start = pairs
-    size = np.array([len(t) for t in index.texts])[item]
-    begin, stop = text_at[owner], text_at[owner + 1] - 1
+    (owner, item, start), seed = np.unique(
+        np.stack((owner, item, start)).astype(np.int64), axis=1, return_index=True
+    )
+    return Windows(
+        words, flat, word_at, owner, item, start, index.place[which[seed]], index.after[which[seed]],
+        index.sizes[item],
+        text_at[owner], text_at[owner + 1] - 1,
+    )
+
+
+def _agreeing(found: Windows, index: Index) -> np.ndarray:
+    """Whether a window's sampled steps are those of its item: (window, repetition)."""
+    out = np.zeros((len(found.owner), index.sampled.shape[0]), dtype=bool)
+    for a in range(0, len(found.owner), 4096):
+        ours, theirs = [], []
+        for i in range(a, min(a + 4096, len(found.owner))):
+            item, start = index.texts[found.item[i]], int(found.start[i])
+            place, after = int(found.place[i]), int(found.after[i])
+            if len(item) - after >= place:
+                theirs.append(item[after : after + STEPS])
+                low, high = start + after, min(start + after + len(theirs[-1]), found.stop[i])
+                ours.append(found.flat[low:high].tobytes())
+            else:
+                theirs.append(item[max(place - STEPS, 0) : place][::-1])
+                low, high = max(start + place - len(theirs[-1]), found.begin[i]), start + place
+                ours.append(found.flat[low:high].tobytes()[::-1])
+        sides = [_walks(*_matrix(x), index.bits, index.sampled) for x in (ours, theirs)]
+        out[a : a + 4096] = (sides[0] == sides[1]).all(axis=2)
+    return out
+
+
+def search(texts: pa.Array, index: Index, rate: float = RATE) -> list[tuple[int, int, int, int, int]]:
+    """(text, item, distance, first word, last word) of the closest passage for each found pair."""
+    found_ = windows(texts, index)
+    words, flat, word_at = found_.words, found_.flat, found_.word_at
+    owner, item, start, size = found_.owner, found_.item, found_.start, found_.size
+    begin, stop = found_.begin, found_.stop
+    chosen = np.arange(len(owner))
     if index.repeats:
-        from_, to = np.maximum(start, begin), np.minimum(start + size, stop)
-        keep = []
-        for a in range(0, len(owner), 4096):
-            m, lengths = _matrix([
-                flat[x:y].tobytes() for x, y in zip(from_[a : a + 4096], to[a : a + 4096])
-            ])
-            walked = _walks(m, lengths, index.bits, index.sampled)
-            keep.append((walked == index.walks[item[a : a + 4096]]).all(axis=2).any(axis=1))
-        chosen = np.flatnonzero(np.concatenate(keep))
-    else:
-        chosen = np.arange(len(owner))
+        chosen = np.flatnonzero(_agreeing(found_, index).any(axis=1))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i in chosen.tolist():
         pattern = index.texts[item[i]]

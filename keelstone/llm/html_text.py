@@ -198,10 +198,19 @@ LABELLED: tuple[tuple[float, ...], ...] = (
     (5, 0, 3, 0, 4, 0, 0, 1, 1, 0, 1, 0), (4, 0, 0, 0, 3, 1, 0, 1, 1, 0, 0, 0),
     (25, 0, 5, 0, 18, 0, 1, 1, 0, 1, 1, 0), (3, 0, 5, 1, 20, 0, 0, 1, 0, 0, 0, 0),
     (120, 0, 80, 0, 90, 0, 0, 1, 0, 0, 0, 0), (10, .3, 50, 0, 6, .5, 0, 1, 0, 0, 0, 0),
+    (18, 0, 40, 0, 6, 0, 1, 1, 0, 0, 1, 0), (10, 0, 9, 0, 2, 0, 1, 1, 0, 0, 1, 0),
+    (12, 0, 5, 0, 4, 0, 1, 1, 0, 0, 1, 0), (1, 0, 1, 0, 0, 0, 1, 1, 0, 0, 1, 0),
+    (150, 0, 60, 0, 0, 0, 1, 1, 0, 0, 1, 0), (4, 0, 100, 0, 30, 0, 1, 1, 1, 0, 1, 0),
+    (3, 1, 60, 0, 4, 1, 1, 1, 0, 1, 1, 0), (9, 1, 70, 0, 40, 0, 1, 0, 0, 0, 1, 0),
+    (6, 1, 20, 0, 5, .9, 1, 0, 0, 1, 1, 0), (15, .9, 30, 0, 6, 1, 1, 0, 0, 1, 1, 0),
     # outside an article that the page marks
     (30, 0, 5, 1, 12, 0, 0, 0, 0, 0, 1, 0), (3, 0, 0, 0, 1, 1, 0, 0, 1, 0, 1, 0),
     (50, 0, 70, 0, 0, 0, 0, 0, 0, 0, 1, 0), (8, 0, 40, 0, 9, .5, 0, 0, 0, 0, 1, 0),
     (100, 0, 60, 0, 4, 0, 0, 0, 0, 0, 1, 0), (12, .1, 90, 0, 0, 0, 0, 0, 0, 1, 1, 0),
+    (30, 0, 20, 0, 25, 0, 0, 1, 0, 0, 1, 0), (70, 0, 8, 0, 60, 0, 0, 1, 0, 0, 1, 0),
+    (16, 0, 30, 0, 40, 0, 0, 1, 0, 0, 1, 0), (11, .1, 9, 0, 90, 0, 0, 1, 0, 1, 0, 0),
+    (40, 0, 12, 0, 35, 0, 0, 1, 0, 0, 0, 0), (22, 0, 60, 0, 15, 0, 0, 1, 0, 0, 0, 0),
+    (90, 0, 15, 0, 80, 0, 0, 0, 0, 0, 1, 0), (7, 0, 30, 0, 25, 0, 0, 0, 1, 0, 1, 0),
     # short scraps and link-heavy text of pages without an article
     (2, 0, 3, 1, 2, 1, 0, 0, 0, 0, 0, 0), (4, 0, 1, 1, 3, 0, 0, 0, 0, 0, 0, 0),
     (3, .3, 5, 0, 2, 0, 0, 0, 0, 0, 0, 0), (25, .7, 4, 1, 6, 1, 0, 0, 0, 0, 0, 0),
@@ -213,6 +222,10 @@ LABELLED: tuple[tuple[float, ...], ...] = (
     (40, .3, 60, 0, 50, 0, 1, 0, 0, 0, 1, 1), (400, 0, 9, 0, 12, .2, 1, 0, 0, 0, 1, 1),
     (20, .4, 30, 0, 40, 0, 1, 0, 0, 0, 1, 1), (1, 0, 9, 0, 12, .2, 1, 0, 0, 0, 1, 1),
     (5, 0, 9, 0, 5, 0, 1, 0, 0, 0, 1, 1), (2, 0, 2, 0, 2, 0, 1, 0, 0, 0, 1, 1),
+    (7, 0, 0, 0, 0, 0, 1, 0, 0, 0, 1, 1), (3, 0, 4, 0, 0, 0, 1, 0, 0, 0, 1, 1),
+    (60, 0, 2, 1, 8, 0, 1, 0, 0, 0, 1, 1), (90, 0, 10, 1, 3, 0, 1, 0, 0, 1, 1, 1),
+    (2, 0, 7, 0, 1, 0, 1, 0, 0, 0, 1, 1), (11, 0, 0, 0, 6, 0, 1, 0, 1, 0, 1, 1),
+    (30, 0, 0, 0, 0, 0, 1, 0, 0, 0, 1, 1), (5, 0, 3, 0, 2, .5, 1, 0, 0, 1, 1, 1),
     # text of pages that mark no article
     (90, 0, 8, 0, 70, 0, 0, 0, 0, 0, 0, 1), (150, .05, 3, 1, 60, 0, 0, 0, 0, 0, 0, 1),
     (30, 0, 60, 0, 40, 0, 0, 0, 0, 0, 0, 1), (12, 0, 80, 0, 70, 0, 0, 0, 0, 0, 0, 1),
