@@ -24,13 +24,13 @@ def unquote(text: Column) -> Column:
 
 
 def label_code(line: Column) -> Column:
-    """Left side of a ``'code' = 'label'`` line."""
-    return unquote(strip(F.get(F.split(line, "="), F.lit(0))))
+    """Left side of a ``'code' = 'label'`` line; blanks inside the quotes belong to the code."""
+    return unquote(strip(F.get(F.split(line, "=", 2), F.lit(0))))
 
 
 def label_text(line: Column) -> Column:
-    """Right side of a ``'code' = 'label'`` line; NULL where there is no '='."""
-    return unquote(strip(F.get(F.split(line, "="), F.lit(1))))
+    """All behind the first '=' of a ``'code' = 'label'`` line; NULL where there is none."""
+    return strip(unquote(strip(F.get(F.split(line, "=", 2), F.lit(1)))))
 
 
 def city_and_state(label: Column) -> tuple[Column, Column]:

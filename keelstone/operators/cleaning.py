@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from keelstone.functions import text
 from keelstone.functions.missing import any_missing, column
@@ -84,6 +84,31 @@ class Cleaned(NamedTuple):
     report: DataFrame
 
 
+class Counted:
+    """A cleaned frame that counts what its cleaning does in the first job that runs it."""
+
+    def __init__(
+        self, df: DataFrame, missing_keys: Sequence[str] = (), dup_keys: Sequence[str] | None = None
+    ):
+        self._before, self._after = Observation(), Observation()
+        one = F.lit(1)
+        lost = F.count_if(any_missing(df, missing_keys)).alias("missing_dropped")
+        kept = df.observe(self._before, F.count(one).alias("rows_in"), lost)
+        kept = drop_missing(kept, missing_keys)
+        result = kept if dup_keys is None else keep_first(kept, dup_keys)
+        self.frame = result.observe(self._after, F.count(one).alias("rows_out"))
+
+    def counts(self) -> dict[str, int]:
+        """rows_in, missing_dropped, duplicates_dropped, rows_out; waits for that job."""
+        found = {"rows_in": 0, "missing_dropped": 0, "rows_out": 0}
+        found.update(self._before.get)
+        found.update(self._after.get)
+        found["duplicates_dropped"] = (
+            found["rows_in"] - found["missing_dropped"] - found["rows_out"]
+        )
+        return found
+
+
 def clean(
     df: DataFrame,
     missing_keys: Sequence[str] = (),

@@ -49,11 +49,8 @@ def carry_last(
     filled = df.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
 
     nearest = F.max_by if forward else F.min_by
-    # One order column as it is keeps the aggregate hash-based.
-    place = [column(c) for c in order]
-    position = F.when(
-        F.col("_value").isNotNull(), place[0] if len(place) == 1 else F.struct(*place)
-    )
+    # A struct, as it is never NULL itself: a value at a NULL place counts, and such places come first.
+    position = F.when(F.col("_value").isNotNull(), F.struct(*[column(c) for c in order]))
     before = _ordered(keys, [chunk], forward).rowsBetween(Window.unboundedPreceding, -1)
     group = [*keys, chunk]
     carried = (
@@ -84,13 +81,15 @@ def fill(
 
     `order` should be a total order inside a key; ties make the choice
     arbitrary. One counting pass over the key columns decides between the
-    plain window and the chunked form.
+    plain window and the chunked form, which give the same rows, and sets the
+    number of chunks: range partitions are sampled, so they are planned at half of
+    `max_group_rows`. With 0 there are as many chunks as shuffle partitions.
     """
-    biggest = (
+    biggest, total = (
         df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n")).first()[0]
-    ) or 0
-    if biggest <= max_group_rows:
+        .agg(F.max("n"), F.sum("n")).first()
+    )
+    if (biggest or 0) <= max_group_rows:
         window = _ordered(keys, order, forward).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(name, F.last(known(df, name), ignorenulls=True).over(window))
 
@@ -98,8 +97,13 @@ def fill(
     # keys are spread. The partition number must be the same for every later
     # reader, hence the checkpoint.
     total_order = [column(c) for c in [*keys, *order]]
+    if max_group_rows:
+        chunks = -(-2 * (total or 0) // max_group_rows)
+    else:
+        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A given number is kept: adaptive execution merges none of these partitions.
     ranged = scratch.checkpoint(
-        df.repartitionByRange(*total_order).withColumn("_chunk", F.spark_partition_id())
+        df.repartitionByRange(max(chunks, 1), *total_order).withColumn("_chunk", F.spark_partition_id())
     )
     filled = carry_last(
         ranged, known(ranged, name), keys, "_chunk", order, into="_filled", forward=forward

@@ -21,13 +21,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a frame of flat columns, taking no more than `max_rows` rows of it."""
+    return measure(df, max_rows, max_bytes)[1]
+
+
+def measure(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> tuple[int, bool]:
+    """Rows of a frame of flat columns, and whether rows and bytes fit a broadcast.
+
+    A plain aggregate: every partition sends one row.
+    """
     width = F.lit(8 * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
             width = width + F.coalesce(F.octet_length(column(field.name)), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= max_rows and (size or 0) <= max_bytes
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows, rows <= max_rows and (size or 0) <= max_bytes
 
 
 def attach_port_codes(

@@ -1,9 +1,9 @@
 """Joins that stay balanced when a few keys hold most rows.
 
-The heaviest keys are found by a pre-aggregated count, and their number is
-capped, so the table of heavy keys has a known bound and can be broadcast.
-Rows of heavy keys never take part in a shuffle; all others go through an
-ordinary shuffle join. Both parts together are the whole result.
+Keys with more rows than one task should hold are found by a pre-aggregated
+count. If there are any, and their table is measured to fit a broadcast, their
+rows never take part in a shuffle; all others go through an ordinary shuffle
+join. Both parts together are the whole result.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from keelstone.functions.missing import column
+from keelstone.operators.lookup import measure
 
-# At most this many keys are treated as heavy. A key outside them has at most
-# 1/4097 of all rows.
-HEAVY_KEYS = 4096
+# Keys with more rows than this are heavy.
+HEAVY_ROWS = 1_000_000
 
 
 def _matches(keys: Sequence[str]):
@@ -27,7 +27,7 @@ def _matches(keys: Sequence[str]):
 
 
 def semi_join(
-    df: DataFrame, counted: DataFrame, keys: Sequence[str], weight: str, heavy_keys: int = HEAVY_KEYS
+    df: DataFrame, counted: DataFrame, keys: Sequence[str], weight: str, heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Rows of `df` whose key occurs in `counted`; NULL keys match each other.
 
@@ -37,10 +37,11 @@ def semi_join(
     wanted = counted.select(
         *[column(k).alias(o) for k, o in zip(keys, on)], column(weight).alias("_weight")
     )
-    # The keys break ties, so both uses below agree on what is heavy.
-    heavy = (
-        wanted.orderBy(F.desc("_weight"), *on).limit(heavy_keys).select(*on)
-    )
+    heavy = wanted.where(F.col("_weight") > heavy_rows).select(*on)
+    rows, fits = measure(heavy)
+    if not rows or not fits:
+        # None, or more than a broadcast may hold: adaptive execution splits skewed joins.
+        return df.join(wanted.select(*on), _matches(keys), "left_semi")
     heavy_part = df.join(F.broadcast(heavy), _matches(keys), "left_semi")
     light_part = df.join(F.broadcast(heavy), _matches(keys), "left_anti").join(
         wanted.select(*on), _matches(keys), "left_semi"

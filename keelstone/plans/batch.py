@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import time
+from datetime import datetime, timezone
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from keelstone import scratch
 from keelstone.operators import cleaning, gates, profile
 from keelstone.plans import queries, star
 from keelstone.session import shuffles_for
-from keelstone.sinks.parquet import write_checked
+from keelstone.sinks.parquet import Written, write_checked
 from keelstone.sources import labels
 from keelstone.sources.delimited import read_delimited
 from keelstone.sources.files import list_files, read_many, total_bytes, within_budget
@@ -29,10 +30,12 @@ class Settings:
     """Inputs, output and switches of a run. All paths may be any Hadoop URI.
 
     arrivals:         a folder whose files are aligned by name, or a list of paths.
+    arrivals_glob:    only files of that folder with such a name.
     arrivals_schema:  layout all arrival files are known to have; without it each
                       file's layout is looked up, which suits hundreds of files.
-    count_inputs:     count the rows of the delimited sources for the report,
-                      which reads them once more.
+    infer_types:      let Spark infer the types of the delimited sources.
+    city_types, airport_types, temperature_types: types instead of the fixed ones.
+    strict_types:     a value that does not parse ends the run instead of becoming NULL.
     match_state:      match cities and airports to ports by city and state.
     check_keys:       prove that the fact's surrogate key is unique.
     """
@@ -54,55 +57,92 @@ class Settings:
     match_state: bool = False
     ignore_temperature_case: bool = False
     check_keys: bool = False
-    count_inputs: bool = True
     show_missing: bool = False
+    arrivals_glob: str | None = None
+    infer_types: bool = False
+    strict_types: bool = True
+    city_types: Mapping[str, str] = field(default_factory=lambda: dict(star.CITY_TYPES))
+    airport_types: Mapping[str, str] = field(default_factory=lambda: dict(star.AIRPORT_TYPES))
+    temperature_types: Mapping[str, str] = field(default_factory=lambda: dict(star.TEMPERATURE_TYPES))
+
+
+RowsIn = int | None | Callable[[], int]
+# Formats that read single columns; others are decoded whole on every scan.
+COLUMNAR_FORMATS = {"parquet", "orc"}
 
 
 class StageReport:
-    """Rows and seconds of each stage, as a small DataFrame when asked for."""
+    """Rows, seconds, start and end of each stage, and what cleaning did per source.
+
+    Small DataFrames when asked for; all counts come from jobs that run anyway.
+    """
 
-    _SCHEMA = "stage string, rows_in long, rows_out long, seconds double"
+    _SCHEMA = (
+        "stage string, rows_in long, rows_out long, seconds double, started timestamp, ended timestamp"
+    )
+    _CLEANING = (
+        "source string, rows_in long, missing_dropped long, duplicates_dropped long, rows_out long, "
+        "join_misses long"
+    )
+    WHOLE_RUN = "run"
     # Fixed order, as stages run side by side.
     STAGES = [
         PORTS_STAGE, CLEANED_STAGE, star.DATES.name, star.FACT.name, star.PERSONS.name,
-        star.CITIES.name, star.AIRPORTS.name, star.TEMPERATURES.name,
+        star.CITIES.name, star.AIRPORTS.name, star.TEMPERATURES.name, WHOLE_RUN,
     ]
 
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._stages: list[tuple] = []
+        self._cleaning: list[tuple] = []
+        self.rows: dict[str, int] = {}
         self.missing: dict[str, DataFrame] = {}
 
-    def stage(self, df: DataFrame, name: str, rows_in: int | None) -> DataFrame:
+    def record(self, name: str, rows_in: int | None, rows_out: int | None, started: float) -> None:
+        ended = time.time()
+        times = [datetime.fromtimestamp(t, timezone.utc) for t in (started, ended)]
+        self._stages.append((name, rows_in, rows_out, ended - started, *times))
+        self.rows[name] = rows_out
+
+    def cleaned(self, source: str, counts: Mapping[str, int], misses: int | None = None) -> None:
+        self._cleaning.append((
+            source, counts["rows_in"], counts["missing_dropped"], counts["duplicates_dropped"],
+            counts["rows_out"], misses,
+        ))
+
+    def stage(self, df: DataFrame, name: str, rows_in: RowsIn) -> DataFrame:
         """Stage an intermediate frame and record it."""
-        started = time.perf_counter()
+        started = time.time()
         staged = scratch.stage(df, name)
         rows = staged.count()
-        self._stages.append((name, rows_in, rows, time.perf_counter() - started))
+        self.record(name, rows_in() if callable(rows_in) else rows_in, rows, started)
         return staged
 
-    def write(self, df: DataFrame, table: star.Table, base: str, rows_in: int | None) -> DataFrame:
+    def write(
+        self, df: DataFrame, table: star.Table, base: str, rows_in: RowsIn,
+        metrics: Mapping[str, Column] | None = None,
+    ) -> Written:
         """Write one table behind the gate and record it."""
-        started = time.perf_counter()
-        written = write_checked(df, f"{base}/{table.folder}", table.partition_by)
-        seconds = time.perf_counter() - started
-        self._stages.append((table.name, rows_in, written.rows, seconds))
-        return written.table
+        started = time.time()
+        written = write_checked(
+            df, f"{base}/{table.folder}", table.partition_by, metrics=metrics
+        )
+        self.record(table.name, rows_in() if callable(rows_in) else rows_in, written.rows, started)
+        return written
 
     def to_frame(self) -> DataFrame:
         stages = sorted(self._stages, key=lambda s: self.STAGES.index(s[0]))
         return self._spark.createDataFrame(stages, self._SCHEMA)
 
+    def cleaning_frame(self) -> DataFrame:
+        return self._spark.createDataFrame(sorted(self._cleaning, key=lambda c: c[0]), self._CLEANING)
+
 
 def _note_missing(report: StageReport, name: str, df: DataFrame, settings: Settings) -> None:
     if settings.show_missing:
         report.missing[name] = profile.missing_profile(df)
 
 
-def _rows_in(df: DataFrame, settings: Settings) -> int | None:
-    return df.count() if settings.count_inputs else None
-
-
 def _side_by_side(spark: SparkSession, *jobs: Callable) -> list:
     """Submit independent jobs together, so they share the cluster."""
     with ThreadPoolExecutor(len(jobs)) as pool:
@@ -114,12 +154,12 @@ def arrival_paths(spark: SparkSession, settings: Settings) -> list[str]:
     """Arrival files of the run: sorted, and within the file budget."""
     paths = settings.arrivals
     if isinstance(paths, str):
-        paths = list_files(spark, paths)
+        paths = list_files(spark, paths, settings.arrivals_glob)
     return within_budget(paths, settings.arrivals_limit)
 
 
 def load_arrivals(
-    spark: SparkSession, settings: Settings, report: StageReport
+    spark: SparkSession, settings: Settings, report: StageReport, paths: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Date dimension, fact table and person dimension.
 
@@ -128,69 +168,104 @@ def load_arrivals(
     citizenship, one row per cicid.
     """
     raw = read_many(
-        spark, arrival_paths(spark, settings), settings.arrivals_format,
+        spark, paths or arrival_paths(spark, settings), settings.arrivals_format,
         options=settings.arrivals_options, schema=settings.arrivals_schema,
     )
     _note_missing(report, "arrivals", raw, settings)
     needed = raw.select(star.ARRIVAL_COLUMNS)
-    rows_in = _rows_in(needed, settings)
+    if settings.arrivals_format.lower() not in COLUMNAR_FORMATS:
+        needed = scratch.stage(needed, "arrivals")
+    kept = cleaning.Counted(needed, ["i94cit"], ["cicid"])
+
+    def rows_in() -> int:
+        return kept.counts()["rows_in"]
 
     def dates() -> DataFrame:
-        table = star.arrival_dates(needed, settings.distinct_dates)
-        return report.write(table, star.DATES, settings.output, rows_in)
+        seen = Observation()
+        raw_rows = needed.observe(seen, F.count(F.lit(1)).alias("rows"))
+        table = star.arrival_dates(raw_rows, settings.distinct_dates)
+        return report.write(
+            table, star.DATES, settings.output, lambda: seen.get.get("rows", 0)
+        ).table
 
     def fact_and_persons() -> list[DataFrame]:
-        kept = cleaning.clean(needed, ["i94cit"], ["cicid"]).frame
-        cleaned = report.stage(kept, CLEANED_STAGE, rows_in)
+        cleaned = report.stage(kept.frame, CLEANED_STAGE, rows_in)
+        report.cleaned("arrivals", kept.counts())
 
         def fact() -> DataFrame:
             table = star.immigration_fact(cleaned, settings.stable_fact_id)
-            return report.write(table, star.FACT, settings.output, rows_in)
+            return report.write(table, star.FACT, settings.output, rows_in).table
 
         def persons() -> DataFrame:
             table = star.person_details(cleaning.drop_missing(cleaned, ["fltno"]))
-            return report.write(table, star.PERSONS, settings.output, cleaned.count())
+            return report.write(
+                table, star.PERSONS, settings.output, report.rows[CLEANED_STAGE]
+            ).table
 
         return _side_by_side(spark, fact, persons)
 
     date_table, (fact_table, person_table) = _side_by_side(spark, dates, fact_and_persons)
     if settings.check_keys or settings.stable_fact_id:
         gates.check_unique(fact_table, ["Immig_Fact_ID"])
+    if settings.check_keys:
+        gates.check_unique(fact_table, ["cicid_Immigrant"])
+        gates.check_unique(person_table, ["cicid_Immigrant"])
     return date_table, fact_table, person_table
 
 
+def _read(
+    spark: SparkSession, settings: Settings, path: str, types: Mapping[str, str], sep: str = ","
+) -> DataFrame:
+    if settings.infer_types:
+        return read_delimited(spark, path, sep, infer=True)
+    return read_delimited(spark, path, sep, types=types, strict=settings.strict_types)
+
+
+def _write_lookup(
+    report: StageReport, settings: Settings, source: str, table: star.Table, df: DataFrame,
+    kept: cleaning.Counted,
+) -> DataFrame:
+    """Write a dimension and record its cleaning and the rows that found no port."""
+    written = report.write(
+        df, table, settings.output, lambda: kept.counts()["rows_in"],
+        {"misses": F.count_if(F.col("AirPortCode").isNull())},
+    )
+    report.cleaned(source, kept.counts(), written.metrics["misses"])
+    return written.table
+
+
 def load_cities(
     spark: SparkSession, settings: Settings, ports: DataFrame, report: StageReport
 ) -> DataFrame:
-    raw = read_delimited(spark, settings.cities, sep=";", types=star.CITY_TYPES)
+    raw = _read(spark, settings, settings.cities, settings.city_types, ";")
     _note_missing(report, "cities", raw, settings)
-    cleaned = cleaning.clean(raw.select([f"`{c}`" for c in star.CITY_COLUMNS]), dup_keys=["City"])
-    table = star.us_cities(cleaned.frame, ports, settings.match_state)
-    return report.write(table, star.CITIES, settings.output, _rows_in(raw, settings))
+    kept = cleaning.Counted(raw.select([f"`{c}`" for c in star.CITY_COLUMNS]), dup_keys=["City"])
+    table = star.us_cities(kept.frame, ports, settings.match_state)
+    return _write_lookup(report, settings, "cities", star.CITIES, table, kept)
 
 
 def load_airports(
     spark: SparkSession, settings: Settings, ports: DataFrame, report: StageReport
 ) -> DataFrame:
-    raw = read_delimited(spark, settings.airports, types=star.AIRPORT_TYPES)
+    raw = _read(spark, settings, settings.airports, settings.airport_types)
     _note_missing(report, "airports", raw, settings)
     region = [star.REGION_COLUMN] if settings.match_state else []
     needed = raw.select(star.AIRPORT_COLUMNS + region)
-    cleaned = cleaning.clean(needed, dup_keys=["ident", "name"])
-    table = star.airports(cleaned.frame, ports, settings.match_state)
-    return report.write(table, star.AIRPORTS, settings.output, _rows_in(raw, settings))
+    kept = cleaning.Counted(needed, dup_keys=["ident", "name"])
+    table = star.airports(kept.frame, ports, settings.match_state)
+    return _write_lookup(report, settings, "airports", star.AIRPORTS, table, kept)
 
 
 def load_temperatures(
     spark: SparkSession, settings: Settings, ports: DataFrame, report: StageReport
 ) -> DataFrame:
-    raw = read_delimited(spark, settings.temperatures, types=star.TEMPERATURE_TYPES)
+    raw = _read(spark, settings, settings.temperatures, settings.temperature_types)
     _note_missing(report, "temperatures", raw, settings)
-    cleaned = cleaning.clean(
+    kept = cleaning.Counted(
         raw.select(star.TEMPERATURE_COLUMNS), ["AverageTemperature"], ["City"]
     )
-    table = star.world_temperatures(cleaned.frame, ports, settings.ignore_temperature_case)
-    return report.write(table, star.TEMPERATURES, settings.output, _rows_in(raw, settings))
+    table = star.world_temperatures(kept.frame, ports, settings.ignore_temperature_case)
+    return _write_lookup(report, settings, "temperatures", star.TEMPERATURES, table, kept)
 
 
 def load_ports(spark: SparkSession, settings: Settings, report: StageReport) -> DataFrame:
@@ -210,11 +285,21 @@ class Run:
     airports: DataFrame
     temperatures: DataFrame
     report: StageReport
+    partitions: int
 
     def arrivals_by_foreign_born(self, with_key: bool = False) -> DataFrame:
-        """The closing question of a run. cicid is unique after cleaning."""
+        """The closing question of a run. cicid is unique after cleaning.
+
+        Its tables are dealt by their join key into the number of partitions that suits
+        the run's inputs, so the question does not depend on the session's setting.
+        """
+        def dealt(df: DataFrame, key: str) -> DataFrame:
+            session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return df if self.partitions <= session else df.repartition(self.partitions, key)
+
         return queries.arrivals_by_foreign_born(
-            self.fact, self.persons, self.cities, with_key, unique_persons=True
+            dealt(self.fact, "cicid_Immigrant"), dealt(self.persons, "cicid_Immigrant"),
+            self.cities, with_key, unique_persons=True,
         )
 
 
@@ -233,11 +318,13 @@ def run_all(spark: SparkSession, settings: Settings) -> Run:
             spark, *[lambda load=load: load(spark, settings, ports, report) for load in loads]
         )
 
-    inputs = [*arrival_paths(spark, settings), settings.cities, settings.airports,
-              settings.temperatures]
-    with shuffles_for(spark, total_bytes(spark, inputs)):
+    started = time.time()
+    paths = arrival_paths(spark, settings)
+    inputs = [*paths, settings.cities, settings.airports, settings.temperatures]
+    with shuffles_for(spark, total_bytes(spark, inputs)) as partitions:
         (dates, fact, persons), (cities, airports, temperatures) = _side_by_side(
-            spark, lambda: load_arrivals(spark, settings, report), lookups
+            spark, lambda: load_arrivals(spark, settings, report, paths), lookups
         )
+    report.record(StageReport.WHOLE_RUN, None, None, started)
     queries.register_views(fact, persons, cities)
-    return Run(dates, fact, persons, cities, airports, temperatures, report)
+    return Run(dates, fact, persons, cities, airports, temperatures, report, partitions)

@@ -23,9 +23,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="keelstone-")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="keelstone-")
+    return _local_roots[context.applicationId]
 
 
 def _own_root(spark: SparkSession) -> str:

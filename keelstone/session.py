@@ -39,7 +39,6 @@ def get_session(app_name: str = "keelstone", master: str | None = None, **conf)
 
 
 PARTITION_BYTES = 200 * 1024 * 1024
-MAX_PARTITIONS = 200_000
 
 
 @contextmanager
@@ -51,7 +50,7 @@ def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     the data. A higher setting stands; the old one returns at the end.
     """
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    wanted = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    wanted = -(-input_bytes // PARTITION_BYTES)
     number = max(int(before), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", number)
     try:

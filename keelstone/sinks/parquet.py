@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from keelstone.functions.missing import column
 from keelstone.operators.gates import check_row_counts
@@ -14,10 +15,12 @@ from keelstone.sources.files import read_parquet
 class Written(NamedTuple):
     table: DataFrame
     rows: int
+    metrics: dict[str, int]
 
 
 def write_checked(
-    df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite",
+    metrics: Mapping[str, Column] | None = None,
 ) -> Written:
     """Write `df`, read it back and compare the row counts.
 
@@ -30,20 +33,22 @@ def write_checked(
 
     The table returned has the column order and types of `df`: partition
     values are read with the given schema instead of being guessed. An empty
-    text as partition value comes back as NULL.
+    text as partition value comes back as NULL. `metrics` are aggregates of the written
+    rows, taken in the same pass.
     """
     if mode not in ("overwrite", "error", "errorifexists"):
         raise ValueError(f"mode {mode} would mix the rows with those of another write")
     counted = Observation()
     ready = df if partition_by is None else df.hint("rebalance", partition_by)
-    writer = ready.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    more = [c.alias(n) for n, c in (metrics or {}).items()]
+    writer = ready.observe(counted, F.count(F.lit(1)).alias("rows"), *more).write.mode(mode)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     table = read_parquet(df.sparkSession, path, df.schema).select([column(c) for c in df.columns])
     before = counted.get.get("rows", 0)
     check_row_counts(before, table.count())
-    return Written(table, before)
+    return Written(table, before, {n: counted.get.get(n) or 0 for n in metrics or {}})
 
 
 def write_new(df: DataFrame, path: str) -> DataFrame:

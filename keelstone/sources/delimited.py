@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from keelstone.functions.missing import column
+from keelstone.sources.files import SourceError, list_files
+
 
 def read_delimited(
     spark: SparkSession,
@@ -15,24 +19,71 @@ def read_delimited(
     header: bool = True,
     types: Mapping[str, str] | None = None,
     infer: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """Read delimited text.
 
-    types:  column name -> type. Only the header line is looked at to find the
+    types:  column name -> type. Only the header lines are looked at to find the
             column order; values are then parsed straight into these types
             (text for the columns not named) in the one scan that uses them.
     infer:  let Spark derive types, which costs an extra pass over the data.
     neither: every column is text; without header named _c0, _c1, ...
+    strict: a value that does not parse ends the query instead of becoming NULL.
+
+    Files whose headers name the columns in another order are aligned by name to
+    the first file; files with one header order are read as one relation.
     """
-    reader = spark.read.option("sep", sep).option("header", header)
-    if types is None:
-        return reader.option("inferSchema", infer).csv(path)
-    names = reader.csv(path).columns
-    unknown = sorted(set(types) - set(names))
+    options = {"sep": sep, "header": header, "mode": "FAILFAST" if strict else "PERMISSIVE"}
+
+    def reader():
+        return spark.read.options(**options)
+
+    if not header:
+        if types is not None:
+            raise ValueError("types go by the names of a header")
+        return reader().option("inferSchema", infer).csv(path)
+    paths = [path] if isinstance(path, str) else list(path)
+    files = [file for one in paths for file in list_files(spark, one)]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        names = tuple(reader().csv(file).columns)
+        if names:  # an empty part of a written folder has no header
+            groups.setdefault(names, []).append(file)
+    if not groups:
+        raise SourceError(f"no header in {path}")
+    wanted = list(next(iter(groups)))
+    unknown = sorted(set(types or ()) - set(wanted))
     if unknown:
         raise ValueError(f"no such columns: {unknown}")
-    fields = [
+    frames = []
+    for names, members in groups.items():
+        lost = sorted(set(wanted) - set(names))
+        if lost:
+            raise SourceError(f"{members[0]} lacks the columns {lost}")
+        if types is None:
+            frame = reader().option("inferSchema", infer).csv(members)
+        else:
+            frame = reader().schema(_typed(names, types)).csv(members)
+        frames.append(frame.select([column(n) for n in wanted]))
+    return reduce(DataFrame.union, frames)
+
+
+def _typed(names, types: Mapping[str, str]) -> StructType:
+    return StructType([
         StructField(n, _parse_datatype_string(types[n]) if n in types else StringType())
         for n in names
-    ]
-    return reader.schema(StructType(fields)).csv(path)
+    ])
+
+
+def unparsable(
+    spark: SparkSession, path: str | list[str], types: Mapping[str, str], sep: str = ","
+) -> DataFrame:
+    """(column_name, bad_values): texts that are there but do not parse as their type."""
+    texts = read_delimited(spark, path, sep)
+    counts = texts.agg(*[
+        F.count_if(column(n).isNotNull() & column(n).try_cast(t).isNull()).alias(f"_{i}")
+        for i, (n, t) in enumerate(types.items())
+    ])
+    rows = [F.struct(F.lit(n).alias("column_name"), F.col(f"_{i}").alias("bad_values"))
+            for i, n in enumerate(types)]
+    return counts.select(F.inline(F.array(*rows)))

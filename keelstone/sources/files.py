@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatchcase
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from keelstone.functions.missing import column
@@ -24,19 +25,38 @@ class SourceError(ValueError):
 def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> list[str]:
     """Sorted paths of the regular files directly inside `folder`.
 
-    Listing goes through the file source, so any Hadoop file system works; no
-    file is opened, since only the path column is asked for.
+    One listing by the Hadoop file system of the path; no job runs and no file is
+    opened. Hidden files (names with a leading _ or .) are left out, as Spark does.
     """
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return [row.path for row in reader.load(folder).select("path").orderBy("path").collect()]
+    path, system = _file_system(spark, folder)
+    found = system.globStatus(path) or []
+    if len(found) == 1 and found[0].isDirectory():
+        found = system.listStatus(found[0].getPath())
+    files = [
+        (s.getPath().getName(), s.getPath().toString()) for s in found if not s.isDirectory()
+    ]
+    if not files and not found:
+        raise SourceError(f"no such folder: {folder}")
+    return sorted(
+        full for name, full in files
+        if name[0] not in "_." and (glob is None or fnmatchcase(name, glob))
+    )
 
 
 def total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     """Size of all files at or below `paths`, from the listing alone."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+    total = 0
+    for one in paths:
+        path, system = _file_system(spark, one)
+        for status in system.globStatus(path) or []:
+            total += system.getContentSummary(status.getPath()).getLength()
+    return total
+
+
+def _file_system(spark: SparkSession, folder: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
 def within_budget(paths: Sequence[str], limit: int | None) -> list[str]:
@@ -78,8 +98,10 @@ def read_many(
     wanted = layouts[0].fieldNames()
     grouped = fmt.lower() in SPLITTABLE_FORMATS
     groups: dict[str, tuple[StructType, list[str]]] = {}
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
     for path, layout in zip(chosen, layouts):
-        lost = [name for name in wanted if name not in layout.fieldNames()]
+        there = {n if exact else n.lower() for n in layout.fieldNames()}
+        lost = [name for name in wanted if (name if exact else name.lower()) not in there]
         if lost:
             raise SourceError(f"{path} lacks the columns {lost}")
         groups.setdefault(layout.json() if grouped else path, (layout, []))[1].append(path)
@@ -87,7 +109,9 @@ def read_many(
         (reader().schema(layout).load(members) if grouped else reader().load(members[0]))
         for layout, members in groups.values()
     ]
-    return reduce(DataFrame.union, (f.select([column(n) for n in wanted]) for f in frames))
+    return reduce(
+        DataFrame.union, (f.select([column(n).alias(n) for n in wanted]) for f in frames)
+    )
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

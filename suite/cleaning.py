@@ -148,6 +148,30 @@ def fill_backward_chunked(spark, folder):
     )
 
 
+# A few keys hold all rows, many of them without a date, and every key is cut into chunks.
+_HOT_ORDER = "o_orderdate NULLS FIRST, o_orderkey"
+_HOT_FORWARD = _FORWARD.replace("PARTITION BY o_custkey ORDER BY o_orderkey", f"PARTITION BY o_orderstatus ORDER BY {_HOT_ORDER}")
+_HOT_BACKWARD = _BACKWARD.replace("PARTITION BY o_custkey ORDER BY o_orderkey", f"PARTITION BY o_orderstatus ORDER BY {_HOT_ORDER}")
+
+
+def _filled_hot(spark, folder, function):
+    rows = gaps(spark, folder)
+    return function(
+        rows, "o_totalprice", ["o_orderstatus"], ["o_orderdate", "o_orderkey"],
+        max_group_rows=rows.count() // 16,
+    )
+
+
+@query(_HOT_FORWARD)
+def fill_forward_hot_key(spark, folder):
+    return _filled_hot(spark, folder, fill.fill_forward)
+
+
+@query(_HOT_BACKWARD)
+def fill_backward_hot_key(spark, folder):
+    return _filled_hot(spark, folder, fill.fill_backward)
+
+
 _LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from keelstone import scratch
 from keelstone.sources import labels
-from keelstone.sources.delimited import read_delimited
+from keelstone.sources.delimited import read_delimited, unparsable
 from keelstone.sources.files import list_files, read_many
 from suite.registry import query, table
 from suite.standins import PORT_LINES_SQL, port_lines, write_label_file
@@ -75,6 +75,39 @@ def scan_csv_untyped(spark, folder):
     return read_delimited(spark, path, sep=";", header=False)
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def scan_csv_permuted(spark, folder):
+    """Files of one folder whose headers have two column orders."""
+    base = scratch.new_folder(spark, "permuted-csv")
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
+    )
+    orders = rows.where("o_orderkey % 2 = 0"), rows.where("o_orderkey % 2 <> 0").select(
+        "o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey"
+    )
+    for part in orders:
+        part.write.mode("append").option("sep", ";").option("header", True).csv(base)
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return read_delimited(spark, base, ";", types=types).select(rows.columns)
+
+
+@query(
+    """
+    SELECT 'p_size' AS column_name, count(*) FILTER (p_size % 5 = 0) AS bad_values FROM part
+    UNION ALL SELECT 'p_partkey', 0
+    """
+)
+def scan_csv_bad_values(spark, folder):
+    """Every fifth size is written as a fraction, every seventh is missing."""
+    path = scratch.new_folder(spark, "bad-csv")
+    size = F.when(F.col("p_size") % 5 == 0, F.concat("p_size", F.lit(".5"))).when(
+        F.col("p_size") % 7 != 0, F.col("p_size").cast("string")
+    )
+    parts = table(spark, folder, "part").select("p_partkey", size.alias("p_size"))
+    parts.write.option("header", True).csv(path)
+    return unparsable(spark, path, {"p_size": "int", "p_partkey": "bigint"})
+
+
 def _order_files(spark, folder):
     """Orders by status in three folders; later ones have other column layouts."""
     orders = table(spark, folder, "orders")
@@ -113,3 +146,17 @@ def label_sections(spark, folder):
 @query(_PORTS_SQL.format(lines=PORT_LINES_SQL))
 def label_lines(spark, folder):
     return labels.to_ports(labels.entries(port_lines(spark, folder)))
+
+
+@query(_PORTS_SQL.format(lines=f"""
+    SELECT line FROM ({PORT_LINES_SQL.replace("AS line", "AS line, s_suppkey")})
+    WHERE s_suppkey >= 3 AND s_suppkey < 8
+"""))
+def label_line_range(spark, folder):
+    """Entries on the lines [2, 7) of a file of port lines alone, in key order."""
+    path = scratch.new_folder(spark, "port-lines")
+    key = F.regexp_extract("line", "'P([0-9]+)'", 1).cast("long")
+    lines = port_lines(spark, folder).withColumn("key", key).repartitionByRange(1, "key")
+    lines.sortWithinPartitions("key").select("line").write.text(path)
+    first = lines.agg(F.min("key")).first()[0]
+    return labels.to_ports(labels.read_line_range(spark, path, (3 - first, 8 - first)))

@@ -58,7 +58,12 @@ def _settings(spark, folder, *needed):
     def months():
         rows = standins.arrivals(spark, folder).withColumn("month", F.col("i94addr"))
         rows.write.partitionBy("month").parquet(f"{base}/arrivals")
-        return [f"{base}/arrivals/month={status}" for status in ("F", "O")]
+        # As many folders as values; Spark names that of NULL itself.
+        found = [r.month for r in rows.select("month").distinct().collect()]
+        return [
+            f"{base}/arrivals/month={'__HIVE_DEFAULT_PARTITION__' if m is None else m}"
+            for m in sorted(found, key=str)
+        ]
 
     def text(name, sep):
         frame = getattr(standins, name)(spark, folder)
@@ -178,8 +183,63 @@ def _stage_sql(stage, rows_in, rows_out):
             _stage_sql("D_USCities", "FROM customer", _CITIES),
             _stage_sql("D_AirPort", "FROM part", airports_sql(_CLEAN_AIRPORTS)),
             _stage_sql("D_WorldTemp", "FROM orders", temperatures_sql(_CLEAN_TEMPERATURES)),
+            "SELECT 'run', NULL, NULL",
         ]
     )
 )
 def stage_report(spark, folder):
-    return _everything(spark, folder).report.to_frame().drop("seconds")
+    """Rows of every stage; its times differ from run to run, but they must be in order."""
+    found = _everything(spark, folder).report.to_frame()
+    return found.where("seconds >= 0 and started <= ended").select("stage", "rows_in", "rows_out")
+
+
+def _cleaning_sql(source, raw, kept, cleaned, table):
+    misses = f"""(SELECT count(*) FROM ({table}) WHERE "AirPortCode" IS NULL)""" if table else "NULL"
+    return f"""
+        SELECT '{source}' AS source, r AS rows_in, r - k AS missing_dropped,
+               k - c AS duplicates_dropped, c AS rows_out, {misses} AS join_misses
+        FROM (SELECT (SELECT count(*) FROM ({raw})) AS r, (SELECT count(*) FROM ({kept})) AS k,
+                     (SELECT count(*) FROM ({cleaned})) AS c)
+    """
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _cleaning_sql(
+                "arrivals", standins.ARRIVALS_SQL,
+                f"SELECT * FROM ({standins.ARRIVALS_SQL}) WHERE i94cit IS NOT NULL AND NOT isnan(i94cit)",
+                _CLEAN_ARRIVALS, None,
+            ),
+            _cleaning_sql("cities", standins.CITIES_SQL, standins.CITIES_SQL, _CLEAN_CITIES, _CITIES),
+            _cleaning_sql(
+                "airports", standins.AIRPORTS_SQL, standins.AIRPORTS_SQL, _CLEAN_AIRPORTS,
+                airports_sql(_CLEAN_AIRPORTS),
+            ),
+            _cleaning_sql(
+                "temperatures", standins.TEMPERATURES_SQL,
+                f"""SELECT * FROM ({standins.TEMPERATURES_SQL})
+                    WHERE "AverageTemperature" IS NOT NULL AND NOT isnan("AverageTemperature")""",
+                _CLEAN_TEMPERATURES, temperatures_sql(_CLEAN_TEMPERATURES),
+            ),
+        ]
+    )
+)
+def run_cleaning_report(spark, folder):
+    return _everything(spark, folder).report.cleaning_frame()
+
+
+@query(
+    f"""
+    SELECT count(*) AS row_count, count(*) AS ids, 0 AS null_ids, count(*) AS persons
+    FROM ({_FACT})
+    """
+)
+def star_fact_ids(spark, folder):
+    """The surrogate key of the fact as written, beside its natural key."""
+    return _arrivals(spark, folder)[1].agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("Immig_Fact_ID").alias("ids"),
+        F.count_if(F.col("Immig_Fact_ID").isNull()).cast("int").alias("null_ids"),
+        F.count_distinct("cicid_Immigrant").alias("persons"),
+    )

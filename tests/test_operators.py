@@ -64,20 +64,21 @@ def test_keep_first_reduces_before_the_shuffle(frame):
     assert "partial_min" in plan.split("Exchange hashpartitioning(k", 1)[1]
 
 
-@pytest.mark.parametrize("heavy_keys", [0, 1, 5, 4096])
-def test_repeated_rows_with_any_number_of_heavy_keys(frame, skewed, heavy_keys):
+@pytest.mark.parametrize("heavy_rows", [10**6, 100, 3, 1])
+def test_repeated_rows_with_any_number_of_heavy_keys(frame, skewed, heavy_rows):
     counts = {}
     for r in skewed:
         counts[r[0]] = counts.get(r[0], 0) + 1
     expected = rows([r for r in skewed if counts[r[0]] > 1])
-    assert rows(cleaning.repeated_rows(frame, ["k"], heavy_keys=heavy_keys)) == expected
+    assert rows(cleaning.repeated_rows(frame, ["k"], heavy_rows=heavy_rows)) == expected
 
 
 def test_heavy_rows_are_not_shuffled(frame, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1",
              spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     counted = cleaning.key_counts(frame, ["k"], "n")
-    joined = skew.semi_join(frame, counted, ["k"], "n", heavy_keys=1)
+    heaviest = counted.agg({"n": "max"}).first()[0]
+    joined = skew.semi_join(frame, counted, ["k"], "n", heavy_rows=heaviest - 1)
     assert joined.count() == frame.count()
     plan = final_plan(joined)
     assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" in plan
@@ -120,6 +121,27 @@ def test_fill_cuts_a_large_key(spark):
     assert "_chunk" in final_plan(got)
 
 
+@pytest.mark.parametrize("forward", [True, False])
+def test_fill_carries_values_at_null_places(spark, settings, forward):
+    settings(spark__sql__shuffle__partitions="8")
+    data = [("k", None, 5.0)] + [("k", t, 9.0 if t == 1500 else None) for t in range(2000)]
+    df = spark.createDataFrame(data, "k string, t int, v double").repartition(3)
+    plain = fill.fill(df, "v", ["k"], ["t"], forward)
+    cut = fill.fill(df, "v", ["k"], ["t"], forward, max_group_rows=500)
+    assert rows(cut) == rows(plain)
+    assert cut.where("v = 5").count() == (1500 + 1 if forward else 1)
+
+
+def test_chunks_are_many_and_bounded(spark, monkeypatch):
+    seen = []
+    checkpoint = fill.scratch.checkpoint
+    monkeypatch.setattr(fill.scratch, "checkpoint", lambda df: seen.append(checkpoint(df)) or seen[-1])
+    df = spark.range(4000).selectExpr("'one' AS k", "id AS t", "IF(id = 3, 7D, NULL) AS v")
+    fill.fill_forward(df, "v", ["k"], ["t"], max_group_rows=500).count()
+    sizes = [r["count"] for r in seen[0].groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 500
+
+
 def test_fill_of_an_empty_frame(spark):
     df = spark.createDataFrame([], "k string, t int, v double")
     assert fill.fill_forward(df, "v", ["k"], ["t"]).count() == 0

@@ -14,7 +14,7 @@ def test_partition_values_keep_type_and_order(spark, tmp_path):
     df = spark.createDataFrame(
         [(1.0, "a"), (None, "b"), (2.5, "c")], "p double, x string"
     )
-    table, count = write_checked(df, str(tmp_path / "t"), "p")
+    table, count, _ = write_checked(df, str(tmp_path / "t"), "p")
     assert count == 3
     assert table.dtypes == df.dtypes
     assert rows(table) == rows(df)
@@ -47,7 +47,7 @@ def test_few_files_per_value_but_hot_values_are_split(spark, tmp_path, settings)
     write_checked(df, str(tmp_path / "a"), "p")
     assert len(list_files(spark, str(tmp_path / "a" / "p=v1"), "*.parquet")) == 1
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="1MB")
-    table, count = write_checked(df, str(tmp_path / "b"), "p")
+    table, count, _ = write_checked(df, str(tmp_path / "b"), "p")
     assert len(list_files(spark, str(tmp_path / "b" / "p=hot"), "*.parquet")) > 1
     assert count == table.count() == 200000
 

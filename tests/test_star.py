@@ -8,7 +8,9 @@ from keelstone import DataQualityError, Settings, run_all
 from keelstone.__main__ import main
 from keelstone.operators import cleaning
 from keelstone.plans import batch, queries, star
+from keelstone.plans.batch import arrival_paths
 from keelstone.session import shuffles_for
+from keelstone.sources.files import list_files
 from suite import QUERIES
 from tests.conftest import final_plan, rows
 
@@ -104,17 +106,23 @@ def test_whole_run(spark, sources):
     # cicid 1 and 2 arrive at AAA; 5 has no person, 6 no city.
     assert rows(run.arrivals_by_foreign_born(with_key=True)) == [(77, 2)]
     assert queries.arrivals_by_foreign_born_sql(spark).collect() == [(2,)]
-    assert [tuple(r) for r in run.report.to_frame().drop("seconds").collect()] == [
+    times = run.report.to_frame()
+    assert times.where("started > ended or seconds < 0").count() == 0
+    assert rows(run.report.cleaning_frame()) == rows([
+        ("arrivals", 7, 2, 1, 4, None), ("cities", 3, 0, 1, 2, 0), ("airports", 3, 0, 1, 2, 1),
+        ("temperatures", 4, 1, 1, 2, 1),
+    ])
+    assert [tuple(r)[:3] for r in times.collect()] == [
         ("ports", None, 3), ("cleaned_arrivals", 7, 4), ("D_DateTime", 7, 7),
         ("Fact_Immigrant", 7, 4), ("D_Immigrant_detail", 4, 3),
-        ("D_USCities", 3, 3), ("D_AirPort", 3, 3), ("D_WorldTemp", 4, 2),
+        ("D_USCities", 3, 3), ("D_AirPort", 3, 3), ("D_WorldTemp", 4, 2), ("run", None, None),
     ]
 
 
 def test_options(spark, sources):
     chosen = replace(
         sources, arrivals_limit=1, match_state=True, ignore_temperature_case=True,
-        distinct_dates=True, stable_fact_id=True, count_inputs=False, show_missing=True,
+        distinct_dates=True, stable_fact_id=True, show_missing=True, check_keys=True,
     )
     run = run_all(spark, chosen)
     assert run.fact.count() == 2
@@ -225,7 +233,7 @@ def test_top_groups_and_months(spark):
 def test_shuffles_grow_with_the_input(spark):
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    for size, number in ((10, int(before)), (1024**4, 5243), (100 * 1024**4, 200_000)):
+    for size, number in ((10, int(before)), (1024**4, 5243), (100 * 1024**4, 524_288)):
         with shuffles_for(spark, size) as chosen:
             assert chosen == number == int(spark.conf.get(setting))
         assert spark.conf.get(setting) == before
@@ -239,3 +247,28 @@ def test_command_line(spark, sources, capsys):
     shown = capsys.readouterr().out
     assert "Missing values in arrivals" in shown and "Fact_Immigrant" in shown
     assert "count_F_Immg" in shown
+
+
+def test_values_that_do_not_parse_end_the_run(spark, sources):
+    path = sources.cities
+    text = open(path).read()
+    bad = path.replace("cities", "bad-cities")
+    with open(bad, "w") as file:
+        file.write(text.replace(";77;", ";12.5;"))
+    assert text != open(bad).read()
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        run_all(spark, replace(sources, cities=bad))
+    kept = run_all(spark, replace(sources, cities=bad, strict_types=False, output=sources.output + "2"))
+    assert kept.cities.where("ForeignBorn is not null").count() == 0
+
+
+def test_arrivals_by_name_of_file(spark, sources):
+    chosen = replace(sources, arrivals=sources.arrivals[0], arrivals_glob="*.parquet")
+    assert len(arrival_paths(spark, chosen)) == 1
+    assert len(list_files(spark, sources.arrivals[0], "*.csv")) == 0
+
+
+def test_question_uses_the_partitions_of_the_run(spark, sources):
+    run = replace(run_all(spark, sources), partitions=37)
+    plan = run.arrivals_by_foreign_born()._jdf.queryExecution().toString()
+    assert "37" in plan and rows(run.arrivals_by_foreign_born(with_key=True)) == [(77, 2)]
