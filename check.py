@@ -21,7 +21,7 @@ TABLES = (
 # Spark type names as DuckDB writes them.
 TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-    "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 
