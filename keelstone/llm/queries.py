@@ -37,7 +37,32 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-@query()
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(
+          CASE WHEN len(words) = 0 THEN []
+               WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+               ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+          END) AS gram FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+      FROM s AS x JOIN s AS y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+      WHERE 100 * both_have >= 90 * (x.n + y.n - both_have)),
+e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS reached FROM documents
+      UNION SELECT r.id, e2.b FROM r JOIN e2 ON r.reached = e2.a),
+c AS (SELECT id, min(reached) AS component_id FROM r GROUP BY id)
+SELECT documents.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.id = documents.doc_id
+"""
+
+
+@query(OP1_SQL)
 def op1_ngram_jaccard_join(spark, folder):
     """Components of documents whose 3-word shingle sets have a similarity of 0.9 or more."""
     return ngram_join.jaccard_components(table(spark, folder, "documents"), k=3, percent=90)
@@ -123,10 +148,65 @@ def op5_benchmark_decontamination(spark, folder):
     return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query()
+def _strength_sql(groups):
+    """Strength of the prior that the rates of a table of counts come from."""
+    return f"""
+        (SELECT CASE WHEN total IS NULL OR k < 2 OR spread <= 0 THEN 1000.0
+                     ELSE least(greatest(mean * (1 - mean) / spread - 1, 1.0), 1000.0) END
+         FROM (SELECT *, (s - total * mean * mean - (k - 1) * mean * (1 - mean))
+                         / CASE WHEN total - nn / total - (k - 1) = 0 THEN 1
+                                ELSE total - nn / total - (k - 1) END AS spread
+               FROM (SELECT count(*) AS k, sum(n)::DOUBLE AS total, sum(n * n)::DOUBLE AS nn,
+                            sum(bad)::DOUBLE / sum(n) AS mean, sum(bad::DOUBLE * bad / n) AS s
+                     FROM {groups} WHERE n > 0)))
+    """
+
+
+OP6_SQL = rf"""
+WITH u AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest
+    FROM pages),
+p AS (SELECT page_id,
+             translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+o AS (SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS is_bad
+      FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+c AS (SELECT host, count(is_bad) AS n, count(*) FILTER (is_bad) AS bad
+      FROM p LEFT JOIN o
+        ON o.doc_id = TRY_CAST(regexp_extract(path, '/(\d{{1,18}})[^/]*/?$', 1) AS BIGINT)
+      GROUP BY host),
+h AS (SELECT *, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+             string_split(host, '.')[-1] AS suffix FROM c),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
+k AS (SELECT {_strength_sql('s')} AS ks, {_strength_sql('d')} AS kd, {_strength_sql('h')} AS kh,
+             (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM s) AS overall),
+rs AS (SELECT suffix, (bad + ks * overall) / (n + ks) AS rate FROM s, k),
+rd AS (SELECT domain, suffix, (bad + kd * rs.rate) / (n + kd) AS rate FROM d JOIN rs USING (suffix), k),
+rh AS (SELECT host, n + kh AS weight, (bad + kh * rd.rate) / (n + kh) AS rate
+       FROM h JOIN rd USING (domain, suffix), k),
+b AS (SELECT host, rate, greatest(0.0, rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1))) AS lower_bound
+      FROM rh),
+r AS (SELECT p.*, rate, lower_bound, CASE
+          WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+          WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+          WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+      FROM p JOIN b USING (host))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN lower_bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       round(rate, 6) AS bad_rate, round(lower_bound, 6) AS lower_bound
+FROM r
+"""
+
+
+@query(OP6_SQL)
 def op6_url_filters(spark, folder):
     """Verdict on every page's url."""
-    return url_reputation.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+    judged = url_reputation.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("bad_rate", "lower_bound")})
 
 
 @query()
