@@ -15,7 +15,8 @@ this already extends most matches to their ends. Where occurrences of an anchor
 disagree (at the ends of passages and at edits), the texts of those documents
 are fetched and the seed is extended word by word: each of its windows is
 compared by two hashes of its own words. Nothing is ever put out per pair of
-occurrences, so a passage in thousands of documents costs a row for each.
+occurrences, so a passage in thousands of documents costs a row for each. Anchors of
+very common lines are found first and reduced before the shuffle.
 
 Windows that are covered and overlap make maximal repeats; those of fewer than
 `min_words` words are left alone.
@@ -38,10 +39,12 @@ from pyspark.sql.types import BooleanType, StructType
 
 from keelstone.llm.shared import fresh, stage
 from keelstone.llm.words import Words, map_blocks, mix, signed, text_bytes
+from keelstone.operators.lookup import measure
 
 WINDOW = 13
 K = 5
 REACH = WINDOW - K  # words a window may reach beyond its anchor on either side
+HEAVY_SEEDS = 50_000  # seeds of one anchor that are too many for one task
 
 SEED_SCHEMA = "anchor bigint, doc_id bigint, place bigint, span bigint"
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -142,20 +145,73 @@ def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_blocks(rows, "text", work, "key bigint, key2 bigint, doc_id bigint, start bigint")
 
 
-def covered(docs: DataFrame) -> DataFrame:
-    """(doc_id, ranges): word ranges of repeated windows, as start * 256 + length."""
+def _heavy_anchors(docs: DataFrame) -> DataFrame | None:
+    """Anchors with too many seeds for one task, or None if there are none.
+
+    Each block counts the anchors that it holds more than once, so a common line is counted
+    almost in full while texts without repeats send nothing. The least count is raised until the
+    list is measured to fit a broadcast.
+    """
+
+    def work(block):
+        anchor = _seeds(block.column(1))[1]
+        distinct, n = np.unique(anchor, return_counts=True)
+        often = n > 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(signed(distinct[often])), pa.array(n[often].astype(np.int64))], ["anchor", "n"]
+        )
+
+    counted = stage(
+        map_blocks(docs, "text", work, "anchor bigint, n bigint")
+        .groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_SEEDS),
+        "heavy_anchors",
+    )
+    least = HEAVY_SEEDS
+    while True:
+        heavy = counted.where(F.col("n") >= least).select("anchor")
+        rows, fits = measure(heavy)
+        if fits:
+            return heavy if rows else None
+        least *= 10
+
+
+def _meeting(found: DataFrame) -> DataFrame:
+    """Seeds whose anchor is in several documents, if they are settled or their anchor varies."""
+    return found.where("min_doc < max_doc and (seed_doc < doc_id or varied)").select(
+        "doc_id", "place", (F.col("seed_doc") < F.col("doc_id")).alias("settled")
+    )
+
+
+def _met(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, settled) of the seeds that other documents have too."""
+    heavy, found = _heavy_anchors(docs), seeds(docs)
+    light = found if heavy is None else found.join(F.broadcast(heavy), "anchor", "left_anti")
     same_anchor = Window.partitionBy("anchor")
-    same_seed = Window.partitionBy("anchor", "span")
-    met = (
-        seeds(docs)
-        .withColumn("seed_doc", F.min("doc_id").over(same_seed))
+    met = _meeting(
+        light.withColumn("seed_doc", F.min("doc_id").over(Window.partitionBy("anchor", "span")))
         .withColumn("min_doc", F.min("doc_id").over(same_anchor))
         .withColumn("max_doc", F.max("doc_id").over(same_anchor))
         .withColumn("varied", F.min("span").over(same_anchor) != F.max("span").over(same_anchor))
-        .where("min_doc < max_doc and (seed_doc < doc_id or varied)")
-        .select("doc_id", "place", (F.col("seed_doc") < F.col("doc_id")).alias("settled"))
     )
-    met = stage(met, "seeds")
+    if heavy is None:
+        return met
+    # Seeds of heavy anchors are reduced before they are shuffled, and joined with what came
+    # of it; adaptive execution splits that join.
+    hot = stage(found.join(F.broadcast(heavy), "anchor", "left_semi"), "hot_seeds")
+    spans = hot.groupBy("anchor", "span").agg(
+        F.min("doc_id").alias("seed_doc"), F.max("doc_id").alias("last_doc")
+    )
+    anchors = spans.groupBy("anchor").agg(
+        F.min("seed_doc").alias("min_doc"), F.max("last_doc").alias("max_doc"),
+        (F.count(F.lit(1)) > 1).alias("varied"),
+    )
+    facts = spans.drop("last_doc").join(anchors, "anchor")
+    return met.union(_meeting(hot.join(facts, ["anchor", "span"])))
+
+
+def covered(docs: DataFrame) -> DataFrame:
+    """(doc_id, ranges): word ranges of repeated windows, as start * 256 + length."""
+    met = stage(_met(docs), "seeds")
     low = F.expr("shiftright(place, 4) & 15")
     high = F.expr("place & 15")
     settled = met.where("settled").select(
