@@ -108,7 +108,7 @@ def words_of(text: Column) -> Column:
     beyond ASCII, save two, which it would turn into i and k.
     """
     text = F.coalesce(text, F.lit(""))
-    odd = F.contains(text, F.lit("İ")) | F.contains(text, F.lit("K"))
+    odd = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212A"))
     low = F.when(odd, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
     return F.array_remove(F.split(low, BETWEEN), "")
 

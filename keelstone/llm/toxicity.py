@@ -40,7 +40,7 @@ THRESHOLD = 0.3
 
 # Letters of one look, the first stands for all of them.
 LOOKS = (
-    "aаα4@", "bвЬ8", "cсϲ", "dԁ", "eеєε3", "g9ɡ", "hһ", "iіıιl1ӏ", "jј", "kкκ", "mм", "nոη", "oоοօ0",
+    "aаα4@", "bвь8", "cсϲ", "dԁ", "eеєε3", "g9ɡ", "hһ", "iіıιl1ӏ", "jј", "kкκ", "mм", "nոη", "oоοօ0",
     "pрρ", "qԛ", "sѕ5", "tтτ7", "uυս", "vνѵ", "wԝω", "xхχ", "yуγ", "zʐ",
 )
 # Signs that stand for a letter only where a letter follows.
