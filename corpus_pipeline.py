@@ -31,7 +31,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage close to a benchmark item."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,7 +145,8 @@ def op4_html_extraction(spark, folder):
 @query()
 def op5_benchmark_decontamination(spark, folder):
     """Documents that contain a benchmark item, and the closest passage."""
-    return decontaminate.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = table(spark, folder, "benchmark")
+    return decontaminate.hits(table(spark, folder, "documents"), items, short_items=True)
 
 
 def _strength_sql(groups):

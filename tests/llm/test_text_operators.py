@@ -209,6 +209,33 @@ def test_items_in_several_blocks(spark):
     assert len(blocks) > 3 and sorted(i for b in blocks for i in b.ids) == list(range(12))
 
 
+def test_items_without_long_words_or_spaces_are_found(spark):
+    r = random.Random(11)
+    rows, items = [], []
+    for i in range(60):
+        item = "".join(r.choice("ab c") for _ in range(r.randint(1, 30)))
+        items.append((i, item))
+        rows.append((i, "".join(r.choice("ab c") for _ in range(r.randint(0, 60)))))
+    glued = "the quick brown fox jumps over the lazy dog"
+    spoken = "我们的语言模型在这个测试题目上面不应该看到答案"
+    items += [(100, glued), (101, spoken), (102, "two words")]
+    rows += [(100, f"xyz{glued.replace(' ', '')}xyz"), (101, f"前面{spoken[:9]}很{spoken[10:]}后面"), (102, "Two  words")]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.hits(helpers.docs(spark, rows), table, short_items=True).collect()
+    expected = {}
+    for d, text in rows:
+        text = " ".join(helpers.words(text)).lower().encode().decode("latin-1")
+        for i, item in items:
+            item = " ".join(helpers.words(item)).encode().decode("latin-1")
+            distance = helpers.edit_distance_inside(item, text)
+            if item and text and distance <= int(0.15 * len(item)):
+                expected[d, i] = distance
+    assert {(x.doc_id, x.item_id): x.distance for x in found} == expected
+    assert {(101, 101), (102, 102)} <= set(expected)
+    usual = {(x.doc_id, x.item_id) for x in decontaminate.hits(helpers.docs(spark, rows), table).collect()}
+    assert (101, 101) in usual
+
+
 # Toxicity
 
 
