@@ -236,6 +236,31 @@ def test_items_without_long_words_or_spaces_are_found(spark):
     assert (101, 101) in usual
 
 
+@pytest.mark.parametrize("share", [0.1, 0.14, 0.15])
+def test_no_edited_copy_within_the_distance_is_lost(spark, share):
+    r, random_ = random.Random(12), np.random.default_rng(8)
+    items = [(i, _sentence(r, r.randint(15, 50))) for i in range(60)]
+    rows = []
+    for i, item in items:
+        edits = int(share * len(item))
+        rows.append((i, decontaminate._edited(item.encode(), edits, random_).decode()))
+        # Changed letters only, spread evenly: nearly no word stays as it is.
+        letters = list(item)
+        for j in range(edits):
+            letters[j * len(item) // edits] = "#"
+        rows.append((100 + i, "".join(letters)))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    hits = decontaminate.hits(helpers.docs(spark, rows), table).collect()
+    found = {(x.doc_id, x.item_id) for x in hits}
+    texts, lost = dict(items), []
+    for d, text in rows:
+        item = texts[d % 100]
+        near = decontaminate.distance(item.encode(), " ".join(helpers.words(text)).encode())[0]
+        if near <= int(0.15 * len(item)) and (d, d % 100) not in found:
+            lost.append(d)
+    assert lost == []
+
+
 # Toxicity
 
 
