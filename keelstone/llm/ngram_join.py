@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from keelstone.llm.components import components
-from keelstone.llm.shared import stage
+from keelstone.llm.shared import fresh, stage
 from keelstone.llm.words import (
     Words, distinct_per_text, lists, map_blocks, mix, signed, text_bytes,
 )
@@ -425,8 +425,13 @@ def jaccard_components(
 
 
 def keep_one(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Documents that have the smallest id of their component, with all their columns."""
+    """Documents that have the smallest id of their component, with all their columns.
+
+    Rows without an id belong to no component and are all kept.
+    """
+    of = fresh(df, "kept_id")
     kept = (
-        jaccard_components(df, k, percent).where("doc_id = component_id").select("doc_id").distinct()
+        jaccard_components(df, k, percent).where("doc_id = component_id")
+        .select(F.col("doc_id").alias(of)).distinct()
     )
-    return df.join(kept, "doc_id", "left_semi")
+    return df.join(kept, df["doc_id"] == kept[of], "left_semi").union(df.where("doc_id is null"))

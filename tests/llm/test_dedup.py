@@ -93,6 +93,14 @@ def test_keep_one_keeps_columns_and_first_documents(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
 
 
+def test_keep_one_keeps_rows_without_an_id(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (None, "other words"), (None, None)]
+    kept = ngram_join.keep_one(helpers.docs(spark, rows)).collect()
+    assert sorted((x.doc_id or 0, x.text or "") for x in kept) == [
+        (0, ""), (0, "a b c d e f g"), (0, "other words"), (1, "a b c d e f g")
+    ]
+
+
 def test_join_of_an_empty_table(spark):
     df = helpers.docs(spark, [])
     assert ngram_join.jaccard_components(df).collect() == []
