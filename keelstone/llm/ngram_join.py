@@ -26,8 +26,8 @@ its bitmaps (whose Hamming distance is at most the number of elements that
 differ) do not rule it out. Copies by the thousand thus never become pairs.
 
 Defined cases: NULL, empty or blank texts have an empty set and link with
-nothing. Equal rows stay rows of the result. Ids should be unique; if one has
-several texts, the smallest of them is compared for all; a row without an id
+nothing. Equal rows stay rows of the result. Rows of one id are in one component, and each of
+them is compared by its own text; a row without an id
 belongs to no component. Other columns are ignored; an empty table gives an empty result.
 """
 
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from keelstone.llm.components import components
-from keelstone.llm.shared import fresh, stage
+from keelstone.llm.shared import fresh, repeated_ids, stage
 from keelstone.llm.words import (
     Words, distinct_per_text, lists, map_blocks, mix, signed, text_bytes,
 )
@@ -330,6 +330,27 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `df`; see the module's text."""
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    if not repeated_ids(docs):
+        return _components(docs, k, percent)
+    # Rows are compared under numbers of their own, then components that share an id are joined.
+    rows = stage(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    number = F.when(F.col("doc_id").isNotNull(), F.col("row"))
+    found = _components(rows.select(number.alias("doc_id"), "text"), k, percent).select(
+        F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("part")
+    )
+    found = stage(found.join(rows.select("row", "doc_id"), "row", "left"), "found")
+    shared = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("part").alias("a"))
+    edges = found.join(shared, "doc_id").select("a", F.col("part").alias("b"))
+    joined = components(edges).select(F.col("id").alias("part"), F.col("component_id").alias("whole"))
+    parts = found.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least_id"))
+    parts = parts.join(joined, "part", "left").withColumn("whole", F.coalesce("whole", "part"))
+    least = parts.groupBy("whole").agg(F.min("least_id").alias("component_id"))
+    of_part = parts.select("part", "whole").join(least, "whole").select("part", "component_id")
+    return found.join(of_part, "part", "left").select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """`jaccard_components` of (doc_id, text) with unique ids."""
     sets = stage(_sets(docs, k), "sets")
     # Equal sets: the smallest id stands for all of them.
     leaders = stage(
@@ -349,12 +370,8 @@ def jaccard_components(
     largest = leaders.agg(F.max("n")).first()[0] or 0
     classes = Sizes(percent, choose_light(histogram, percent), int(largest))
 
-    only = docs
-    if not leaders.groupBy("id").count().where("count > 1").isEmpty():
-        only = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    lead_docs = only.join(leaders.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    lead_docs = docs.join(leaders.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
     rows = _keys(lead_docs, k, classes).select("id", F.explode("keys").alias("key"))
-    # One id may stand for several rows of equal text.
     in_key = Window.partitionBy("key").orderBy("id")
     listed = stage(
         rows.select(
@@ -367,7 +384,7 @@ def jaccard_components(
     )
     members = stage(
         _members(
-            only.join(
+            docs.join(
                 listed.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"
             ), k,
         ),

@@ -12,6 +12,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return scratch.stage(df, label)
 
 
+def repeated_ids(docs: DataFrame) -> bool:
+    """Whether rows share a doc_id."""
+    return not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or a longer one if `df` has such a column."""
     taken = {c.lower() for c in df.columns}

@@ -23,7 +23,7 @@ Windows that are covered and overlap make maximal repeats; those of fewer than
 
 Words are compared by 128 bits of hashes. Defined cases: NULL, empty and short texts hold no window and are left
 as they are. Rows with equal ids are one document split over rows: they never
-remove from each other; rows without an id
+remove from each other, and each loses the words of its own text only; rows without an id
 neither remove nor lose words. Extra columns are kept where a documents table is
 returned. An empty table gives an empty result.
 """
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, StructType
 
-from keelstone.llm.shared import fresh, stage
+from keelstone.llm.shared import fresh, repeated_ids, stage
 from keelstone.llm.words import Words, map_blocks, mix, signed, text_bytes
 from keelstone.operators.lookup import measure
 
@@ -95,8 +95,14 @@ def _seeds(texts: pa.Array):
     return owner, gram[at], word - words.first[owner], low, high, span
 
 
+def _row(docs: DataFrame) -> str:
+    """Column that tells rows apart: `row` where ids are repeated."""
+    return "row" if "row" in docs.columns else "doc_id"
+
+
 def seeds(docs: DataFrame) -> DataFrame:
-    """One row per seed; `place` packs its position, low and high."""
+    """One row per seed; `place` packs its position, low and high. A column `row` is carried."""
+    carried = docs.columns[2:]
 
     def work(block):
         owner, anchor, at, low, high, span = _seeds(block.column(1))
@@ -105,17 +111,19 @@ def seeds(docs: DataFrame) -> DataFrame:
             [
                 pa.array(signed(anchor)), block.column(0).take(pa.array(owner)),
                 pa.array(at * 256 + low * 16 + high), pa.array(signed(span)),
+                *(c.take(pa.array(owner)) for c in block.columns[2:]),
             ],
-            ["anchor", "doc_id", "place", "span"],
+            ["anchor", "doc_id", "place", "span", *carried],
         )
 
-    return map_blocks(docs, "text", work, SEED_SCHEMA)
+    return map_blocks(docs, "text", work, SEED_SCHEMA + "".join(f", {c} bigint" for c in carried))
 
 
 def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, key2, doc_id, start) of all windows of the wanted seeds."""
-    places = wanted.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("place").alias("places"))
-    rows = docs.join(places, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "places")
+    """(key, key2, doc_id, start), and `row` if there is one, of all windows of the wanted seeds."""
+    of, carried = _row(docs), docs.columns[2:]
+    places = wanted.groupBy(F.col(of).alias("_id")).agg(F.collect_list("place").alias("places"))
+    rows = docs.join(places, F.col(of) == F.col("_id")).select("doc_id", "text", "places", *carried)
 
     def work(block):
         data, begin = text_bytes(block.column(1))
@@ -130,19 +138,18 @@ def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         row = np.repeat(np.arange(len(place)), n)
         start = (at - high)[row] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         index = words.first[owner[row]] + start
-        # With equal ids in several rows, a place may belong to another row's text.
-        fits = index + WINDOW <= words.first[owner[row] + 1]
-        row, start, index = row[fits], start[fits], index[fits]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(signed(_run_hash(h, index, WINDOW, 1))),
                 pa.array(signed(_run_hash(h, index, WINDOW, 2))),
                 block.column(0).take(pa.array(owner[row])), pa.array(start),
+                *(c.take(pa.array(owner[row])) for c in block.columns[3:]),
             ],
-            ["key", "key2", "doc_id", "start"],
+            ["key", "key2", "doc_id", "start", *carried],
         )
 
-    return map_blocks(rows, "text", work, "key bigint, key2 bigint, doc_id bigint, start bigint")
+    schema = "key bigint, key2 bigint, doc_id bigint, start bigint"
+    return map_blocks(rows, "text", work, schema + "".join(f", {c} bigint" for c in carried))
 
 
 def _heavy_anchors(docs: DataFrame) -> DataFrame | None:
@@ -178,7 +185,7 @@ def _heavy_anchors(docs: DataFrame) -> DataFrame | None:
 def _meeting(found: DataFrame) -> DataFrame:
     """Seeds whose anchor is in several documents, if they are settled or their anchor varies."""
     return found.where("min_doc < max_doc and (seed_doc < doc_id or varied)").select(
-        "doc_id", "place", (F.col("seed_doc") < F.col("doc_id")).alias("settled")
+        _row(found), "place", (F.col("seed_doc") < F.col("doc_id")).alias("settled")
     )
 
 
@@ -210,22 +217,23 @@ def _met(docs: DataFrame) -> DataFrame:
 
 
 def covered(docs: DataFrame) -> DataFrame:
-    """(doc_id, ranges): word ranges of repeated windows, as start * 256 + length."""
+    """(doc_id or `row`, ranges): word ranges of repeated windows, as start * 256 + length."""
+    of = _row(docs)
     met = stage(_met(docs), "seeds")
     low = F.expr("shiftright(place, 4) & 15")
     high = F.expr("place & 15")
     settled = met.where("settled").select(
-        "doc_id", (F.expr("shiftright(place, 8)") - high).alias("start"),
+        of, (F.expr("shiftright(place, 8)") - high).alias("start"),
         (high - low + WINDOW).alias("length"),
     )
     first = F.min("doc_id").over(Window.partitionBy("key", "key2"))
     found = (
         _windows(docs, met.where("not settled")).withColumn("first_doc", first)
-        .where("first_doc < doc_id").select("doc_id", "start", F.lit(WINDOW).alias("length"))
+        .where("first_doc < doc_id").select(of, "start", F.lit(WINDOW).alias("length"))
     )
     return (
         settled.union(found)
-        .groupBy("doc_id")
+        .groupBy(of)
         .agg(F.collect_list(F.col("start") * 256 + F.col("length")).alias("ranges"))
     )
 
@@ -266,11 +274,19 @@ def _cut(texts: pa.Array, ranges: pa.Array, min_words: int):
 
 
 def _with_ranges(df: DataFrame) -> DataFrame:
-    """`df` with the ranges of each row's document as a last column."""
+    """`df` with the ranges of each row as a last column."""
     docs = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    of, ranges = fresh(df, "range_id"), fresh(df, "ranges")
-    found = covered(docs).select(F.col("doc_id").alias(of), F.col("ranges").alias(ranges))
-    return df.join(found, df["doc_id"] == found[of], "left").drop(of)
+    of, ranges, names = fresh(df, "range_id"), fresh(df, "ranges"), df.columns
+    mine = "doc_id"
+    if repeated_ids(docs):
+        # Rows that share an id get a number each, which stays the same once it is written.
+        mine = fresh(df, "row_number")
+        df = stage(df.withColumn(mine, F.monotonically_increasing_id()), "rows")
+        docs = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col(mine).alias("row"))
+    found = covered(docs)
+    found = found.select(F.col(_row(found)).alias(of), F.col("ranges").alias(ranges))
+    found = df.join(found, df[mine] == found[of], "left").drop(of)
+    return found if mine in names else found.drop(mine)
 
 
 def digest(df: DataFrame, min_words: int = WINDOW) -> DataFrame:

@@ -85,6 +85,16 @@ def test_one_id_with_several_texts(spark):
     assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (2, 1), (3, 1)]
 
 
+def test_every_text_of_an_id_is_compared(spark):
+    a, b, c = "a b c d e f", "p q r s t u", "k l m n o"
+    near = " ".join(str(i) for i in range(40))
+    rows = [(5, a), (5, f"{near} x"), (4, near), (3, a), (7, b), (9, b), (9, c), (8, c), (None, a), (6, ""), (6, "z")]
+    found = ngram_join.jaccard_components(helpers.docs(spark, rows), 3, 90).collect()
+    assert sorted((x.doc_id or 0, x.component_id) for x in found) == [
+        (0, None), (3, 3), (4, 3), (5, 3), (5, 3), (6, 6), (6, 6), (7, 7), (8, 7), (9, 7), (9, 7)
+    ]
+
+
 def test_keep_one_keeps_columns_and_first_documents(spark):
     rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words here to keep alone"), (4, None)]
     df = helpers.docs(spark, rows).selectExpr("*", "1 as n", "2 as key", "3 as component_id")
@@ -143,6 +153,22 @@ def test_removed_words_equal_brute_force(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == expected
 
 
+def test_rows_of_one_id_lose_only_their_own_words(spark):
+    text = " ".join(str(i) for i in range(15))
+    other = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, text), (2, "two words"), (2, text), (2, other), (3, f"{other} end"), (None, text)]
+    df = helpers.docs(spark, rows)
+    found = substring_dedup.digest(df).collect()
+    assert sorted((x.doc_id or 0, x.n_words, x.n_removed) for x in found) == [
+        (0, 15, 0), (1, 15, 0), (2, 2, 0), (2, 15, 15), (2, 20, 0), (3, 21, 20)
+    ]
+    kept = substring_dedup.remove_repeats(df)
+    assert kept.columns == df.columns
+    assert sorted((x.doc_id or 0, x.text) for x in kept.collect()) == [
+        (0, text), (1, text), (2, "two words"), (2, other), (3, "end")
+    ]
+
+
 def test_only_long_repeats_go(spark):
     r = random.Random(5)
     long, short = " ".join(_word(r) for _ in range(60)), " ".join(_word(r) for _ in range(20))
