@@ -29,7 +29,7 @@ def unpartitioned_roundtrip(spark, folder):
 def row_count_gate(spark, folder):
     lines = table(spark, folder, "lineitem")
     path = scratch.new_folder(spark, "lines-by-flag")
-    written, rows = write_checked(lines, path, "l_returnflag")
+    written, rows, _ = write_checked(lines, path, "l_returnflag")
     check_row_counts(lines.count(), rows)
     one = F.count(F.lit(1))
     before = lines.groupBy("l_returnflag").agg(one.alias("rows_before"))
