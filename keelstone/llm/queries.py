@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelstone.llm import (
-    decontaminate, html_text, license_scan, ngram_join, packing, quality_rules, sharding,
+    decontaminate, hard_negatives, html_text, license_scan, ngram_join, packing, quality_rules, sharding,
     substring_dedup, toxicity, url_reputation,
 )
 
@@ -235,3 +235,32 @@ def op9_sharding(spark, folder):
 def op10_license_scans(spark, folder):
     """License labels of every document."""
     return license_scan.scan(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+             list_inner_product(a.x, r.x)::BIGINT AS score
+      FROM v AS a JOIN v AS r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query(OP12_SQL)
+def op12_hard_negatives(spark, folder):
+    """The three hardest negatives for each positive of every fiftieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
