@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelstone.llm import (
-    decontaminate, hard_negatives, html_text, license_scan, ngram_join, packing, quality_rules, sharding,
-    substring_dedup, toxicity, url_reputation,
+    collocations, decontaminate, hard_negatives, html_text, license_scan, ngram_join, packing,
+    quality_rules, sharding, substring_dedup, toxicity, url_reputation,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -264,3 +264,46 @@ def op12_hard_negatives(spark, folder):
     vectors = table(spark, folder, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def _phrases_sql(n):
+    """Places of the phrases of n words."""
+    return f"""
+        SELECT lang, list_slice(words, i, i + {n - 1}) AS p FROM (
+            SELECT lang, words, unnest(range(1, len(words) - {n} + 2)) AS i FROM w WHERE len(words) >= {n})
+    """
+
+
+OP13_SQL = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM t),
+f1 AS (SELECT lang, p, count(*) AS f FROM ({_phrases_sql(1)}) GROUP BY ALL),
+fn AS ({" UNION ALL ".join(f"SELECT lang, p, count(*) AS f FROM ({_phrases_sql(n)}) GROUP BY ALL HAVING count(*) >= 100" for n in range(2, 6))}),
+f AS (FROM f1 UNION ALL FROM fn),
+n AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang),
+inner_phrases AS (
+    SELECT lang, f, list_slice(p, i, i + m - 1) AS p
+    FROM (SELECT *, unnest(range(1, len(p) - m + 2)) AS i
+          FROM (SELECT *, unnest(range(2, len(p))) AS m FROM fn WHERE len(p) > 2))),
+longer AS (SELECT lang, p, max(f) AS longer FROM inner_phrases GROUP BY ALL),
+c AS (SELECT fn.lang, fn.p, fn.f AS a FROM fn LEFT JOIN longer AS o ON o.lang = fn.lang AND o.p = fn.p
+      WHERE o.longer IS NULL OR 100 * o.longer < 100 * fn.f),
+k AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM c),
+s AS (SELECT k.lang, k.p, a, k, x.f AS l, y.f AS r, n.n::BIGINT AS n,
+             (1000::HUGEINT * a * n.n::HUGEINT // (x.f::HUGEINT * y.f))::BIGINT AS score
+      FROM k JOIN f AS x ON x.lang = k.lang AND x.p = list_slice(k.p, 1, k)
+             JOIN f AS y ON y.lang = k.lang AND y.p = list_slice(k.p, k + 1, len(k.p))
+             JOIN n ON n.lang = k.lang
+      QUALIFY row_number() OVER (PARTITION BY k.lang, k.p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+       array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM s QUALIFY rank <= 2000
+"""
+
+
+@query(OP13_SQL)
+def op13_phrase_collocations(spark, folder):
+    """The 2,000 strongest collocations of every language."""
+    return collocations.mine(table(spark, folder, "documents"))

@@ -49,13 +49,16 @@ class Words:
     """Words of the texts of one block.
 
     start, end: byte range of every word in `data`; first[i]:first[i + 1] are
-    the words of text i; text_start: byte offsets of the texts.
+    the words of text i; text_start: byte offsets of the texts. `space` marks
+    the bytes that part words.
     """
 
-    def __init__(self, data: np.ndarray, text_start: np.ndarray, lower: bool = False):
+    def __init__(
+        self, data: np.ndarray, text_start: np.ndarray, lower: bool = False, space: np.ndarray = IS_SPACE
+    ):
         self.data = LOWER[data] if lower else data
         self.text_start = text_start
-        inside = ~IS_SPACE[self.data]
+        inside = ~space[self.data]
         before = np.empty_like(inside)
         before[:1] = False
         before[1:] = inside[:-1]
