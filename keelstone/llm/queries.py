@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keelstone.llm import (
-    collocations, decontaminate, hard_negatives, html_text, license_scan, ngram_join, packing,
+    collocations, decontaminate, hard_negatives, html_text, license_scan, ngram_join, ngram_lm, packing,
     quality_rules, sharding, substring_dedup, toxicity, url_reputation,
 )
 
@@ -307,3 +307,15 @@ FROM s QUALIFY rank <= 2000
 def op13_phrase_collocations(spark, folder):
     """The 2,000 strongest collocations of every language."""
     return collocations.mine(table(spark, folder, "documents"))
+
+
+@query()
+def op11_lm_scoring(spark, folder):
+    """Scores of all documents by a model of those outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    # A row without an id is in no fold.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    model = ngram_lm.learn(docs, ~held_out)
+    return ngram_lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
