@@ -41,6 +41,12 @@ TRIGGER = 32
 # Words of the dictionary for each bucket of counts.
 BUCKET_WORDS = 400_000
 
+# How often the parts of a cut meet against chance, in thousandths; exact up to 38 digits.
+SCORE = (
+    "(cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0)))"
+    " div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
+)
+
 IS_BLANK = np.zeros(256, dtype=bool)
 IS_BLANK[[0x20, 0x09]] = True
 IS_CUT = np.zeros(256, dtype=bool)
@@ -72,8 +78,8 @@ def _chunks(block: pa.RecordBatch) -> pa.RecordBatch:
     trigger = np.zeros(n, dtype=bool)
     trigger[first] = window % np.uint64(TRIGGER) == 0
     start = np.flatnonzero(new | trigger & (rest >= OVERLAP))
-    stop = np.append(start[1:], n)
-    last = np.append(new, True)[stop]
+    stop = np.append(start[1:], n)[: len(start)]
+    last = np.append(new, True)[stop] if n else np.zeros(0, dtype=bool)
     joined, place = _joined(words)
     begin, end = place[start], place[np.where(last, stop, stop + OVERLAP)] - 1
     size = end - begin if len(start) else np.zeros(0, np.int64)
@@ -287,12 +293,8 @@ def mine(
         .join(counts.select(F.col("key").alias("left"), F.col("count").alias("l")), "left")
         .join(counts.select(F.col("key").alias("right"), F.col("count").alias("r")), "right")
     )
-    score = F.expr(
-        "(cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0)))"
-        " div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
-    )
     scored = (
-        kept.join(per, "lang").join(parts, "key").withColumn("score", score)
+        kept.join(per, "lang").join(parts, "key").withColumn("score", F.expr(SCORE))
         .groupBy("key", "lang", "phrase", "a", "n")
         .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
         .select("key", "lang", "phrase", "a", "n", "cut.l", "cut.r", "cut.score")

@@ -16,8 +16,8 @@ blocks of its own label (a label of many rows has many blocks), the negatives
 from blocks of all rows, for the score windows that the positives open. The
 anchors are a stated query set: they meet every block, no pairs are joined.
 
-Components are floored integers and scores are exact: in double arithmetic
-while all sums stay below 2^53, otherwise in unbounded integers, which are held
+Components are floored integers and scores are exact: in floating-point
+arithmetic while all sums stay below 2^24 or 2^53, otherwise in unbounded integers, which are held
 at the ends of a long.
 
 Defined cases: rows with a NULL label, a NULL vector or a component that is
@@ -42,17 +42,19 @@ SCALE = 256
 BLOCK_ROWS, GROUP_ANCHORS = 4096, 1024
 # Entries read of each list before the threshold is looked at first; then twice as many each time.
 FIRST_DEPTH = 16
-_EXACT = 1 << 53
+_EXACT_SHORT, _EXACT = 1 << 24, 1 << 53
 _LONG = (1 << 63) - 1
 
 
 class Lists:
-    """Rows of a block with a list per component, highest value first."""
+    """Rows of a block with two lists per component: highest value first, and lowest first."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(-vectors, axis=0, kind="stable")
+        down = np.argsort(-vectors, axis=0, kind="stable").T.astype(np.int32)
+        self.lists = np.stack([down, down[:, ::-1]])
         self.most = float(np.abs(vectors).max(initial=0.0))
+        self.short = vectors.astype(np.float32)
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -64,65 +66,72 @@ class Lists:
 
         Only rows set in `wanted` count.
         """
-        n, found = len(self), []
+        n = len(self)
         live = [(least, most) for least, most in windows if least <= most]
         if not n or not live:
             return [[] for _ in windows]
         used = np.flatnonzero(anchor)
-        sides = anchor[used]
+        # A negative component favours the other end of its list.
+        side = (anchor[used] < 0).astype(np.intp)
         bound = self.most * float(np.abs(anchor).sum())
-        exact = bound < _EXACT
-        weights = sides if exact else np.array([int(x) for x in sides], dtype=object)
-        values = self.vectors[:, used] if len(used) < self.vectors.shape[1] else self.vectors
-        order = self.order[:, used]
-        down = sides > 0
         seen = np.zeros(n, dtype=bool)
         rows, scores = [], []
         depth, step = 0, FIRST_DEPTH
+        floor, ceiling = min(least for least, _ in live), min(most for _, most in live)
         while depth < n:
             stop = min(n, depth + step) if len(used) else n
-            # A negative component favours the other end of its list.
-            new = np.zeros(n, dtype=bool)
-            new[order[depth:stop, down]] = True
-            new[order[n - stop : n - depth, ~down]] = True
             if stop == n:
-                new[:] = True
-            new &= ~seen
+                new = ~seen
+            else:
+                new = np.zeros(n, dtype=bool)
+                new[self.lists[side, used, depth:stop]] = True
+                new &= ~seen
             seen |= new
             at = np.flatnonzero(new if wanted is None else new & wanted)
-            rows.append(at)
-            scores.append(self._scores(values[at], weights, exact))
+            found = self._scores(at, anchor, bound)
+            keep = found >= floor
+            rows.append(at[keep])
+            scores.append(found[keep])
             depth, step = stop, step * 2
-            if depth == n:
-                break
-            edge = np.where(down, order[depth - 1], order[n - depth])
-            last = values[edge, np.arange(len(used))]
-            threshold = self._scores(last[None], weights, exact)[0]
-            so_far = np.concatenate(scores)
-            if all(threshold < self._kth(so_far, w, k) for w in live):
+            if seen.all():
                 break
+            edge = self.vectors[self.lists[side, used, depth - 1], used]
+            threshold = self._threshold(edge, anchor[used], bound)
+            # No kth score is above the top of its window.
+            if threshold < ceiling:
+                so_far = np.sort(np.concatenate(scores))
+                if all(threshold < self._kth(so_far, w, k) for w in live):
+                    break
         rows, scores = np.concatenate(rows), np.concatenate(scores)
+        so_far = np.sort(scores)
+        out = []
         for least, most in windows:
-            inside = (scores >= least) & (scores <= most)
-            if inside.sum() > k:
-                inside &= scores >= self._kth(scores, (least, most), k)
-            pick = np.flatnonzero(inside)
-            first = np.lexsort((self.ids[rows[pick]], -scores[pick]))[:k] if len(pick) else []
-            found.append([(int(scores[pick[i]]), int(rows[pick[i]])) for i in first])
-        return found
+            pick = np.flatnonzero((scores >= self._kth(so_far, (least, most), k)) & (scores <= most))
+            first = np.lexsort((self.ids[rows[pick]], -scores[pick]))[:k]
+            out.append([(int(scores[pick[i]]), int(rows[pick[i]])) for i in first])
+        return out
+
+    def _scores(self, at: np.ndarray, anchor: np.ndarray, bound: float) -> np.ndarray:
+        """Inner products of rows with an anchor; all sums are at most `bound`."""
+        if bound < _EXACT_SHORT:
+            return (self.short[at] @ anchor.astype(np.float32)).astype(np.int64)
+        if bound < _EXACT:
+            return (self.vectors[at] @ anchor).astype(np.int64)
+        weights = [int(x) for x in anchor]
+        sums = [sum(int(v) * w for v, w in zip(row, weights)) for row in self.vectors[at].tolist()]
+        return np.array([max(-_LONG, min(_LONG, s)) for s in sums], dtype=np.int64)
 
     @staticmethod
-    def _scores(values: np.ndarray, weights: np.ndarray, exact: bool) -> np.ndarray:
-        if exact:
-            return (values @ weights).astype(np.int64)
-        sums = [sum(int(v) * w for v, w in zip(row, weights)) for row in values.tolist()]
-        return np.array([max(-_LONG, min(_LONG, s)) for s in sums], dtype=np.int64)
+    def _threshold(edge: np.ndarray, weights: np.ndarray, bound: float) -> int:
+        if bound < _EXACT:
+            return int(edge @ weights)
+        return max(-_LONG, min(_LONG, sum(int(v) * int(w) for v, w in zip(edge, weights))))
 
     @staticmethod
     def _kth(scores: np.ndarray, window: tuple[int, int], k: int) -> int:
-        """The kth score inside a window so far, or its least score."""
-        inside = scores[(scores >= window[0]) & (scores <= window[1])]
-        return np.partition(inside, len(inside) - k)[len(inside) - k] if len(inside) >= k else window[0]
+        """The kth of the sorted scores inside a window, or its least score."""
+        low, high = np.searchsorted(scores, window[0]), np.searchsorted(scores, window[1], side="right")
+        return int(scores[high - k]) if high - low >= k else window[0]
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:

@@ -25,7 +25,7 @@ def db():
 def test_all_queries_are_registered():
     found = __spark_entry__.queries()
     assert set(QUERIES) < set(found) and "pipeline" in found
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert not set(QUERIES) & set(OTHER_QUERIES)
 
 
