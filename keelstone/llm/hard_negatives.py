@@ -6,7 +6,8 @@ depth; each row met for the first time is scored in full (random access). No
 row further down can score more than the sum of the anchor's components times
 the values at that depth. Reading stops once this threshold is strictly below
 the kth score found, so rows that tie with the kth are always met; where fewer
-than k are found, it stops below the least score that is wanted.
+than k are found, it stops below the least score that is wanted. Once fewer rows
+are unseen than the lists' next entries, these rows are scored instead.
 
 The rows are cut into blocks of `block_rows`, each with lists of its own, and
 the anchors into groups of `group_anchors`. A task holds one block and one
@@ -17,8 +18,8 @@ from blocks of all rows, for the score windows that the positives open. The
 anchors are a stated query set: they meet every block, no pairs are joined.
 
 Components are floored integers and scores are exact: in floating-point
-arithmetic while all sums stay below 2^24 or 2^53, otherwise in unbounded integers, which are held
-at the ends of a long.
+arithmetic while all sums stay below 2^24 or 2^53, otherwise in unbounded
+integers, which are held at the ends of a long.
 
 Defined cases: rows with a NULL label, a NULL vector or a component that is
 NULL or not finite take no part. Shorter vectors are filled up with zeros, so
@@ -79,9 +80,10 @@ class Lists:
         depth, step = 0, FIRST_DEPTH
         floor, ceiling = min(least for least, _ in live), min(most for _, most in live)
         while depth < n:
-            stop = min(n, depth + step) if len(used) else n
-            if stop == n:
-                new = ~seen
+            # Fewer rows are left than the next entries of the lists: score them all.
+            stop = n if n - seen.sum() <= len(used) * step else min(n, depth + step)
+            if stop == n or not len(used):
+                stop, new = n, ~seen
             else:
                 new = np.zeros(n, dtype=bool)
                 new[self.lists[side, used, depth:stop]] = True
