@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from typing import NamedTuple
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame
 
-from keelstone.functions.missing import column
-from keelstone.operators.gates import check_row_counts
-from keelstone.sources.files import read_parquet
-
-
-class Written(NamedTuple):
-    table: DataFrame
-    rows: int
-    metrics: dict[str, int]
+from keelstone.sinks.publish import TABLE, Gate, Publication, Written, split_path
+from keelstone.sources.files import exists, read_parquet
 
 
 def write_checked(
     df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite",
-    metrics: Mapping[str, Column] | None = None,
+    metrics: Mapping[str, Column] | None = None, gates: Sequence[Gate] = (), replace: str = TABLE,
 ) -> Written:
-    """Write `df`, read it back and compare the row counts.
+    """Write `df` beside `path`, read it back, compare the row counts, and swap it in.
+
+    The table in use stays as it is until the new one has passed: a gate that
+    fails or a run that dies costs nothing. `gates` are called with the table
+    read back and raise what they find. With `replace="partitions"` only the
+    partitions that `df` has rows of are replaced.
 
     Rows with one partition value are brought together, so a value gets a few
     files and not one per task; the exchange is a rebalance, which adaptive
@@ -38,17 +35,17 @@ def write_checked(
     """
     if mode not in ("overwrite", "error", "errorifexists"):
         raise ValueError(f"mode {mode} would mix the rows with those of another write")
-    counted = Observation()
-    ready = df if partition_by is None else df.hint("rebalance", partition_by)
-    more = [c.alias(n) for n, c in (metrics or {}).items()]
-    writer = ready.observe(counted, F.count(F.lit(1)).alias("rows"), *more).write.mode(mode)
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    table = read_parquet(df.sparkSession, path, df.schema).select([column(c) for c in df.columns])
-    before = counted.get.get("rows", 0)
-    check_row_counts(before, table.count())
-    return Written(table, before, {n: counted.get.get(n) or 0 for n in metrics or {}})
+    spark = df.sparkSession
+    base, name = split_path(path)
+    if mode != "overwrite" and exists(spark, path):
+        raise FileExistsError(path)
+    publication = Publication(spark, base, name)
+    try:
+        written = publication.write(df, name, partition_by, metrics, gates, replace)
+    except Exception:
+        publication.abandon()
+        raise
+    return written._replace(table=publication.commit()[name])
 
 
 def write_new(df: DataFrame, path: str) -> DataFrame:

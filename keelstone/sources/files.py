@@ -53,6 +53,11 @@ def total_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     return total
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where, system = _file_system(spark, path)
+    return system.exists(where)
+
+
 def _file_system(spark: SparkSession, folder: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)

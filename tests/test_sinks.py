@@ -2,9 +2,11 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from keelstone import scratch
-from keelstone.operators.gates import DataQualityError
+from keelstone.operators.gates import DataQualityError, check_unique
+from keelstone.sinks import publish
 from keelstone.sinks.parquet import write_checked, write_new
 from keelstone.sources.files import list_files
 from tests.conftest import rows
@@ -79,6 +81,8 @@ def test_shared_folder_comes_from_the_session():
     assert scratch.shared_root(named) == "hdfs://x/y"
     with pytest.raises(RuntimeError):
         scratch.shared_root(_session("yarn"))
+    with pytest.raises(RuntimeError):
+        scratch.shared_root(_session("local-cluster[2,1,1024]"))
     local = _session("local[2]")
     assert scratch.shared_root(local) == scratch.shared_root(local)
 
@@ -86,3 +90,122 @@ def test_shared_folder_comes_from_the_session():
 def test_append_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         write_checked(spark.range(1), str(tmp_path / "t"), mode="append")
+
+
+# Publication
+
+
+def versions(spark, n):
+    return spark.range(3).selectExpr("id", f"{n}L AS version", "id % 2 AS p")
+
+
+def seen(spark, path, name=None):
+    return {r.version for r in spark.read.parquet(publish.current(spark, path, name)).collect()}
+
+
+class Killed(BaseException):
+    """Ends a run where no handler of an error sees it."""
+
+
+def killed_at(monkeypatch, step):
+    """End the run before the given rename; return how many were made."""
+    made, plain = [], publish._Files.rename
+
+    def rename(self, source, target):
+        if len(made) == step:
+            raise Killed
+        made.append(target)
+        plain(self, source, target)
+
+    monkeypatch.setattr(publish._Files, "rename", rename)
+    return made
+
+
+def test_failed_gate_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_checked(versions(spark, 1), path)
+    with pytest.raises(DataQualityError):
+        write_checked(versions(spark, 2).where("id < 0"), path)
+    with pytest.raises(DataQualityError):
+        write_checked(versions(spark, 2), path, gates=[lambda t: check_unique(t, ["p"])])
+    assert seen(spark, path) == {1}
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_failed_write_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_checked(versions(spark, 1), path)
+    bad = versions(spark, 2).withColumn("version", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        write_checked(bad, path)
+    assert seen(spark, path) == {1}
+
+
+@pytest.mark.parametrize("step", range(4))
+@pytest.mark.parametrize("replace", [publish.TABLE, publish.PARTITIONS])
+def test_run_killed_at_any_rename(spark, tmp_path, monkeypatch, step, replace):
+    """Readers see the old table before the commit and the new one after it, with or without recovery."""
+    path = str(tmp_path / "t")
+    write_checked(versions(spark, 1).where("id < 3"), path, "p")
+    with monkeypatch.context() as patch:
+        made = killed_at(patch, step)
+        try:
+            write_checked(versions(spark, 2), path, "p", replace=replace)
+        except Killed:
+            assert len(made) == step
+    # The first rename is the commit.
+    if step == 0:
+        assert seen(spark, path) == {1}
+        assert not publish.recover(spark, str(tmp_path), "t")
+        assert seen(spark, path) == {1}
+    else:
+        if replace == publish.TABLE:
+            assert seen(spark, path) == ({1} if step == 1 else {2})
+        publish.recover(spark, str(tmp_path), "t")
+        assert seen(spark, path) == {2} and spark.read.parquet(path).count() == 3
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["t"]
+    write_checked(versions(spark, 3), path, "p")
+    assert seen(spark, path) == {3}
+
+
+def test_partitions_without_new_rows_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_checked(versions(spark, 1), path, "p")
+    table = write_checked(versions(spark, 2).where("p = 1"), path, "p", replace="partitions").table
+    assert rows(table.select("p", "version")) == [(0, 1), (0, 1), (1, 2)]
+    with pytest.raises(ValueError):
+        write_checked(versions(spark, 2), path, replace="partitions")
+
+
+def test_tables_of_a_publication_appear_together(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+
+    def publication(n):
+        made = publish.Publication(spark, base)
+        for name in ("a", "b"):
+            assert made.write(versions(spark, n), name).rows == 3
+        return made
+
+    publication(1).commit()
+    abandoned = publication(2)
+    assert seen(spark, f"{base}/a", "run") == seen(spark, f"{base}/b", "run") == {1}
+    abandoned.abandon()
+    assert seen(spark, f"{base}/a", "run") == {1}
+    for step in range(5):
+        with monkeypatch.context() as patch:
+            killed_at(patch, step)
+            with pytest.raises(Killed):
+                publication(10 + step).commit()
+        publish.recover(spark, base, "run")
+        wanted = {1} if step == 0 else {10 + step}
+        assert seen(spark, f"{base}/a", "run") == seen(spark, f"{base}/b", "run") == wanted
+    with pytest.raises(DataQualityError):
+        publish.Publication(spark, base).commit()
+
+
+def test_error_mode_refuses_an_existing_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_checked(versions(spark, 1), path, mode="error")
+    with pytest.raises(FileExistsError):
+        write_checked(versions(spark, 2), path, mode="error")
+    assert seen(spark, path) == {1}
