@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Lock
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from keelstone import scratch
 from keelstone.functions import text
 from keelstone.functions.missing import any_missing, column
 from keelstone.operators import profile, skew
@@ -85,28 +87,70 @@ class Cleaned(NamedTuple):
 
 
 class Counted:
-    """A cleaned frame that counts what its cleaning does in the first job that runs it."""
+    """A cleaned frame with counts of what its cleaning did, carried as data.
+
+    Every row kept knows how many rows it stands for, and the rows with missing
+    keys are reduced to one row that counts them; all of this goes through the
+    one aggregate that removes the duplicates. The counts are sums over the
+    staged result. So they follow the rules of data: the output of a map task
+    that runs again replaces the first one, while an accumulator before the
+    shuffle would add it twice.
+    """
 
     def __init__(
-        self, df: DataFrame, missing_keys: Sequence[str] = (), dup_keys: Sequence[str] | None = None
+        self, df: DataFrame, missing_keys: Sequence[str] = (), dup_keys: Sequence[str] | None = None,
+        label: str = "cleaned",
     ):
-        self._before, self._after = Observation(), Observation()
-        one = F.lit(1)
-        lost = F.count_if(any_missing(df, missing_keys)).alias("missing_dropped")
-        kept = df.observe(self._before, F.count(one).alias("rows_in"), lost)
-        kept = drop_missing(kept, missing_keys)
-        result = kept if dup_keys is None else keep_first(kept, dup_keys)
-        self.frame = result.observe(self._after, F.count(one).alias("rows_out"))
+        self._missing_keys, self._columns = list(missing_keys), df.columns
+        self._lost = any_missing(df, missing_keys)
+        self._df, self._keys, self._label = df, dup_keys, label
+        self._staged: DataFrame | None = None
+        self._lock = Lock()
+
+    def _reduced(self) -> DataFrame:
+        """Rows of `df` with `_lost` and `_copies`; a lost row has no other value."""
+        flagged = self._df.withColumn("_lost", self._lost)
+        if self._keys is None:
+            # Nothing is shuffled but the count of the lost rows.
+            kept = flagged.where(~F.col("_lost")).withColumn("_copies", F.lit(1).cast("long"))
+            count = flagged.where("_lost").agg(F.count(F.lit(1)).alias("_copies"))
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._df.schema]
+            return kept.union(count.select(*nothing, F.lit(True), "_copies").where("_copies > 0"))
+        keys = _required(self._keys)
+        rest = [c for c in self._columns if c not in keys]
+        keep = lambda c: F.when(~F.col("_lost"), column(c)).alias(c)
+        narrowed = flagged.select(*[keep(c) for c in self._columns], "_lost")
+        first = F.min(F.struct(*[column(c) for c in rest])) if rest else F.lit(None)
+        groups = narrowed.groupBy("_lost", *[column(k) for k in keys]).agg(
+            first.alias("_first"), F.count(F.lit(1)).alias("_copies")
+        )
+        inner = {c: F.col("_first").getField(c).alias(c) for c in rest}
+        return groups.select(
+            *[inner[c] if c in inner else column(c) for c in self._columns], "_lost", "_copies"
+        )
+
+    @property
+    def staged(self) -> DataFrame:
+        """The kept rows and their counts, written once by the first to ask."""
+        with self._lock:
+            if self._staged is None:
+                self._staged = scratch.stage(self._reduced(), self._label)
+            return self._staged
+
+    @property
+    def frame(self) -> DataFrame:
+        """The cleaned rows."""
+        return self.staged.where(~F.col("_lost")).select([column(c) for c in self._columns])
 
     def counts(self) -> dict[str, int]:
-        """rows_in, missing_dropped, duplicates_dropped, rows_out; waits for that job."""
-        found = {"rows_in": 0, "missing_dropped": 0, "rows_out": 0}
-        found.update(self._before.get)
-        found.update(self._after.get)
-        found["duplicates_dropped"] = (
-            found["rows_in"] - found["missing_dropped"] - found["rows_out"]
-        )
-        return found
+        """rows_in, missing_dropped, duplicates_dropped, rows_out."""
+        lost, copies, one = F.col("_lost"), F.col("_copies"), F.lit(1)
+        found = self.staged.agg(
+            F.sum(copies).alias("rows_in"), F.sum(F.when(lost, copies)).alias("missing_dropped"),
+            F.sum(F.when(~lost, copies - one)).alias("duplicates_dropped"),
+            F.count_if(~lost).alias("rows_out"),
+        ).first()
+        return {name: value or 0 for name, value in found.asDict().items()}
 
 
 def clean(

@@ -9,14 +9,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from keelstone import scratch
 from keelstone.operators import cleaning, gates, profile
 from keelstone.plans import queries, star
 from keelstone.session import shuffles_for
-from keelstone.sinks.parquet import Written, write_checked
+from keelstone.sinks.parquet import write_checked
+from keelstone.sinks.publish import Gate, Publication, Written
 from keelstone.sources import labels
 from keelstone.sources.delimited import read_delimited
 from keelstone.sources.files import list_files, read_many, total_bytes, within_budget
@@ -37,7 +38,8 @@ class Settings:
     city_types, airport_types, temperature_types: types instead of the fixed ones.
     strict_types:     a value that does not parse ends the run instead of becoming NULL.
     match_state:      match cities and airports to ports by city and state.
-    check_keys:       prove that the fact's surrogate key is unique.
+    check_keys:       prove that all keys are unique and that references are there.
+    check_types:      tables must have the fixed names and types (not with infer_types).
     """
 
     arrivals: str | Sequence[str]
@@ -57,6 +59,7 @@ class Settings:
     match_state: bool = False
     ignore_temperature_case: bool = False
     check_keys: bool = False
+    check_types: bool = False
     show_missing: bool = False
     arrivals_glob: str | None = None
     infer_types: bool = False
@@ -74,7 +77,8 @@ COLUMNAR_FORMATS = {"parquet", "orc"}
 class StageReport:
     """Rows, seconds, start and end of each stage, and what cleaning did per source.
 
-    Small DataFrames when asked for; all counts come from jobs that run anyway.
+    Small DataFrames when asked for; all counts come from jobs that run anyway. With
+    a publication the tables are written beside their places, to appear together.
     """
 
     _SCHEMA = (
@@ -91,8 +95,9 @@ class StageReport:
         star.CITIES.name, star.AIRPORTS.name, star.TEMPERATURES.name, WHOLE_RUN,
     ]
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, publication: Publication | None = None):
         self._spark = spark
+        self._publication = publication
         self._stages: list[tuple] = []
         self._cleaning: list[tuple] = []
         self.rows: dict[str, int] = {}
@@ -118,15 +123,26 @@ class StageReport:
         self.record(name, rows_in() if callable(rows_in) else rows_in, rows, started)
         return staged
 
+    def clean(self, kept: cleaning.Counted, name: str, source: str) -> DataFrame:
+        """The rows that a cleaning keeps, staged and recorded as a stage of their own."""
+        started = time.time()
+        counts = kept.counts()
+        self.record(name, counts["rows_in"], counts["rows_out"], started)
+        self.cleaned(source, counts)
+        return kept.frame
+
     def write(
         self, df: DataFrame, table: star.Table, base: str, rows_in: RowsIn,
-        metrics: Mapping[str, Column] | None = None,
+        metrics: Mapping[str, Column] | None = None, gates: Sequence[Gate] = (),
     ) -> Written:
-        """Write one table behind the gate and record it."""
+        """Write one table behind its gates and record it."""
         started = time.time()
-        written = write_checked(
-            df, f"{base}/{table.folder}", table.partition_by, metrics=metrics
-        )
+        if self._publication is None:
+            written = write_checked(
+                df, f"{base}/{table.folder}", table.partition_by, metrics=metrics, gates=gates
+            )
+        else:
+            written = self._publication.write(df, table.folder, table.partition_by, metrics, gates)
         self.record(table.name, rows_in() if callable(rows_in) else rows_in, written.rows, started)
         return written
 
@@ -175,44 +191,69 @@ def load_arrivals(
     needed = raw.select(star.ARRIVAL_COLUMNS)
     if settings.arrivals_format.lower() not in COLUMNAR_FORMATS:
         needed = scratch.stage(needed, "arrivals")
-    kept = cleaning.Counted(needed, ["i94cit"], ["cicid"])
+    kept = cleaning.Counted(needed, ["i94cit"], ["cicid"], CLEANED_STAGE)
 
     def rows_in() -> int:
         return kept.counts()["rows_in"]
 
     def dates() -> DataFrame:
-        seen = Observation()
-        raw_rows = needed.observe(seen, F.count(F.lit(1)).alias("rows"))
-        table = star.arrival_dates(raw_rows, settings.distinct_dates)
+        table = star.arrival_dates(needed, settings.distinct_dates)
         return report.write(
-            table, star.DATES, settings.output, lambda: seen.get.get("rows", 0)
+            table, star.DATES, settings.output, rows_in, gates=_gates(settings, star.DATES)
         ).table
 
     def fact_and_persons() -> list[DataFrame]:
-        cleaned = report.stage(kept.frame, CLEANED_STAGE, rows_in)
-        report.cleaned("arrivals", kept.counts())
+        cleaned = report.clean(kept, CLEANED_STAGE, "arrivals")
 
         def fact() -> DataFrame:
             table = star.immigration_fact(cleaned, settings.stable_fact_id)
-            return report.write(table, star.FACT, settings.output, rows_in).table
+            return report.write(
+                table, star.FACT, settings.output, rows_in, gates=_gates(settings, star.FACT)
+            ).table
 
         def persons() -> DataFrame:
             table = star.person_details(cleaning.drop_missing(cleaned, ["fltno"]))
             return report.write(
-                table, star.PERSONS, settings.output, report.rows[CLEANED_STAGE]
+                table, star.PERSONS, settings.output, report.rows[CLEANED_STAGE],
+                gates=_gates(settings, star.PERSONS),
             ).table
 
         return _side_by_side(spark, fact, persons)
 
     date_table, (fact_table, person_table) = _side_by_side(spark, dates, fact_and_persons)
-    if settings.check_keys or settings.stable_fact_id:
-        gates.check_unique(fact_table, ["Immig_Fact_ID"])
-    if settings.check_keys:
-        gates.check_unique(fact_table, ["cicid_Immigrant"])
-        gates.check_unique(person_table, ["cicid_Immigrant"])
     return date_table, fact_table, person_table
 
 
+def _gates(settings: Settings, table: star.Table) -> list[Gate]:
+    """What a table must pass, beyond its row count, before it is published."""
+    found: list[Gate] = []
+    if settings.check_types and table.types is not None:
+        found.append(lambda df: gates.check_types(df, table.types))
+    keys = list(table.keys) if settings.check_keys else []
+    if table is star.FACT and (settings.check_keys or settings.stable_fact_id):
+        keys.append(["Immig_Fact_ID"])
+    found += [lambda df, key=key: gates.check_unique(df, key) for key in keys]
+    return found
+
+
+def check_references(
+    settings: Settings, dates: DataFrame, fact: DataFrame, persons: DataFrame,
+    lookups: Mapping[str, DataFrame], ports: DataFrame,
+) -> None:
+    """Every key that a table of the run refers to must be there.
+
+    Ports of arrivals may be unknown to the dictionary and persons without a
+    flight number are left out, so those two are no references.
+    """
+    if not settings.check_keys:
+        return
+    gates.check_references(fact, ["ArriveDate"], dates, ["ArriveDate"])
+    gates.check_references(fact, ["DepartureDate"], dates, ["DepartureDate"])
+    gates.check_references(persons, ["cicid_Immigrant"], fact, ["cicid_Immigrant"])
+    for table in lookups.values():
+        gates.check_references(table, ["AirPortCode"], ports, ["PortCode"])
+
+
 def _read(
     spark: SparkSession, settings: Settings, path: str, types: Mapping[str, str], sep: str = ","
 ) -> DataFrame:
@@ -226,11 +267,12 @@ def _write_lookup(
     kept: cleaning.Counted,
 ) -> DataFrame:
     """Write a dimension and record its cleaning and the rows that found no port."""
+    counts = kept.counts()
     written = report.write(
-        df, table, settings.output, lambda: kept.counts()["rows_in"],
-        {"misses": F.count_if(F.col("AirPortCode").isNull())},
+        df, table, settings.output, counts["rows_in"],
+        {"misses": F.count_if(F.col("AirPortCode").isNull())}, _gates(settings, table),
     )
-    report.cleaned(source, kept.counts(), written.metrics["misses"])
+    report.cleaned(source, counts, written.metrics["misses"])
     return written.table
 
 
@@ -239,7 +281,8 @@ def load_cities(
 ) -> DataFrame:
     raw = _read(spark, settings, settings.cities, settings.city_types, ";")
     _note_missing(report, "cities", raw, settings)
-    kept = cleaning.Counted(raw.select([f"`{c}`" for c in star.CITY_COLUMNS]), dup_keys=["City"])
+    needed = raw.select([f"`{c}`" for c in star.CITY_COLUMNS])
+    kept = cleaning.Counted(needed, dup_keys=["City"], label="cities")
     table = star.us_cities(kept.frame, ports, settings.match_state)
     return _write_lookup(report, settings, "cities", star.CITIES, table, kept)
 
@@ -251,7 +294,7 @@ def load_airports(
     _note_missing(report, "airports", raw, settings)
     region = [star.REGION_COLUMN] if settings.match_state else []
     needed = raw.select(star.AIRPORT_COLUMNS + region)
-    kept = cleaning.Counted(needed, dup_keys=["ident", "name"])
+    kept = cleaning.Counted(needed, dup_keys=["ident", "name"], label="airports")
     table = star.airports(kept.frame, ports, settings.match_state)
     return _write_lookup(report, settings, "airports", star.AIRPORTS, table, kept)
 
@@ -262,7 +305,7 @@ def load_temperatures(
     raw = _read(spark, settings, settings.temperatures, settings.temperature_types)
     _note_missing(report, "temperatures", raw, settings)
     kept = cleaning.Counted(
-        raw.select(star.TEMPERATURE_COLUMNS), ["AverageTemperature"], ["City"]
+        raw.select(star.TEMPERATURE_COLUMNS), ["AverageTemperature"], ["City"], "temperatures"
     )
     table = star.world_temperatures(kept.frame, ports, settings.ignore_temperature_case)
     return _write_lookup(report, settings, "temperatures", star.TEMPERATURES, table, kept)
@@ -307,24 +350,38 @@ def run_all(spark: SparkSession, settings: Settings) -> Run:
     """Build, write and check all six tables and register the query views.
 
     The four sources do not depend on each other, so their jobs are submitted
-    side by side and share the cluster.
+    side by side and share the cluster. The tables appear together, after the
+    gates of all: a run that fails leaves those of the last one in place.
     """
-    report = StageReport(spark)
+    publication = Publication(spark, settings.output)
+    report = StageReport(spark, publication)
 
     def lookups() -> list[DataFrame]:
         ports = load_ports(spark, settings, report)
         loads = (load_cities, load_airports, load_temperatures)
-        return _side_by_side(
+        return [ports, *_side_by_side(
             spark, *[lambda load=load: load(spark, settings, ports, report) for load in loads]
-        )
+        )]
 
     started = time.time()
     paths = arrival_paths(spark, settings)
     inputs = [*paths, settings.cities, settings.airports, settings.temperatures]
-    with shuffles_for(spark, total_bytes(spark, inputs)) as partitions:
-        (dates, fact, persons), (cities, airports, temperatures) = _side_by_side(
-            spark, lambda: load_arrivals(spark, settings, report, paths), lookups
-        )
+    try:
+        with shuffles_for(spark, total_bytes(spark, inputs)) as partitions:
+            (dates, fact, persons), (ports, *places) = _side_by_side(
+                spark, lambda: load_arrivals(spark, settings, report, paths), lookups
+            )
+            check_references(
+                settings, dates, fact, persons, dict(zip(("cities", "airports", "temperatures"), places)), ports
+            )
+    except Exception:
+        publication.abandon()
+        raise
+    tables = publication.commit()
     report.record(StageReport.WHOLE_RUN, None, None, started)
+    dates, fact, persons, cities, airports, temperatures = (
+        tables[t.folder]
+        for t in (star.DATES, star.FACT, star.PERSONS, star.CITIES, star.AIRPORTS, star.TEMPERATURES)
+    )
     queries.register_views(fact, persons, cities)
     return Run(dates, fact, persons, cities, airports, temperatures, report, partitions)

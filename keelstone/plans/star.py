@@ -6,6 +6,7 @@ a dimension needs a port code. Names and column order of the tables are fixed.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,20 +18,48 @@ from keelstone.operators.lookup import attach_port_codes
 
 @dataclass(frozen=True)
 class Table:
-    """Where a table is written and by which column it is partitioned."""
+    """Where a table is written, by which column it is partitioned, and what must hold of it.
+
+    keys:  each names one row of the table (NULL counts as a value).
+    types: names and types, where they do not depend on the sources' own.
+    """
 
     name: str
     folder: str
     partition_by: str
+    keys: tuple[tuple[str, ...], ...] = ()
+    types: Mapping[str, str] | None = None
 
 
 # Table names, folders and partition columns of the star schema.
 DATES = Table("D_DateTime", "D_DateTime_table_par", "ArriveYear")
-FACT = Table("Fact_Immigrant", "Fact_Immigrant_table_par", "VisaType")
-PERSONS = Table("D_Immigrant_detail", "Immigrant_detail_table_par", "ArriveMode")
-CITIES = Table("D_USCities", "D_USCities_table_par", "StateCode")
-AIRPORTS = Table("D_AirPort", "Airport_parquet", "Type")
-TEMPERATURES = Table("D_WorldTemp", "WorldTemp_parquet", "CityName")
+FACT = Table("Fact_Immigrant", "Fact_Immigrant_table_par", "VisaType", (("cicid_Immigrant",),))
+PERSONS = Table(
+    "D_Immigrant_detail", "Immigrant_detail_table_par", "ArriveMode", (("cicid_Immigrant",),)
+)
+# A city or airport has a row for each of its ports.
+CITIES = Table(
+    "D_USCities", "D_USCities_table_par", "StateCode", (("CityName", "AirPortCode"),),
+    dict(
+        AirPortCode="string", CityName="string", StateCode="string", StateName="string",
+        MedianAge="double", TotalPopulation="int", Veterans="int", ForeignBorn="int",
+        AvgHouseholdSize="double", Race="string",
+    ),
+)
+AIRPORTS = Table(
+    "D_AirPort", "Airport_parquet", "Type", (("AirPortID", "AirportName", "AirPortCode"),),
+    dict(
+        AirPortCode="string", AirPortID="string", Type="string", AirportName="string",
+        CityName="string", Elevation="int", Country="string", Coordinates="string",
+    ),
+)
+TEMPERATURES = Table(
+    "D_WorldTemp", "WorldTemp_parquet", "CityName", (("CityName", "AirPortCode"),),
+    dict(
+        AirPortCode="string", DateTime="date", AvgTemperature="double", CityName="string",
+        Latitude="string", Longitude="string",
+    ),
+)
 
 # Source columns each part of the schema reads.
 ARRIVAL_COLUMNS = [

@@ -1,9 +1,13 @@
+import glob
 import math
+import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from keelstone import scratch
 from keelstone.operators import cleaning, fill, gates, profile, skew
 from keelstone.operators.lookup import attach_port_codes, fits_broadcast
 from tests.conftest import final_plan, rows
@@ -230,3 +234,75 @@ def test_key_and_type_gates(frame):
         gates.check_types(frame.withColumn("t", F.col("t").cast("long")), frame.schema)
     with pytest.raises(gates.DataQualityError):
         gates.check_types(frame.drop("v"), frame.schema)
+
+
+def test_orphans(spark, settings):
+    child = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (2, "a"), (None, "a"), (3, None)], "x int, y string")
+    parent = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (7, "b")], "k int, j string")
+    for rows_that_fit in (500_000, 0):
+        found = gates.orphans(child, ["x"], parent, ["k"], rows_that_fit)
+        assert rows(found) == [(2, 2), (3, 1)]
+        assert rows(gates.orphans(child, ["x", "y"], parent, ["k", "j"], rows_that_fit)) == [(1, "b", 1), (2, "a", 2)]
+    gates.check_references(child.where("x = 1"), ["x"], parent, ["k"])
+    with pytest.raises(gates.DataQualityError, match="'x': 2"):
+        gates.check_references(child, ["x"], parent, ["k"])
+    gates.check_references(child.limit(0), ["x"], parent.limit(0), ["k"])
+
+
+def _counts(df, *args):
+    kept = cleaning.Counted(df, *args)
+    return kept.counts(), kept.frame
+
+
+def test_counts_are_data(spark):
+    df = spark.createDataFrame(
+        [(1.0, "b"), (1.0, "a"), (1.0, "a"), (float("nan"), "c"), (None, "d"), (2.0, None)], "k double, x string"
+    )
+    counts, frame = _counts(df, ["k"], ["k"])
+    assert counts == {"rows_in": 6, "missing_dropped": 2, "duplicates_dropped": 2, "rows_out": 2}
+    assert frame.dtypes == df.dtypes and rows(frame) == [(1.0, "a"), (2.0, None)]
+    assert rows(frame) == rows(cleaning.clean(df, ["k"], ["k"]).frame)
+    counts, frame = _counts(df, ["x"])
+    assert counts == {"rows_in": 6, "missing_dropped": 1, "duplicates_dropped": 0, "rows_out": 5}
+    assert rows(frame) == rows(df.where("x is not null"))
+    counts, frame = _counts(df, (), ["k", "x"])
+    assert counts == {"rows_in": 6, "missing_dropped": 0, "duplicates_dropped": 1, "rows_out": 5}
+    for keys in (None, ["k"]):
+        counts, frame = _counts(df.limit(0), ["k"], keys)
+        assert set(counts.values()) == {0} and frame.count() == 0
+
+
+def test_counts_when_a_map_task_runs_again(spark, settings, tmp_path, monkeypatch):
+    """One map output is lost after its task has ended; the map task runs again for the later readers."""
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="40")
+    df = spark.range(4000).selectExpr("id % 900 AS k", "IF(id % 7 = 0, NULL, id) AS x").repartition(4).cache()
+    df.count()
+    plain, again = scratch.stage, tmp_path / "ran"
+    again.mkdir()
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    own = [d.getPath() for d in disk.localDirs()]
+
+    def lose(batches):
+        for i, batch in enumerate(batches):
+            # The first reader deletes one map output that the others still need.
+            if not (again / "lost").exists():
+                (again / "lost").touch()
+                found = [f for d in own for f in glob.glob(f"{d}/*/shuffle_*_0.data")]
+                os.remove(max(found, key=os.path.getmtime))
+            yield batch
+
+    def count(batches):
+        (again / uuid.uuid4().hex).touch()
+        yield from batches
+
+    def sabotaged(frame, label):
+        return plain(frame.mapInArrow(lose, frame.schema), label)
+
+    monkeypatch.setattr(scratch, "stage", sabotaged)
+    counts, frame = _counts(df.mapInArrow(count, df.schema), ["x"], ["k"])
+    lost = df.where("x is null").count()
+    assert (again / "lost").exists() and len(list(again.iterdir())) > 1 + 4
+    assert counts == {
+        "rows_in": 4000, "missing_dropped": lost, "duplicates_dropped": 4000 - lost - 900, "rows_out": 900
+    }
+    assert frame.count() == 900

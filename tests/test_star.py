@@ -1,4 +1,5 @@
 import math
+import os
 from dataclasses import replace
 
 import pytest
@@ -122,7 +123,7 @@ def test_whole_run(spark, sources):
 def test_options(spark, sources):
     chosen = replace(
         sources, arrivals_limit=1, match_state=True, ignore_temperature_case=True,
-        distinct_dates=True, stable_fact_id=True, show_missing=True, check_keys=True,
+        distinct_dates=True, stable_fact_id=True, show_missing=True, check_keys=True, check_types=True,
     )
     run = run_all(spark, chosen)
     assert run.fact.count() == 2
@@ -272,3 +273,38 @@ def test_question_uses_the_partitions_of_the_run(spark, sources):
     run = replace(run_all(spark, sources), partitions=37)
     plan = run.arrivals_by_foreign_born()._jdf.queryExecution().toString()
     assert "37" in plan and rows(run.arrivals_by_foreign_born(with_key=True)) == [(77, 2)]
+
+
+def test_a_run_that_fails_a_gate_keeps_the_last_tables(spark, sources):
+    first = run_all(spark, replace(sources, check_keys=True, check_types=True))
+    kept = rows(first.fact.drop("Immig_Fact_ID"))
+    with pytest.raises(DataQualityError, match="columns differ"):
+        # Nothing gives the elevation its type.
+        run_all(spark, replace(sources, check_types=True, airport_types={}))
+    with pytest.raises(DataQualityError):
+        run_all(spark, replace(sources, arrivals=_only_incomplete(spark, sources)))
+    folder = f"{sources.output}/{star.FACT.folder}"
+    assert rows(spark.read.schema(first.fact.schema).parquet(folder).select(first.fact.columns).drop("Immig_Fact_ID")) == kept
+    assert {f for f in os.listdir(sources.output) if f[0] in "_."} == set()
+
+
+def test_planted_orphan_ends_the_run(spark, sources, monkeypatch):
+    plain = star.arrival_dates
+
+    def one_less(arrivals, distinct=False):
+        table = plain(arrivals, distinct)
+        lost = table.agg(F.max("ArriveDate")).first()[0]
+        return table.where(F.col("ArriveDate") != lost)
+
+    monkeypatch.setattr(star, "arrival_dates", one_less)
+    with pytest.raises(DataQualityError, match="ArriveDate.*refers to nothing"):
+        run_all(spark, replace(sources, check_keys=True))
+    assert not os.path.exists(f"{sources.output}/{star.FACT.folder}")
+    run_all(spark, sources)
+
+
+def test_repeated_natural_key_ends_the_run(spark, sources, monkeypatch):
+    plain = star.airports
+    monkeypatch.setattr(star, "airports", lambda *a: plain(*a).union(plain(*a)))
+    with pytest.raises(DataQualityError, match="AirPortID.*not unique"):
+        run_all(spark, replace(sources, check_keys=True))
