@@ -76,7 +76,16 @@ def key_counts(df: DataFrame, keys: Sequence[str], count_name: str = "copies") -
 
 
 def repeated_rows(df: DataFrame, keys: Sequence[str], **options) -> DataFrame:
-    """All rows whose key occurs more than once."""
+    """All rows whose key occurs more than once.
+
+    Of a whole row as key only the fingerprint is shuffled first; see `profile.repeated_groups`.
+    """
+    keys = _required(keys)
+    if set(keys) == set(df.columns) and len(keys) > profile.NARROW_COLUMNS:
+        groups = profile.repeated_groups(df, keys, **options)
+        one = F.lit(1).cast("long")
+        copies = groups.withColumn("_copy", F.explode(F.sequence(one, F.col("_n"))))
+        return copies.select([column(c) for c in df.columns])
     repeated = key_counts(df, keys, "_copies").where(F.col("_copies") > 1)
     return skew.semi_join(df, repeated, keys, "_copies", **options)
 

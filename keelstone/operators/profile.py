@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from keelstone.functions import keys
 from keelstone.functions.missing import any_missing, column, is_missing
+from keelstone.operators import skew
 
 
 def _rows() -> Column:
@@ -39,17 +41,53 @@ def dropped_by_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     )
 
 
+# Keys of so many columns or fewer are shuffled as they are.
+NARROW_COLUMNS = 2
+
+
+def repeated_groups(df: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
+    """Keys that occur more than once, with `_n` copies.
+
+    Wide keys are counted by 128-bit fingerprints first, which is all that is
+    shuffled of the rows that occur once; the full keys of the others are then
+    compared, so the result is exact.
+    """
+    names = list(columns or df.columns)
+    return _exact(_candidates(df, names, **options), names).where(F.col("_n") > 1)
+
+
+def _exact(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.groupBy(*[column(c) for c in names]).agg(_rows().alias("_n"))
+
+
+def _fingerprint_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys.fingerprint(names)).agg(_rows().alias("_n"))
+
+
+def _candidates(df: DataFrame, names: Sequence[str], **options) -> DataFrame:
+    """The rows that may occur more than once."""
+    if len(names) <= NARROW_COLUMNS:
+        return df
+    marks = ["_fp_0", "_fp_1"]
+    repeated = _fingerprint_counts(df, names).where(F.col("_n") > 1)
+    marked = df.select("*", *keys.fingerprint(names))
+    return skew.semi_join(marked, repeated, marks, "_n", **options).drop(*marks)
+
+
 def repeated_row_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """How many rows belong to groups that occur more than once."""
-    groups = df.groupBy(*[column(c) for c in columns or df.columns]).agg(_rows().alias("_n"))
-    return groups.where(F.col("_n") > 1).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in_groups")
-    )
+    return repeated_groups(df, columns).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in_groups"))
 
 
-def surplus_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+def surplus_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct keys and the rows beyond the first of each key."""
-    groups = df.groupBy(*[column(c) for c in keys or df.columns]).agg(_rows().alias("_n"))
+    names = list(columns or df.columns)
+    if len(names) <= NARROW_COLUMNS:
+        groups = _exact(df, names)
+    else:
+        # Fingerprints that occur once are keys of their own; the keys of the others are compared.
+        once = _fingerprint_counts(df, names).where(F.col("_n") == 1).select("_n")
+        groups = once.union(_exact(_candidates(df, names), names).select("_n"))
     return groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), _rows().alias("key_count")
     ).withColumn("surplus", F.col("row_count") - F.col("key_count"))

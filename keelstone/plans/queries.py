@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from keelstone import scratch
 from keelstone.functions.missing import column
+from keelstone.operators import skew
 from keelstone.operators.lookup import fits_broadcast
 
 # View names.
@@ -91,17 +95,21 @@ def arrivals_by_foreign_born(
     return counts.select(*shown).orderBy(F.desc(COUNT_NAME))
 
 
-def arrival_details(fact: DataFrame, persons: DataFrame, cities: DataFrame) -> DataFrame:
+def arrival_details(
+    fact: DataFrame, persons: DataFrame, cities: DataFrame, heavy_rows: int = skew.HEAVY_ROWS
+) -> DataFrame:
     """Rows of the fact joined to its city by port and to its person by cicid.
 
     Repeated names are told apart: the person's DepartureDate (a day number)
     comes as PersonDepartureDate, the keys come once. A city table small enough
-    by measure is broadcast; the join by cicid is a shuffle join, in which
-    adaptive execution splits a key that holds too many rows.
+    by measure is broadcast; all other joins spread a key that holds too many rows
+    over as many tasks as it needs (`skew.inner_join`).
     """
     people = persons.withColumnRenamed("DepartureDate", "PersonDepartureDate")
-    places = F.broadcast(cities) if fits_broadcast(cities) else cities
-    return fact.join(places, "AirPortCode").join(people, "cicid_Immigrant")
+    known = skew.inner_join(fact, people, ["cicid_Immigrant"], heavy_rows)
+    if fits_broadcast(cities):
+        return known.join(F.broadcast(cities), "AirPortCode")
+    return skew.inner_join(scratch.stage(known, "known-arrivals"), cities, ["AirPortCode"], heavy_rows)
 
 
 def count_by_period(df: DataFrame, key: str, date: str, monthly: bool = True) -> DataFrame:
@@ -112,6 +120,29 @@ def count_by_period(df: DataFrame, key: str, date: str, monthly: bool = True) ->
     return df.groupBy(column(key), *periods).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def count_levels(df: DataFrame, levels: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
+    """Rows per group on several levels, from one pass over the rows.
+
+    A level lists those of `names` that it groups by; an empty one is the total.
+    Columns that a level does not have are NULL in its rows, and `level` (the
+    place in `levels`) tells them from groups whose value is NULL.
+    """
+    names, chosen = list(names), [tuple(level) for level in levels]
+    unknown = {n for level in chosen for n in level} - set(names)
+    if unknown or len({frozenset(level) for level in chosen}) < len(chosen):
+        raise ValueError(f"levels must differ and use {names}")
+    columns = [column(n) for n in names]
+    counts = df.groupingSets([[column(n) for n in level] for level in chosen], *columns).agg(
+        F.count(F.lit(1)).alias("row_count"), F.grouping_id(*columns).alias("_without")
+    )
+    # The first column is the highest bit; it is set where the column is left out.
+    bits = {n: 1 << i for i, n in enumerate(reversed(names))}
+    level_of = F.create_map(*[
+        F.lit(x) for i, level in enumerate(chosen) for x in (sum(b for n, b in bits.items() if n not in level), i)
+    ])
+    return counts.select(level_of[F.col("_without").cast("int")].alias("level"), *columns, "row_count")
+
+
 def largest_groups(df: DataFrame, key: str, k: int, count_name: str = "row_count") -> DataFrame:
     """The k keys with most rows; equal counts in key order."""
     counts = df.groupBy(column(key)).agg(F.count(F.lit(1)).alias(count_name))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from keelstone.operators import skew
 from keelstone.plans import queries
 from suite.registry import query, table
 
@@ -90,6 +91,48 @@ def count_by_key_year(spark, folder):
     return queries.count_by_period(orders, "o_custkey", "o_orderdate", monthly=False)
 
 
+@query(
+    """
+    WITH o AS (SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year,
+                      CAST(month(o_orderdate) AS INTEGER) AS month FROM orders)
+    SELECT 0 AS level, o_orderstatus, NULL AS o_orderpriority, year, month, count(*) AS row_count
+    FROM o GROUP BY o_orderstatus, year, month
+    UNION ALL
+    SELECT 1, NULL, o_orderpriority, year, NULL, count(*) FROM o GROUP BY o_orderpriority, year
+    UNION ALL
+    SELECT 2, NULL, NULL, NULL, NULL, count(*) FROM o
+    """
+)
+def count_levels(spark, folder):
+    """Orders by status and month, by priority and year, and in total, from one pass."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("year"),
+        F.month("o_orderdate").alias("month"),
+    )
+    levels = [["o_orderstatus", "year", "month"], ["o_orderpriority", "year"], []]
+    return queries.count_levels(orders, levels, ["o_orderstatus", "o_orderpriority", "year", "month"])
+
+
+@query(
+    """
+    WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS k, o_orderkey FROM orders),
+    c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey END AS k, c_nationkey FROM customer)
+    SELECT k, count(*) AS pairs, CAST(sum(o_orderkey) AS BIGINT) AS orders,
+           CAST(sum(c_nationkey) AS BIGINT) AS nations
+    FROM o JOIN c USING (k) GROUP BY k
+    """
+)
+def join_hot_key(spark, folder):
+    """Pairs of two tables that have a third of their rows on one key."""
+    orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
+    left = orders.select(F.expr("IF(o_orderkey % 3 = 0, 0, o_custkey)").alias("k"), "o_orderkey")
+    right = customers.select(F.expr("IF(c_custkey % 3 = 0, 0, c_custkey)").alias("k"), "c_nationkey")
+    return skew.inner_join(left, right, ["k"], heavy_rows=1000).groupBy("k").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("o_orderkey").alias("orders"),
+        F.sum("c_nationkey").cast("long").alias("nations"),
+    )
+
+
 @query("SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5")
 def preview_rows(spark, folder):
     return queries.preview(table(spark, folder, "orders"), 5, "o_orderdate", "o_orderkey")

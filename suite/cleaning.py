@@ -234,6 +234,43 @@ def duplicate_listing(spark, folder):
     return cleaning.repeated_rows(table(spark, folder, "lineitem"), _LINE_KEYS)
 
 
+_SHIPPED = ["l_shipdate", "l_returnflag", "l_linestatus", "l_quantity"]
+
+
+@query(
+    """
+    SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_in_groups FROM (
+        SELECT count(*) AS n FROM lineitem
+        GROUP BY l_shipdate, l_returnflag, l_linestatus, l_quantity HAVING count(*) > 1
+    )
+    """
+)
+def duplicate_whole_rows(spark, folder):
+    return profile.repeated_row_count(table(spark, folder, "lineitem").select(_SHIPPED))
+
+
+@query(
+    """
+    SELECT count(*) AS row_count,
+           count(DISTINCT (l_shipdate, l_returnflag, l_linestatus, l_quantity)) AS key_count,
+           count(*) - count(DISTINCT (l_shipdate, l_returnflag, l_linestatus, l_quantity)) AS surplus
+    FROM lineitem
+    """
+)
+def duplicate_whole_surplus(spark, folder):
+    return profile.surplus_rows(table(spark, folder, "lineitem").select(_SHIPPED))
+
+
+@query(
+    """
+    SELECT l_shipdate, l_returnflag, l_linestatus, l_quantity FROM lineitem
+    QUALIFY count(*) OVER (PARTITION BY l_shipdate, l_returnflag, l_linestatus, l_quantity) > 1
+    """
+)
+def duplicate_whole_listing(spark, folder):
+    return cleaning.repeated_rows(table(spark, folder, "lineitem").select(_SHIPPED), _SHIPPED)
+
+
 @query(
     """
     SELECT count(p_partkey) - count(DISTINCT p_partkey) AS p_partkey,

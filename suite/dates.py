@@ -113,6 +113,18 @@ def surrogate_hash_check(spark, folder):
     )
 
 
+@query(
+    """
+    SELECT p_partkey, p_brand,
+           row_number() OVER (ORDER BY p_brand NULLS FIRST, p_partkey NULLS FIRST) - 1 AS id
+    FROM part
+    """
+)
+def dense_ids(spark, folder):
+    part = table(spark, folder, "part").select("p_partkey", "p_brand")
+    return keys.with_dense_id(part, ["p_brand", "p_partkey"], "id", partitions=7)
+
+
 @query("SELECT p_partkey, p_brand FROM part WHERE regexp_matches(substr(p_brand, 7), '^[0-9]')")
 def first_char_digit(spark, folder):
     part = table(spark, folder, "part")

@@ -95,3 +95,17 @@ def test_surrogate_ids(spark):
     assert rows(ids) == rows(df.repartition(3).select(keys.hashed_id("x", "y").alias("i")))
     many = spark.range(1000).repartition(7).select(keys.running_id().alias("i"))
     assert many.distinct().count() == 1000
+
+
+def test_dense_ids(spark):
+    data = [("hot" if i % 3 == 0 else f"k{i % 9}", None if i % 10 == 0 else i % 50, i) for i in range(500)]
+    df = spark.createDataFrame(data, "k string, n int, i int")
+    wanted = rows([(*r, j) for j, r in enumerate(sorted(data, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])))])
+    for number in (1, 3, 16):
+        found = keys.with_dense_id(df.repartition(number + 2), ["k"], "id", number)
+        assert found.columns == ["k", "n", "i", "id"] and rows(found) == wanted
+    same = keys.with_dense_id(df.select(F.lit(1).alias("k")), ["k"], "id", 4)
+    assert rows(same.select("id")) == [(i,) for i in range(500)] or {r.id for r in same.collect()} == set(range(500))
+    assert keys.with_dense_id(df.limit(0), ["k"], "id").collect() == []
+    with pytest.raises(ValueError):
+        keys.with_dense_id(df, ["k"], "n")

@@ -306,3 +306,84 @@ def test_counts_when_a_map_task_runs_again(spark, settings, tmp_path, monkeypatc
         "rows_in": 4000, "missing_dropped": lost, "duplicates_dropped": 4000 - lost - 900, "rows_out": 900
     }
     assert frame.count() == 900
+
+
+# Joins on hot keys
+
+
+def _pairs(left, right):
+    by = {}
+    for k, *rest in right:
+        by.setdefault(k, []).append(rest)
+    return sorted(((k, *rest, *other) for k, *rest in left if k is not None for other in by.get(k, [])), key=repr)
+
+
+@pytest.mark.parametrize("heavy_rows", [3, 20, 1000])
+def test_inner_join_with_hot_keys(spark, heavy_rows):
+    left = [("hot" if i % 3 == 0 else None if i % 20 == 1 else f"k{i % 30}", i % 50, math.nan if i % 7 == 0 else None) for i in range(180)]
+    right = [("hot" if i % 3 == 0 else None if i % 20 == 1 else f"k{i % 40}", None if i % 5 == 0 else f"v{i}") for i in range(120)]
+    # Equal rows on both sides.
+    left, right = left + left[:60], right + [("hot", "same")] * 30 + [("k1", "same")] * 9
+    a = spark.createDataFrame(left, "k string, n int, x double").repartition(3)
+    b = spark.createDataFrame(right, "k string, v string").repartition(4)
+    found = skew.inner_join(a, b, ["k"], heavy_rows)
+    assert found.columns == ["k", "n", "x", "v"]
+    nan = lambda data: [tuple("NaN" if v != v else v for v in row) for row in data]
+    assert rows(found) == sorted(nan(_pairs(left, right)), key=repr)
+
+
+def test_no_cell_of_a_hot_join_is_large(spark):
+    left = spark.range(30_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS a", "id % 2 AS b")
+    right = spark.range(3_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS c", "id AS d")
+    heavy = skew.key_weights(left, right, ["k"], 500)
+    assert rows(heavy) == [(0, 20, 2)]
+    own = skew._cells(left, heavy, ["k"], "_left", "_right", ("_i", "_j"), "_times", 500)
+    sizes = own.groupBy("_i", "_j").count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert sizes[0] == 40 and sizes[1] < 700 and sizes[2] == 20_000
+    # All rows alike: their copies are shared out as well.
+    alike = spark.range(10_000).selectExpr("0L AS k", "1 AS a")
+    heavy = skew.key_weights(alike, right, ["k"], 500)
+    own = skew._cells(alike, heavy, ["k"], "_left", "_right", ("_i", "_j"), "_times", 500)
+    assert own.agg(F.max("_times"), F.sum("_times")).first()[:] == (500, 20_000)
+
+
+def test_inner_join_of_odd_frames(spark):
+    a = spark.createDataFrame([(1, 2)], "k int, a int")
+    with pytest.raises(ValueError):
+        skew.inner_join(a, a, ["k"])
+    b = a.withColumnRenamed("a", "b")
+    assert skew.inner_join(a.limit(0), b, ["k"], 1).collect() == []
+    assert rows(skew.inner_join(a.union(a), b, ["k"], 1)) == [(1, 2, 2), (1, 2, 2)]
+
+
+# Fingerprints
+
+
+def test_wide_duplicates_equal_plain_counts(spark):
+    data = [(i % 40, None if i % 3 else "x", math.nan if i % 4 else None, i % 2) for i in range(200)]
+    data += [(1000 + i, None, None, 0) for i in range(50)] + [(None, 1, None, 0)] + [(1, None, None, 0), (None, None, 1.0, 0)]
+    df = spark.createDataFrame([(a, str(b) if b is not None else None, c, d) for a, b, c, d in data], "a int, b string, c double, d int")
+    groups = df.groupBy(*df.columns).count()
+    assert profile.repeated_row_count(df).first()[0] == groups.where("count > 1").agg(F.sum("count")).first()[0]
+    n, k = df.count(), groups.count()
+    assert tuple(profile.surplus_rows(df).first()) == (n, k, n - k)
+    listed = df.join(groups.where("count > 1").drop("count"), [df[c].eqNullSafe(groups[c]) for c in df.columns], "left_semi")
+    assert rows(cleaning.repeated_rows(df, df.columns)) == rows(listed)
+    assert rows(cleaning.repeated_rows(df, df.columns, heavy_rows=2)) == rows(listed)
+
+
+def test_fingerprints_that_collide_are_told_apart(spark, monkeypatch):
+    """With a fingerprint that is the same for all rows the results stay."""
+    monkeypatch.setattr(profile.keys, "fingerprint", lambda names: [F.lit(1).alias("_fp_0"), F.lit(2).alias("_fp_1")])
+    df = spark.createDataFrame([(1, 2, 3), (1, 2, 3), (1, 2, 4)], "a int, b int, c int")
+    assert profile.repeated_row_count(df).first()[0] == 2
+    assert tuple(profile.surplus_rows(df).first()) == (3, 2, 1)
+    assert rows(cleaning.repeated_rows(df, ["a", "b", "c"])) == [(1, 2, 3)] * 2
+
+
+def test_rows_that_occur_once_are_shuffled_as_fingerprints(spark):
+    df = spark.range(1000).selectExpr("id AS a", "repeat('x', 200) AS b", "string(id) AS c")
+    plan = profile._fingerprint_counts(df, df.columns)._jdf.queryExecution().executedPlan().toString()
+    exchange = [line for line in plan.splitlines() if "Exchange" in line][0]
+    assert exchange.count("_groupingexpression") == 2 and "[a#" not in exchange and "b#" not in exchange
+    assert profile._candidates(df, df.columns).count() == 0

@@ -308,3 +308,33 @@ def test_repeated_natural_key_ends_the_run(spark, sources, monkeypatch):
     monkeypatch.setattr(star, "airports", lambda *a: plain(*a).union(plain(*a)))
     with pytest.raises(DataQualityError, match="AirPortID.*not unique"):
         run_all(spark, replace(sources, check_keys=True))
+
+
+def test_count_levels(spark):
+    df = spark.createDataFrame(
+        [("P", "C", 1), ("P", "C", 2), ("Q", "C", 1), (None, "D", None), (None, "D", 1)], "port string, city string, year int"
+    )
+    found = queries.count_levels(df, [["port", "year"], ["city"], []], ["port", "city", "year"])
+    assert rows(found) == rows([
+        (0, "P", None, 1, 1), (0, "P", None, 2, 1), (0, "Q", None, 1, 1), (0, None, None, None, 1), (0, None, None, 1, 1),
+        (1, None, "C", None, 3), (1, None, "D", None, 2), (2, None, None, None, 5),
+    ])
+    plan = final_plan(found)
+    assert plan.count("Expand") >= 1 and plan.count("Scan ExistingRDD") == plan.count("Expand")
+    with pytest.raises(ValueError):
+        queries.count_levels(df, [["port"], ["port"]], ["port"])
+    with pytest.raises(ValueError):
+        queries.count_levels(df, [["lost"]], ["port"])
+
+
+def test_arrival_details_with_hot_keys(spark, monkeypatch):
+    fact = spark.range(200).selectExpr("IF(id % 3 = 0, 0, id) AS cicid_Immigrant", "IF(id % 2 = 0, 'P', 'Q') AS AirPortCode", "id")
+    persons = spark.range(100).selectExpr("IF(id % 3 = 0, 0, id) AS cicid_Immigrant", "id AS DepartureDate")
+    cities = spark.createDataFrame([("P", 1), ("P", 2), ("Q", 3)], "AirPortCode string, ForeignBorn int")
+    wanted = fact.join(persons.withColumnRenamed("DepartureDate", "PersonDepartureDate"), "cicid_Immigrant").join(cities, "AirPortCode")
+    found = queries.arrival_details(fact, persons, cities, heavy_rows=10)
+    names = sorted(wanted.columns)
+    assert rows(found.select(names)) == rows(wanted.select(names))
+    monkeypatch.setattr(queries, "fits_broadcast", lambda df: False)
+    found = queries.arrival_details(fact, persons, cities, heavy_rows=10)
+    assert rows(found.select(names)) == rows(wanted.select(names))
