@@ -118,6 +118,10 @@ class _Block:
         self.copies = block.column("copies").to_numpy()[row]
         place = np.arange(len(row)) - self.words.first[:-1][row]
         self.counted = place < block.column("starts").to_numpy()[row]
+        # A chunk's tag depends on its words; a phrase is spelled by the chunk with its smallest tag.
+        marks = mix(self.keys + place.astype(np.uint64))
+        tags = np.add.reduceat(marks, self.words.first[:-1]) if len(marks) else marks
+        self.tags = (tags >> np.uint64(32)).astype(np.uint32)[row]
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         return self.words.grams(n, self.keys)
@@ -137,7 +141,7 @@ def _words_of(block: pa.RecordBatch):
     own = _Block(block)
     keys, at = own.grams(1)
     at = at[own.counted[at]]
-    return [(0, keys[own.counted], own.copies[at])]
+    return [(0, keys[own.counted], own.copies[at], None)]
 
 
 def _pairs_of(frequent):
@@ -147,7 +151,7 @@ def _pairs_of(frequent):
         common = frequent.value.has(words)
         keys, at = own.grams(2)
         pick = own.counted[at] & common[at] & common[np.minimum(at + 1, len(common) - 1)]
-        return [(0, keys[pick], own.copies[at[pick]])]
+        return [(0, keys[pick], own.copies[at[pick]], own.tags[at[pick]])]
 
     return work
 
@@ -164,28 +168,34 @@ def _longer_of(frequent, longest: int):
             chain = chain[:-1] & common[n - 2 :]
             keys, at = own.grams(n)
             pick = own.counted[at] & chain[at]
-            out.append((n - 3, keys[pick], own.copies[at[pick]]))
+            out.append((n - 3, keys[pick], own.copies[at[pick]], own.tags[at[pick]]))
         return out
 
     return work
 
 
 def _counted(dictionary: DataFrame, work, buckets: int, kinds: int, least: int, first: int, label: str) -> DataFrame:
-    """Keys with a count of `least` or more: (words, key, count)."""
+    """Keys with a count of `least` or more: (words, key, count, spelled)."""
 
-    def finish(kind, bucket, keys, sums):
-        pick = sums >= least
+    def finish(kind, bucket, found):
+        keys, sums, tags = (x[found.sums >= least] for x in found)
         return pa.table({
-            "words": pa.array(np.full(pick.sum(), kind + first, np.int32)),
-            "key": pa.array(signed(keys[pick])), "count": pa.array(sums[pick]),
+            "words": pa.array(np.full(len(keys), kind + first, np.int32)),
+            "key": pa.array(signed(keys)), "count": pa.array(sums),
+            "spelled": pa.array(signed(_spelled_by(keys, tags))),
         })
 
     dealt = deal(dictionary, "chunk", work, [buckets] * kinds)
-    return stage(gather(dealt, finish, "words int, key long, count long"), label)
+    return stage(gather(dealt, finish, "words int, key long, count long, spelled long"), label)
+
+
+def _spelled_by(keys: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """One mark for a phrase and the tag of a chunk that holds it."""
+    return mix(keys ^ mix(tags.astype(np.uint64)))
 
 
 def _phrases(dictionary: DataFrame, frequent, longest: int) -> DataFrame:
-    """(key, lang, phrase) of the phrases whose key may be in `frequent`."""
+    """(key, lang, phrase) of the phrases that `frequent` may have, each from few chunks."""
 
     def spell(block: pa.RecordBatch, told: set) -> pa.RecordBatch:
         own = _Block(block)
@@ -196,7 +206,7 @@ def _phrases(dictionary: DataFrame, frequent, longest: int) -> DataFrame:
         out = {"key": [], "lang": [], "phrase": []}
         for n in range(2, longest + 1):
             keys, at = own.grams(n)
-            pick = np.flatnonzero(frequent.value.has(keys))
+            pick = np.flatnonzero(frequent.value.has(_spelled_by(keys, own.tags[at])))
             _, first = np.unique(keys[pick], return_index=True)
             for i in pick[first].tolist():
                 key = int(keys[i])
@@ -274,7 +284,7 @@ def mine(
     )
     frequent = twos.union(more)
     counts = ones.union(frequent).select("key", "count")
-    spelled = _phrases(dictionary, shared(frequent.select("key")), LONGEST)
+    spelled = _phrases(dictionary, shared(frequent.select(F.col("spelled").alias("key"))), LONGEST)
     phrases = stage(
         spelled.join(frequent.select("key", F.col("count").alias("a")), "key"), "candidates"
     )

@@ -4,12 +4,14 @@ A task adds up the keys of its blocks, holding at most about `KEPT` of them,
 and deals the sums out to buckets by the keys' high bits. One row is what a
 task has for one bucket: far fewer rows and bytes than a row per key. The
 caller sets the number of buckets in proportion to the input, so that a bucket
-stays small at any size; a common key is one entry per task.
+stays small at any size; a common key is one entry per task. A tag can say where
+a key occurs: the smallest of its tags is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,22 +20,37 @@ from pyspark.sql import DataFrame, functions as F
 from keelstone.llm.words import split_block
 
 KEPT = 4_000_000
-Part = tuple[int, np.ndarray, "np.ndarray | None"]
-DEALT = "kind int, bucket int, keys binary, sums binary"
+#: kind, keys, their weights (None: 1 each), their tags (None: no tags).
+Part = tuple[int, np.ndarray, "np.ndarray | None", "np.ndarray | None"]
+DEALT = "kind int, bucket int, keys binary, sums binary, tags binary"
 
 
-def add_up(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of the weights (1 without) of each."""
-    if weights is None:
+class Sums(NamedTuple):
+    """Distinct keys in order, the sum of the weights of each, and its smallest 32-bit tag."""
+
+    keys: np.ndarray
+    sums: np.ndarray
+    tags: np.ndarray
+
+
+def add_up(keys: np.ndarray, weights: np.ndarray | None = None, tags: np.ndarray | None = None) -> Sums:
+    if weights is None and tags is None:
         keys = np.sort(keys)
     else:
         order = np.argsort(keys, kind="stable")
-        keys, weights = keys[order], weights[order]
-    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    if weights is None:
-        return keys[at], np.diff(np.append(at, len(keys))).astype(np.int64)
-    sums = np.add.reduceat(weights, at) if len(at) else np.zeros(0, np.int64)
-    return keys[at], sums.astype(np.int64)
+        keys = keys[order]
+        weights = weights if weights is None else weights[order]
+        tags = tags if tags is None else tags[order]
+    if not len(keys):
+        return Sums(keys, np.zeros(0, np.int64), np.zeros(0, np.uint32))
+    at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    sums = np.diff(np.append(at, len(keys))) if weights is None else np.add.reduceat(weights, at)
+    least = np.zeros(len(at), np.uint32) if tags is None else np.minimum.reduceat(tags, at)
+    return Sums(keys[at], sums.astype(np.int64), least.astype(np.uint32))
+
+
+def _all_of(parts: Sequence[Sums]) -> Sums:
+    return add_up(*(np.concatenate(x) for x in zip(*parts)))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -47,15 +64,13 @@ def deal(
 ) -> DataFrame:
     """A task's sums, in rows of DEALT.
 
-    `work` gives (kind, keys, weights) of a block; kind k goes to `buckets[k]`
-    buckets. Of a narrow kind only the low 32 bits of the keys are passed on.
+    `work` gives the parts of a block; kind k goes to `buckets[k]` buckets. Of a
+    narrow kind only the low 32 bits of the keys are passed on.
     """
     narrow = list(narrow) or [False] * len(buckets)
 
     def rows(kind: int, parts: list) -> Iterator[pa.RecordBatch]:
-        keys, sums = add_up(
-            np.concatenate([k for k, _ in parts]), np.concatenate([w for _, w in parts])
-        )
+        keys, sums, tags = _all_of(parts)
         bucket = bucket_of(keys, buckets[kind])
         cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
         keys = keys.astype("<u4") if narrow[kind] else keys
@@ -68,6 +83,7 @@ def deal(
                 "bucket": pa.array([int(bucket[a]) for a, _ in own], pa.int32()),
                 "keys": pa.array([keys[a:b].tobytes() for a, b in own], pa.binary()),
                 "sums": pa.array([sums[a:b].tobytes() for a, b in own], pa.binary()),
+                "tags": pa.array([tags[a:b].tobytes() for a, b in own], pa.binary()),
             })
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,10 +91,10 @@ def deal(
         size = 0
         for batch in batches:
             for block in split_block(batch, text):
-                for kind, keys, weights in work(block):
+                for kind, keys, weights, tags in work(block):
                     if len(keys):
-                        held[kind].append(add_up(keys, weights))
-                        size += len(held[kind][-1][0])
+                        held[kind].append(add_up(keys, weights, tags))
+                        size += len(held[kind][-1].keys)
                 if size >= KEPT:
                     for kind, parts in enumerate(held):
                         if parts:
@@ -93,18 +109,17 @@ def deal(
 
 
 def gather(
-    dealt: DataFrame, finish: Callable[[int, int, np.ndarray, np.ndarray], pa.Table], schema: str,
-    narrow: Sequence[bool] = (),
+    dealt: DataFrame, finish: Callable[[int, int, Sums], pa.Table], schema: str, narrow: Sequence[bool] = (),
 ) -> DataFrame:
-    """`finish(kind, bucket, keys, sums)` of the total sums of every bucket."""
+    """`finish(kind, bucket, sums)` of the total sums of every bucket."""
     narrow = dict(enumerate(narrow))
 
     def work(group: pa.Table) -> pa.Table:
         kind, bucket = group["kind"][0].as_py(), group["bucket"][0].as_py()
         kind_of_key = "<u4" if narrow.get(kind) else "<u8"
-        keys = [np.frombuffer(x.as_buffer(), kind_of_key) for x in group["keys"]]
-        sums = [np.frombuffer(x.as_buffer(), "<i8") for x in group["sums"]]
-        return finish(kind, bucket, *add_up(np.concatenate(keys), np.concatenate(sums)))
+        types = {"keys": kind_of_key, "sums": "<i8", "tags": "<u4"}
+        parts = [[np.frombuffer(x.as_buffer(), t) for x in group[name]] for name, t in types.items()]
+        return finish(kind, bucket, _all_of([Sums(*part) for part in zip(*parts)]))
 
     return dealt.groupBy("kind", "bucket").applyInArrow(work, schema)
 

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from keelstone.llm.counting import add_up, bucket_of, deal, gather
+from keelstone.llm.counting import bucket_of, deal, gather
 from keelstone.llm.shared import stage
 from keelstone.llm.words import Words, lists, mix, signed, split_block, text_bytes
 
@@ -163,21 +163,16 @@ def learn(docs: DataFrame, training: Column, order: int = ORDER) -> Model:
 
     def count(block: pa.RecordBatch):
         own = Tokens(block.column("text"))
-        yield 0, own.ids[own.counted], None
+        yield 0, own.ids[own.counted], None, None
         for n, keys in enumerate(own.grams(order)):
-            yield 1, keys if n == 0 else keys[own.place >= n], None
-
-    def finish(kind, bucket, keys, sums):
-        if kind == 1:
-            return pa.table({
-                "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-                "keys": pa.array([bucket_bits(keys, sums)], pa.binary()),
-                "sums": pa.array([None], pa.binary()), "distinct": pa.array([len(keys)], pa.int64()),
-                "total": pa.array([int(sums.sum())], pa.int64()),
-            })
+            yield 1, keys if n == 0 else keys[own.place >= n], None, None
+
+    def finish(kind, bucket, found):
+        keys, sums, _ = found
+        packed = (bucket_bits(keys, sums), None) if kind else (keys.tobytes(), sums.tobytes())
         return pa.table({
             "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-            "keys": pa.array([keys.tobytes()], pa.binary()), "sums": pa.array([sums.tobytes()], pa.binary()),
+            "keys": pa.array(packed[:1], pa.binary()), "sums": pa.array(packed[1:], pa.binary()),
             "distinct": pa.array([len(keys)], pa.int64()), "total": pa.array([int(sums.sum())], pa.int64()),
         })
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from keelstone import scratch
 from keelstone.llm import collocations, counting, hard_negatives, ngram_lm
 from tests.conftest import rows
 from tests.llm import helpers
@@ -27,10 +28,10 @@ def shuffled_words(seed, n, vocabulary=30):
 
 def test_add_up():
     keys = np.array([5, 1, 5, 2**63, 1], dtype=np.uint64)
-    found, sums = counting.add_up(keys)
+    found, sums, _ = counting.add_up(keys)
     assert found.tolist() == [1, 5, 2**63] and sums.tolist() == [2, 2, 1]
-    found, sums = counting.add_up(keys, np.array([1, 10, 100, 7, 1000]))
-    assert sums.tolist() == [1010, 101, 7]
+    found, sums, tags = counting.add_up(keys, np.array([1, 10, 100, 7, 1000]), np.array([4, 3, 2, 1, 9]))
+    assert sums.tolist() == [1010, 101, 7] and tags.tolist() == [3, 2, 1]
     empty = counting.add_up(np.zeros(0, np.uint64))
     assert len(empty[0]) == 0 == len(empty[1])
 
@@ -47,9 +48,10 @@ def test_deal_and_gather_over_many_flushes(spark, monkeypatch):
     def work(block):
         words = [int(x) for t in block.column("text").to_pylist() for x in (t or "").split()]
         keys = np.array(words, dtype=np.uint64) << np.uint64(56)
-        return [(0, keys, None), (1, keys, np.full(len(keys), 2))]
+        return [(0, keys, None, None), (1, keys, np.full(len(keys), 2), None)]
 
-    def finish(kind, bucket, keys, sums):
+    def finish(kind, bucket, found):
+        keys, sums, _ = found
         return pa.table({"kind": [kind] * len(keys), "key": (keys >> np.uint64(56)).astype(np.int64), "n": sums})
 
     df = helpers.docs(spark, [(i, " ".join(str(j % 11) for j in range(i))) for i in range(40)])
@@ -327,6 +329,20 @@ def test_chunks_count_every_word_once(spark):
     assert all(len(r.chunk.split(" ")) == r.starts + (0 if r.last else collocations.OVERLAP) for r in dictionary)
 
 
+def test_a_frequent_phrase_is_spelled_by_one_chunk(spark):
+    """However many chunks hold it."""
+    texts = [(i, f"x{i} a b y{i}", "en", "s", 1) for i in range(500)]
+    dictionary = scratch.stage(collocations.parse(spark.createDataFrame(texts, helpers.DOCS).repartition(6)), "chunks")
+    assert dictionary.count() == 500
+    ones = collocations._counted(dictionary, collocations._words_of, 8, 1, 100, 1, "words")
+    shared = spark.sparkContext.broadcast(counting.bitmap(ones.select("key")))
+    twos = collocations._counted(dictionary, collocations._pairs_of(shared), 8, 1, 100, 2, "pairs")
+    assert [r["count"] for r in twos.collect()] == [500]
+    shared = spark.sparkContext.broadcast(counting.bitmap(twos.select(F.col("spelled").alias("key"))))
+    plan = collocations._phrases(dictionary, shared, 5)
+    assert [r.phrase for r in plan.collect()] == ["a b"]
+
+
 def test_collocation_scores_beyond_64_bits(spark):
     a, n, l = 10**12, 10**14, 10**13
     row = spark.createDataFrame([(a, n, l, l)], "a long, n long, l long, r long")
