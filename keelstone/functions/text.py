@@ -60,5 +60,14 @@ def clean_name(name: str) -> str:
 
 
 def with_clean_names(df: DataFrame) -> DataFrame:
-    """Rename all columns to names that Parquet and SQL take unquoted."""
+    """Rename all columns to names that Parquet and SQL take unquoted.
+
+    Names that would become one and the same (also but for their case) are refused.
+    """
+    names: dict[str, list[str]] = {}
+    for name in df.columns:
+        names.setdefault(clean_name(name).lower(), []).append(name)
+    clash = [old for old in names.values() if len(old) > 1]
+    if clash or "" in names:
+        raise ValueError(f"these columns would share a name or have none: {clash or names['']}")
     return df.toDF(*[clean_name(n) for n in df.columns])

@@ -109,3 +109,10 @@ def test_dense_ids(spark):
     assert keys.with_dense_id(df.limit(0), ["k"], "id").collect() == []
     with pytest.raises(ValueError):
         keys.with_dense_id(df, ["k"], "n")
+
+
+@pytest.mark.parametrize("names", [["a b", "a_b"], ["A b", "a_B"], ["a(", "a"], ["()"]])
+def test_clashing_clean_names_are_refused(spark, names):
+    df = spark.createDataFrame([tuple(range(len(names)))], names)
+    with pytest.raises(ValueError, match="share a name"):
+        text.with_clean_names(df)

@@ -1,7 +1,10 @@
+import gzip
+import uuid
+
 import pytest
 
 from keelstone.sources import labels
-from keelstone.sources.delimited import read_delimited, unparsable
+from keelstone.sources.delimited import header_lines, read_delimited, unparsable
 from keelstone.sources.files import (
     SourceError, list_files, read_many, total_bytes, within_budget,
 )
@@ -199,3 +202,47 @@ def test_columns_align_whatever_their_case(spark, tmp_path):
     spark.range(1, 2).selectExpr("id AS CICID").write.parquet(str(tmp_path / "b"))
     df = read_many(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
     assert df.columns == ["cicid"] and rows(df) == [(0,), (1,)]
+
+
+def _jobs(spark, work):
+    """Result of `work` and the number of jobs it ran."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("count", [3, 90])
+def test_headers_of_many_files_cost_as_many_jobs_as_of_few(spark, tmp_path, count):
+    folder = tmp_path / "some files%20x"
+    folder.mkdir()
+    for i in range(count):
+        columns = ["id", "name", "n"] if i % 3 else ["n", "id", "name"]
+        values = {"id": str(i), "name": f'"x, {i}"', "n": str(i * 10)}
+        rest = [",".join(values[c] for c in columns)] * 50
+        (folder / f"part {i:03}.csv").write_text("\n \n" * (i % 2) + "\n".join([",".join(columns), *rest]) + "\n")
+    (folder / "part-empty.csv").write_text("")
+    files = list_files(spark, str(folder))
+    groups, jobs = _jobs(spark, lambda: header_lines(spark, files))
+    assert {k: len(v) for k, v in groups.items()} == {"n,id,name": -(-count // 3), "id,name,n": count - -(-count // 3)}
+    assert jobs <= 1 + (count > 32)  # the listing of many paths is a job as well
+    types = {"id": "int", "n": "int"}
+    table, jobs = _jobs(spark, lambda: read_delimited(spark, str(folder), types=types))
+    assert table.columns == ["n", "id", "name"] and jobs <= 6
+    assert rows(table.distinct()) == sorted([(i * 10, i, f"x, {i}") for i in range(count)], key=repr)
+    assert table.count() == 50 * count
+
+
+def test_headers_stop_at_the_first_line(spark, tmp_path):
+    """A large file is not read for its header, and packed files are."""
+    (tmp_path / "a.csv").write_text("x;y\n" + "1;2\n" * 400_000)
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as file:
+        file.write("y;x\n4;3\n")
+    groups = header_lines(spark, list_files(spark, str(tmp_path)))
+    assert sorted(groups) == ["x;y", "y;x"]
+    table = read_delimited(spark, str(tmp_path), ";", types={"x": "int", "y": "int"})
+    assert rows(table.distinct()) == [(1, 2), (3, 4)]
+    assert header_lines(spark, []) == {}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 50)
