@@ -16,7 +16,7 @@ or a local disk. One writer at a time per name.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -105,8 +105,8 @@ def recover(spark: SparkSession, base: str, name: str) -> bool:
     files, at = _Files(spark, base), _places(base, name)
     committed = files.exists(at.manifest)
     if committed:
-        for folder, how in json.loads(files.read(at.manifest)).items():
-            _swap(files, base.rstrip("/"), at, folder, how)
+        for folder, entry in json.loads(files.read(at.manifest)).items():
+            _swap(files, base.rstrip("/"), at, folder, entry["replace"], entry["emptied"])
         # From here on the old tables are not needed any more.
         files.delete(at.manifest)
     for path in (at.beside, at.old, f"{at.manifest}.part"):
@@ -114,12 +114,12 @@ def recover(spark: SparkSession, base: str, name: str) -> bool:
     return committed
 
 
-def _swap(files: _Files, base: str, at: _Places, folder: str, how: str) -> None:
+def _swap(files: _Files, base: str, at: _Places, folder: str, replace: str, emptied: Sequence[str]) -> None:
     """Move what stands beside to its place; again and again with the same result."""
     source = f"{at.beside}/{folder}"
     if not files.exists(source):
         return
-    if how == TABLE:
+    if replace == TABLE:
         files.make(at.old)
         moves = [(source, f"{base}/{folder}", f"{at.old}/{folder}")]
     else:
@@ -129,6 +129,9 @@ def _swap(files: _Files, base: str, at: _Places, folder: str, how: str) -> None:
             (f"{source}/{part}", f"{base}/{folder}/{part}", f"{at.old}/{folder}/{part}")
             for part in files.folders(source) if not part.startswith("_")
         ]
+        for part in emptied:
+            if files.exists(f"{base}/{folder}/{part}"):
+                files.rename(f"{base}/{folder}/{part}", f"{at.old}/{folder}/{part}")
     for new, place, old in moves:
         # While the new one still stands beside, what is in place is the old one.
         if files.exists(place):
@@ -152,13 +155,19 @@ class Publication:
         self._spark, self._base, self._name = spark, base.rstrip("/"), name
         recover(spark, self._base, name)
         self._places = _places(self._base, name)
-        self._tables: dict[str, tuple[str, StructType]] = {}
+        self._tables: dict[str, tuple[dict, StructType]] = {}
 
     def write(
         self, df: DataFrame, folder: str, partition_by: str | None = None,
         metrics: Mapping[str, Column] | None = None, gates: Sequence[Gate] = (), replace: str = TABLE,
+        covers: Iterable[str] = (), may_be_empty: bool = False,
     ) -> Written:
-        """Write a table beside its place and check it there; see `sinks.parquet.write_checked`."""
+        """Write a table beside its place and check it there; see `sinks.parquet.write_checked`.
+
+        `covers` names partition folders in use whose rows are all in `df`, as far
+        as they remain: those that `df` has no rows of are removed. A table that
+        `may_be_empty` passes the row count gate without rows.
+        """
         if replace not in (TABLE, PARTITIONS) or (replace == PARTITIONS and partition_by is None):
             raise ValueError(f"cannot replace {replace} of {folder}")
         if folder in self._tables:
@@ -173,10 +182,13 @@ class Publication:
         writer.parquet(path)
         table = _read(self._spark, path, df.schema)
         before = counted.get.get("rows", 0)
-        check_row_counts(before, table.count())
+        after = table.count()
+        if before or after or not may_be_empty:
+            check_row_counts(before, after)
         for gate in gates:
             gate(table)
-        self._tables[folder] = (replace, df.schema)
+        there = set(_Files(self._spark, self._base).folders(path)) if covers else set()
+        self._tables[folder] = ({"replace": replace, "emptied": sorted(set(covers) - there)}, df.schema)
         return Written(table, before, {n: counted.get.get(n) or 0 for n in metrics or {}})
 
     def commit(self) -> dict[str, DataFrame]:
@@ -185,7 +197,7 @@ class Publication:
             raise DataQualityError("nothing was written")
         files, at = _Files(self._spark, self._base), self._places
         part = f"{at.manifest}.part"
-        files.write(part, json.dumps({folder: how for folder, (how, _) in self._tables.items()}))
+        files.write(part, json.dumps({folder: entry for folder, (entry, _) in self._tables.items()}))
         files.rename(part, at.manifest)
         recover(self._spark, self._base, self._name)
         for folder in self._tables:

@@ -1,12 +1,13 @@
 """Whole runs: raw files written from the stand-ins, star-schema tables out."""
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from keelstone import scratch
 from keelstone.operators import cleaning
-from keelstone.plans import batch, queries, star
+from keelstone.plans import batch, queries, refresh, star
 from suite import standins
 from suite.dates import DATES_SQL, fact_sql, person_sql
 from suite.lookups import airports_sql, cities_sql, temperatures_sql
@@ -243,3 +244,27 @@ def star_fact_ids(spark, folder):
         F.count_if(F.col("Immig_Fact_ID").isNull()).cast("int").alias("null_ids"),
         F.count_distinct("cicid_Immigrant").alias("persons"),
     )
+
+
+def _refreshed(spark, folder):
+    """Arrival tables loaded in three steps: one file, some more, all."""
+    settings = replace(_settings(spark, folder, "arrivals"), stable_fact_id=True, check_keys=True)
+    paths = list(settings.arrivals)
+    for count in (1, 1 + len(paths) // 2, len(paths)):
+        refresh.refresh(spark, replace(settings, arrivals=paths[:count]))
+    return refresh.read_arrivals(spark, settings)
+
+
+@query(_FACT)
+def refresh_fact(spark, folder):
+    return _refreshed(spark, folder)[1].drop("Immig_Fact_ID")
+
+
+@query(_PERSONS)
+def refresh_persons(spark, folder):
+    return _refreshed(spark, folder)[2]
+
+
+@query(DATES_SQL)
+def refresh_dates(spark, folder):
+    return _refreshed(spark, folder)[0]
