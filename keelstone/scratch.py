@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +49,38 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Removes the shuffle files of a query when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _writing, _before = Lock(), 0, None
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Nobody reads the shuffles behind a table once it is written, so their disk is free again.
+
+    Without this they stay until the driver happens to collect its garbage.
+    Jobs of several threads share the setting; the last one to end puts it back.
+    """
+    global _writing, _before
+    with _lock:
+        if _writing == 0:
+            _before = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _writing += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing -= 1
+            if _writing == 0:
+                spark.conf.unset(_CLEANUP) if _before is None else spark.conf.set(_CLEANUP, _before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable (never local) checkpoint of `df` in the shared folder."""
     context = df.sparkSession.sparkContext

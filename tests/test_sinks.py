@@ -1,3 +1,6 @@
+import glob
+import time
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -69,6 +72,24 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert rows(staged) == [(0,), (1,), (2,)]
 
 
+def test_staging_leaves_no_shuffles(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for d in disk.localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+    before, setting = shuffles(), spark.conf.get(scratch._CLEANUP)
+    counts = spark.range(1000).repartition(3).groupBy(F.expr("id % 7")).count()
+    with ThreadPoolExecutor(3) as pool:
+        staged = list(pool.map(lambda i: scratch.stage(counts, f"counts-{i}"), range(3)))
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(scratch._CLEANUP) == setting
+    assert all(table.count() == 7 for table in staged)
+
+
 def _session(master, **conf):
     return SimpleNamespace(
         conf=SimpleNamespace(get=conf.get),
