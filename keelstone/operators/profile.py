@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -93,12 +93,60 @@ def surplus_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     ).withColumn("surplus", F.col("row_count") - F.col("key_count"))
 
 
-def _column_facts(df: DataFrame, name: str) -> DataFrame:
-    """One row about one column, from the counts of its values.
+# How values of a type are compared: as a long, a double or a text.
+_WHOLE = {"tinyint", "smallint", "int", "bigint", "boolean", "date"}
+_FLOATING = {"float", "double"}
+
+
+def _as(kind: str, value: Column) -> tuple[Column, Column, Column] | None:
+    """A value as one of (long, double, text), distinct where it is; None if its type is not known."""
+    none = F.lit(None)
+    if kind == "date":
+        value, kind = F.unix_date(value), "int"
+    if kind == "timestamp":
+        value, kind = F.unix_micros(value), "bigint"
+    if kind in _WHOLE:
+        return value.cast("long"), none.cast("double"), none.cast("string")
+    if kind in _FLOATING:
+        return none.cast("long"), value.cast("double"), none.cast("string")
+    if kind in ("string", "timestamp_ntz") or kind.startswith(("decimal", "char", "varchar")):
+        return none.cast("long"), none.cast("double"), value.cast("string")
+    if kind == "binary":
+        return none.cast("long"), none.cast("double"), F.hex(value)
+    return None
 
-    Only this column is read from a columnar source. A hot value is one entry
-    of the partial counts, and no distinct aggregate widens the rows.
+
+def _facts_of_all(df: DataFrame, names: Sequence[str], kinds: Mapping[str, str]) -> DataFrame:
+    """Facts about all columns from one scan: every row becomes a row per column.
+
+    Equal values of a column are counted before anything is shuffled, so a
+    column of few values is a few rows per task, and a hot value one.
     """
+    cells = [
+        F.struct(
+            F.lit(i).alias("at"), is_missing(df, n).alias("gap"),
+            *[x.alias(as_) for x, as_ in zip(_as(kinds[n], column(n)), ("whole", "number", "text"))],
+        )
+        for i, n in enumerate(names)
+    ]
+    values = df.select(F.inline(F.array(*cells)))
+    counts = values.groupBy("at", "gap", "whole", "number", "text").agg(_rows().alias("n"))
+    there = F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
+    total = lambda keep: F.coalesce(F.sum(F.when(keep, F.col("n"))), F.lit(0))
+    found = counts.groupBy("at").agg(
+        total(F.col("gap")).alias("missing"), total(there).alias("present"),
+        F.count_if(there).alias("distinct_values"),
+    )
+    named = df.sparkSession.createDataFrame(
+        [(i, n, kinds[n]) for i, n in enumerate(names)], "at int, column_name string, column_type string"
+    )
+    counted = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("missing", "present", "distinct_values")]
+    # A table without rows still has its columns.
+    return named.join(found, "at", "left").select("column_name", "column_type", *counted)
+
+
+def _column_facts(df: DataFrame, name: str) -> DataFrame:
+    """One row about one column, from the counts of its values."""
     kind = df.schema[name].dataType.simpleString()
     value = column(name)
     counts = df.groupBy(value.alias("value")).agg(
@@ -117,11 +165,14 @@ def _column_facts(df: DataFrame, name: str) -> DataFrame:
 def exploration_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: type, missing, present and distinct values.
 
-    Each column is counted by itself. A columnar source is read once in total;
-    stage a delimited or computed frame first (`scratch.stage`), which would
-    otherwise be evaluated once per column.
+    The frame is read once for all columns, so it may be a delimited source or a
+    computed frame. Only columns of nested types are counted one by one.
     """
-    return reduce(DataFrame.union, (_column_facts(df, n) for n in columns or df.columns))
+    names = list(columns or df.columns)
+    kinds = {n: df.schema[n].dataType.simpleString() for n in names}
+    plain = [n for n in names if _as(kinds[n], column(n)) is not None]
+    parts = [_facts_of_all(df, plain, kinds)] if plain else []
+    return reduce(DataFrame.union, parts + [_column_facts(df, n) for n in names if n not in plain])
 
 
 def surplus_per_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -387,3 +387,38 @@ def test_rows_that_occur_once_are_shuffled_as_fingerprints(spark):
     exchange = [line for line in plan.splitlines() if "Exchange" in line][0]
     assert exchange.count("_groupingexpression") == 2 and "[a#" not in exchange and "b#" not in exchange
     assert profile._candidates(df, df.columns).count() == 0
+
+
+def test_exploration_of_all_types_in_one_scan(spark):
+    df = spark.sql(
+        """
+        SELECT IF(id = 3, NULL, CAST(id % 4 AS TINYINT)) AS a, id > 5 AS b, date'2020-01-01' + CAST(id % 3 AS INT) AS c,
+               timestamp_micros(id % 7) AS d, CAST(id / 4 AS DECIMAL(9,2)) AS e, CAST(string(id % 2) AS BINARY) AS f,
+               IF(id % 2 = 0, -0.0D, 0.0D) AS g, IF(id % 5 = 0, double('NaN'), IF(id % 5 = 1, NULL, 1.5D)) AS h,
+               array(id % 3, NULL) AS i, CAST('2020-10-25 01:30:00' AS TIMESTAMP_NTZ) AS `j.k`, NULL AS l,
+               CAST(NULL AS STRING) AS m, IF(id % 3 = 0, '', 'x') AS n
+        FROM range(20)
+        """
+    )
+    found = {r.column_name: tuple(r)[1:] for r in profile.exploration_report(df).collect()}
+    assert list(found) and set(found) == set(df.columns)
+    assert found == {n: tuple(profile._column_facts(df, n).first())[1:] for n in df.columns}
+    assert found["g"][1:] == (0, 20, 1) and found["h"][1:] == (8, 16, 2) and found["m"][1:] == (20, 0, 0)
+    # Two instants that have one local time in autumn are two values.
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        hours = spark.sql("SELECT timestamp_seconds(1603584000 + 3600 * id) AS t FROM range(3)")
+        assert profile.exploration_report(hours).first()["distinct_values"] == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    empty = profile.exploration_report(df.limit(0))
+    assert {tuple(r)[2:] for r in empty.collect()} == {(0, 0, 0)}
+
+
+def test_exploration_reads_a_source_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 3 AS x", "string(id % 5) AS y").write.option("header", True).csv(str(tmp_path / "t"))
+    source = spark.read.option("header", True).csv(str(tmp_path / "t"))
+    report = profile.exploration_report(source)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    assert rows(report.select("column_name", "distinct_values")) == [("id", 100), ("x", 3), ("y", 5)]
