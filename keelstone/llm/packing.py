@@ -19,7 +19,6 @@ table gives no pieces.
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from itertools import chain
@@ -152,35 +151,20 @@ def assign(sizes: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int,
             rests.append((size % length, doc, full * length))
     rests.sort(key=lambda r: (-r[0], r[1]))
     count = -(-sum(r[0] for r in rests) // length)
-    used = [0] * count
-    open_ = [(0.0, sequence + i, i) for i in range(count)]  # by cost
+    cost, room = np.zeros(count), np.full(count, length)
     for size, doc, start in rests:
-        tried = []
-        target = None
-        # Costs follow the fill closely, so a sequence with room comes up early or not at all.
-        while open_ and len(tried) < 64:
-            item = heapq.heappop(open_)
-            if length - used[item[2]] >= size:
-                target = item
-                break
-            tried.append(item)
-        for item in tried:
-            heapq.heappush(open_, item)
-        if target is not None:
-            parts = [(target, size)]
-        else:
-            parts, left = [], size
-            while left:
-                item = heapq.heappop(open_)
-                n = min(left, length - used[item[2]])
-                parts.append((item, n))
-                left -= n
-        for (cost, number, i), n in parts:
-            pieces.append((doc, start, n, number, used[i]))
+        left = size
+        while left:
+            # The cheapest sequence with room for the rest; if there is none, the cheapest to fill up.
+            fits = room >= left
+            whole = left == size and fits.any()
+            i = int(np.where(fits if whole else room > 0, cost, np.inf).argmin())
+            n = min(left, int(room[i]))
+            pieces.append((doc, start, n, sequence + i, length - int(room[i])))
+            cost[i] += _cost(n)
+            room[i] -= n
             start += n
-            used[i] += n
-            if used[i] < length:
-                heapq.heappush(open_, (cost + _cost(n), number, i))
+            left -= n
     return pieces
 
 

@@ -90,6 +90,54 @@ def test_rests_go_to_the_sequence_of_lowest_cost():
     assert sum(p[2] for p in cut) == 200 and len({p[3] for p in cut}) == 2
 
 
+def lowest_cost(sizes, length):
+    """The placement of `assign`, by looking at every sequence for every document."""
+    full = sum(n // length for n in sizes)
+    rests = sorted(((n % length, i) for i, n in enumerate(sizes) if n % length), key=lambda r: (-r[0], r[1]))
+    bins = [[] for _ in range(-(-sum(n for n, _ in rests) // length))]
+    for size, doc in rests:
+        def price(b):
+            return sum(packing.LINEAR * n + packing.QUADRATIC * n * n for _, n in bins[b]), b
+
+        def room(b):
+            return length - sum(n for _, n in bins[b])
+
+        fitting = [b for b in range(len(bins)) if room(b) >= size]
+        if fitting:
+            bins[min(fitting, key=price)].append((doc, size))
+            continue
+        while size:
+            b = min((b for b in range(len(bins)) if room(b)), key=price)
+            n = min(size, room(b))
+            bins[b].append((doc, n))
+            size -= n
+    return full, bins
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_placement_equals_brute_force(seed):
+    r = random.Random(seed)
+    length = r.choice([64, 2048])
+    # Many short pieces cost less than one long one: the cheapest sequence is often without room.
+    sizes = [r.choice([r.randint(1, 12), r.randint(1, length), length // 2 + 1, 3 * length]) for _ in range(500)]
+    full, bins = lowest_cost(sizes, length)
+    pieces = packing.assign(np.array(sizes), length)
+    placed = defaultdict(list)
+    for doc, _, n, sequence, offset in pieces:
+        placed[sequence].append((offset, doc, n))
+    own = [[(doc, n) for _, doc, n in sorted(placed[full + b])] for b in range(len(bins))]
+    assert own == bins
+    assert all(len(placed[i]) == 1 and placed[i][0][2] == length for i in range(full))
+
+
+def test_packing_ignores_other_columns(spark):
+    texts = {1: "a b c", 2: None, 3: "", 4: "d " * 3000}
+    df = helpers.docs(spark, list(texts.items())).selectExpr(
+        "*", "1 AS start", "'x' AS length", "2 AS sequence_id", "3 AS ids", "4 AS offset"
+    )
+    check_packed(packing.pack(df, tokenizer_path(), with_ids=True).collect(), texts, packing.LENGTH)
+
+
 # Quality rules
 
 
