@@ -2,17 +2,19 @@
 
 Texts are folded first: lower case, look-alike letters of other scripts and
 digits or signs that stand for letters become one letter per look. Terms of the
-lexicon are beginnings of words, so a term covers inflected forms; they are found by one
-Aho-Corasick automaton. A term inside an exception phrase does not count.
+lexicon are whole words of any length, or beginnings of words of `STEM` letters or
+more, which cover inflected forms; they are found by one Aho-Corasick automaton.
+A term inside an exception phrase does not count.
 
-The lexicon is learned from labelled rows: beginnings of words that occur clearly more often
-in toxic documents are candidates, and a logistic regression with a ridge
+The lexicon is learned from labelled rows: terms that occur clearly more often in
+toxic documents are candidates (the `candidates` clearest of those found in
+`min_share` of them, and in 3 at least), and a logistic regression with a ridge
 penalty gives each its weight, so words that merely travel with others get
 little. A second regression turns the weighted sum and its value per 100 words into a
 score from 0 to 1.
 
-Fitting uses a bounded sample of labelled rows (`SAMPLE_ROWS`); scoring covers
-all texts. Defined cases: NULL, empty and blank texts have no hit and get the
+Fitting uses a bounded sample of labelled documents (`rows`, one text per id); scoring
+covers all texts. Defined cases: NULL, empty and blank texts have no hit and get the
 score of such texts. Without labelled rows of both kinds the score is the share
 of toxic ones (0 if there are none). Rows are scored one by one, so repeated
 rows get equal scores; labels that repeat an id count once (the largest). Extra columns are
@@ -31,9 +33,10 @@ from pyspark.sql import DataFrame, functions as F
 from keelstone.llm.words import Words, map_blocks, text_bytes
 
 SAMPLE_ROWS = 20_000
-CANDIDATES = 300
-STEM = (4, 10)  # letters of a term, shortest and longest
-MIN_SHARE = 0.02  # of the toxic documents
+CANDIDATES = 400
+STEM = 4  # letters of the shortest beginning of a word
+MIN_SHARE = 0.005  # of the toxic documents
+WHOLE = "."  # ends a term that is a whole word
 MIN_LOG_ODDS = 1.5
 RIDGE = 2.0
 THRESHOLD = 0.3
@@ -62,6 +65,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 def fold(text: str) -> str:
     """Lower-case text with one letter per look; its length stays."""
     lowered = text.lower()
+    if len(lowered) != len(text):
+        # A few letters become two in lower case.
+        lowered = "".join(c.lower()[0] for c in text)
     if any(s in lowered for s in SIGNS):
         lowered = _SIGN.sub(lambda m: SIGNS[m[0]], lowered)
     return lowered.translate(_FOLD)
@@ -84,13 +90,16 @@ class Matcher:
 
         self.automaton = ahocorasick.Automaton()
         self.empty = True
+        by_word: dict[str, list[str]] = {}
         for term in terms:
-            self.automaton.add_word(term, (len(term), term, False))
+            by_word.setdefault(term.removesuffix(WHOLE), []).append(term)
+        for word, own in by_word.items():
+            self.automaton.add_word(word, (len(word), own, False))
             self.empty = False
         for phrase in exceptions:
             folded = fold(phrase)
             if folded not in self.automaton:
-                self.automaton.add_word(folded, (len(folded), folded, True))
+                self.automaton.add_word(folded, (len(folded), [], True))
         self.automaton.make_automaton()
 
     def counts(self, text: str) -> dict[str, int]:
@@ -98,16 +107,19 @@ class Matcher:
             return {}
         folded = fold(text)
         found, excused = [], []
-        for end, (length, term, exception) in self.automaton.iter(folded):
+        for end, (length, own, exception) in self.automaton.iter(folded):
             begin = end - length + 1
             if begin and folded[begin - 1].isalpha():
                 continue
-            if exception and end + 1 < len(folded) and folded[end + 1].isalpha():
-                continue
-            (excused if exception else found).append((begin, end, term))
+            whole = end + 1 == len(folded) or not folded[end + 1].isalpha()
+            if exception:
+                if whole:
+                    excused.append((begin, end))
+            else:
+                found += [(begin, end, term) for term in own if whole or not term.endswith(WHOLE)]
         out: dict[str, int] = {}
         for begin, end, term in found:
-            if not any(a <= begin and end <= b for a, b, _ in excused):
+            if not any(a <= begin and end <= b for a, b in excused):
                 out[term] = out.get(term, 0) + 1
         return out
 
@@ -143,10 +155,21 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     if total > rows:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < rows)
     # The sample is bounded, so it can go to all executors.
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # One text per id, so that the sample stays bounded.
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+
+
+def _terms(text: str) -> set[str]:
+    """The terms that a text has: its words, and their beginnings."""
+    words = set(_WORD.findall(fold(text)))
+    return {w + WHOLE for w in words} | {w[:n] for w in words for n in range(STEM, len(w) + 1)}
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexicon:
+def learn(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, candidates: int = CANDIDATES,
+    min_share: float = MIN_SHARE,
+) -> Lexicon:
     """Fit a lexicon on labelled rows; `labels` has doc_id and toxic (0 or 1)."""
     sample = _sample(docs, labels, rows)
 
@@ -155,11 +178,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexico
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[""][toxic] += 1
-                stems = {w[: STEM[1]] for w in _WORD.findall(fold(text or "")) if len(w) >= STEM[0]}
-                for n in range(STEM[1] - 1, STEM[0] - 1, -1):
-                    stems |= {s[:n] for s in stems if len(s) == n + 1}
-                for stem in stems:
-                    counts.setdefault(stem, [0, 0])[toxic] += 1
+                for term in _terms(text or ""):
+                    counts.setdefault(term, [0, 0])[toxic] += 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(counts), pa.string()),
@@ -179,15 +199,15 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexico
         return Lexicon(bias=20.0 if n1 else -20.0)
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1.0)) - F.log((F.col("n0") + 0.5) / (n0 + 1.0))
     likely = (
-        counted.where("term <> ''").where(F.col("n1") >= max(3, MIN_SHARE * n1))
+        counted.where("term <> ''").where(F.col("n1") >= max(3, min_share * n1))
         .select("term", odds.alias("odds"), "n0", "n1").where(F.col("odds") >= MIN_LOG_ODDS)
         .orderBy(F.desc(F.col("odds") * F.sqrt("n1")), F.desc(F.length("term")), "term")
-        .limit(4 * CANDIDATES).collect()
+        .limit(8 * candidates).collect()
     )
-    # Beginnings that occur in the same documents say the same; the longest stands for them.
+    # Terms that occur in as many documents as a part of them say the same; the longest stands for them.
     counts = {r["term"]: (r["n0"], r["n1"]) for r in likely}
     longer = {t[:-1] for t, c in counts.items() if counts.get(t[:-1]) == c}
-    terms = [r["term"] for r in likely if r["term"] not in longer][:CANDIDATES]
+    terms = [r["term"] for r in likely if r["term"] not in longer][:candidates]
     if not terms:
         return Lexicon(bias=float(np.log(n1 / n0)))
 

@@ -1,4 +1,5 @@
 import random
+import re
 import time
 import zlib
 from collections import defaultdict
@@ -317,6 +318,7 @@ def test_folding():
     assert toxicity.fold("IDI0T") == toxicity.fold("ΙdΙot") == toxicity.fold("1d!ot")
     assert toxicity.fold("Cl0wn") == toxicity.fold("clown") == toxicity.fold("сlоwn")
     assert len(toxicity.fold("$cum!! 5% | x")) == len("$cum!! 5% | x")
+    assert len(toxicity.fold("A\u0130B")) == 3
 
 
 def test_matches_are_beginnings_of_words_outside_exceptions():
@@ -351,6 +353,80 @@ def test_learned_lexicon_on_held_out_rows(spark):
     assert all(0 <= s <= 1 for s in found.values())
 
 
+def test_counts_equal_brute_force():
+    r = random.Random(12)
+    terms = ["bad", "ba.", "bad.", "clown", "clowns.", "x.", "tra"]
+    phrases = ["class clown", "bad bad wolf"]
+    alphabet = ["bad", "badly", "ba", "clown", "clowns", "class", "x", "xx", "tr4sh", "wolf", "B4D", "cl0wn"]
+    matcher = toxicity.Matcher([toxicity.fold(t) for t in terms], phrases)
+    for _ in range(300):
+        text = r.choice([" ", ", ", "-"]).join(r.choice(alphabet) for _ in range(r.randint(0, 12)))
+        folded = toxicity.fold(text)
+        words = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", folded)]
+        edges = {a for a, _ in words}, {b for _, b in words}
+        excused = [
+            (m.start(), m.start() + len(p)) for p in map(toxicity.fold, phrases)
+            for m in re.finditer(f"(?={re.escape(p)})", folded)
+            if m.start() in edges[0] and m.start() + len(p) in edges[1]
+        ]
+        wanted = {}
+        for term in map(toxicity.fold, terms):
+            word = term.rstrip(".")
+            n = sum(
+                folded.startswith(word, a) and (term == word or a + len(word) == b)
+                and not any(x <= a and a + len(word) <= y for x, y in excused)
+                for a, b in words
+            )
+            if n:
+                wanted[term] = n
+        assert matcher.counts(text) == wanted, text
+
+
+def _insults(spark, insult, n=600, toxic_share=0.3, extra=()):
+    r = random.Random(5)
+    rows, labels = [], []
+    for i in range(n):
+        words = _sentence(r, r.randint(20, 60)).split()
+        toxic = int(r.random() < toxic_share)
+        if toxic:
+            words[r.randrange(len(words))] = insult(r)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    return helpers.docs(spark, rows + list(extra)), table, {i: t for i, _, t in labels}
+
+
+@pytest.mark.parametrize("insult", [
+    lambda r: "zyx", lambda r: "qq", lambda r: r.choice(["zorgle", "zorgles", "Z0RGLING"]),
+    # Twenty insults, each in few of the toxic documents.
+    lambda r: f"zk{'abcdefghij'[r.randrange(10)]}{'xy'[r.randrange(2)]}",
+    lambda r: "extraordinarilylongw" + "o" * 30,
+])
+def test_insults_of_any_length_and_share(spark, insult):
+    docs, table, truth = _insults(spark, insult, 800)
+    scores = []
+    for more in ({}, {"candidates": 1000, "min_share": 0.0}):
+        lexicon = toxicity.learn(docs, table.where("doc_id % 4 <> 2"), **more)
+        found = {x.doc_id: x.score >= toxicity.THRESHOLD for x in toxicity.score(docs, lexicon).collect()}
+        scores.append([found[i] for i in truth if i % 4 == 2])
+    held = [bool(truth[i]) for i in truth if i % 4 == 2]
+    assert sum(a == b for a, b in zip(scores[0], held)) >= 0.95 * len(held)
+    assert scores[0] == scores[1]
+
+
+def test_toxicity_of_odd_rows(spark):
+    long_text = "zorgle " * 100_000
+    extra = [(None, "zorgle"), (7000, long_text), (7001, "\u0130" * 50), (1, "zorgle"), (1, "zorgle"), (7002, None)]
+    docs, table, _ = _insults(spark, lambda r: "zorgle", extra=extra)
+    docs = docs.withColumn("toxic", F.lit("x")).withColumn("term", F.lit(1)).withColumn("score", F.lit(2))
+    sample = toxicity._sample(docs, table, 10**6)
+    assert sample.count() == 600
+    found = toxicity.score(docs, toxicity.learn(docs, table)).collect()
+    assert len(found) == 606 and {r.n_hits for r in found if r.doc_id == 7000} == {100_000}
+    assert all(0 <= r.score <= 1 for r in found)
+    assert {r.n_hits for r in found if r.doc_id in (7001, 7002)} == {0}
+
+
 def test_toxicity_without_labels(spark):
     docs = helpers.docs(spark, [(1, "a"), (1, "a"), (2, None)])
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
