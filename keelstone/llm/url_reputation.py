@@ -25,6 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from keelstone.llm.shared import stage
+
 THRESHOLD = 0.5
 Z = 1.645  # one-sided 95 %
 STRENGTH = (1.0, 1000.0)  # bounds of a prior's strength, in pages
@@ -163,7 +165,8 @@ def judge(
         .groupBy("host")
         .agg(F.count("is_bad").alias("n"), F.count_if("is_bad").alias("bad"))
     )
-    known = reputation(counted)
+    # Written once: the three priors and the rates all read these few rows.
+    known = reputation(stage(counted, "host_counts"))
     rule, ruled = rule_and_verdict(F.col("host"), F.col("path"), rules)
     judged = F.when(F.col("lower") > threshold, "block").otherwise("allow")
     return rows.join(known, "host", "left").select(
