@@ -18,9 +18,9 @@ Steps 1 and 2 are necessary conditions, so no passage is lost, and step 3 never
 accepts a wrong one. Items are looked up in blocks of bounded size, one pass over
 the documents for each, so what is sent to the executors has a proven bound.
 
-Defined cases: NULL and empty texts contain nothing; NULL and empty items match nothing. Items
-of one or two words that have no run of three words, of two words of five bytes or more, and no word
-of eight or more, match nothing either unless `short_items` is set; the queries set it. Repeated
+Defined cases: NULL and empty texts contain nothing; NULL and empty items match nothing. Without
+`short_items`, items of one or two words that have no run of three words, of two words of five bytes
+or more, and no word of eight or more, match nothing either. Repeated
 rows, ids and items are judged row by row; of
 several passages for one item in a row the closest counts, then the earliest. Extra
 columns are ignored by `hits` and kept by `clean`. Empty tables give no hits.
@@ -167,7 +167,7 @@ def build_index(
 
 def item_blocks(
     items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-    limit: int = ITEM_BLOCK_BYTES, rate: float = RATE, short_items: bool = False,
+    limit: int = ITEM_BLOCK_BYTES, rate: float = RATE, short_items: bool = True,
 ) -> Iterator[Index]:
     """Indexes of blocks of items, of at most `limit` bytes or one item each."""
     rows = items.select(F.col(id_col).cast("bigint"), F.col(text_col)).where(F.col(text_col).isNotNull())
@@ -372,7 +372,7 @@ def search(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, int]
     return out
 
 
-def hits(docs: DataFrame, items: DataFrame, rate: float = RATE, short_items: bool = False) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, rate: float = RATE, short_items: bool = True) -> DataFrame:
     """One row per document and item it contains, see `HITS_SCHEMA`."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
     out = None
@@ -397,7 +397,7 @@ def _hits_work(index: Index):
     return work
 
 
-def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, short_items: bool = False) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, short_items: bool = True) -> DataFrame:
     """`docs` without the rows that contain an item."""
     names = docs.columns
     place = names.index("text")
