@@ -3,9 +3,10 @@
 Texts are taken as words. Every run of K words is hashed and joined with the runs of the license
 templates; a match votes for its diagonal (place in the text minus place in the
 template). Votes are counted per text, template and diagonal; neighbouring diagonals,
-as words inserted or left out make them, are merged to one span; a span counts if it
-is verified: the share of the template's words that the span's own words hold, and of
-the template's runs that voted, must reach a bound.
+as words inserted or left out make them, are merged to one span. Votes only propose:
+one is enough. A span counts if it is verified: its words, from where the template
+would begin to where it would end, hold `MIN_SHARE` of the template's distinct words,
+and `MIN_OWN` of those that no template of another label has.
 
 Phrases with a fixed label ("base" labels) are looked for word by word beside that.
 
@@ -29,7 +30,8 @@ from keelstone.llm.shared import stage
 
 K = 4
 MERGE = 3  # diagonals this close belong together
-MIN_SHARE = 0.6  # of a template's words and runs
+MIN_SHARE = 0.6  # of a template's words
+MIN_OWN = 0.5  # of the words that tell its label from others
 MAX_TEMPLATE_WORDS = 20_000
 
 PHRASES: dict[str, str] = {
@@ -79,6 +81,27 @@ TEMPLATES: dict[str, str] = {
         "all copyright and related or neighboring rights to this work"
     ),
     "unlicense": "This is free and unencumbered software released into the public domain",
+    "bsd/name": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission"
+    ),
+    "bsd/notice": (
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer"
+    ),
+    "lgpl": (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation"
+    ),
+    "agpl": (
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation"
+    ),
+    "mit/spdx": "SPDX-License-Identifier: MIT",
+    "apache-2.0/spdx": "SPDX-License-Identifier: Apache-2.0",
+    "gpl/spdx": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "bsd/spdx": "SPDX-License-Identifier: BSD-3-Clause",
+    "mpl-2.0/spdx": "SPDX-License-Identifier: MPL-2.0",
     "reserved": (
         "No part of this publication may be reproduced, distributed, or transmitted in any form or "
         "by any means without the prior written permission of the publisher"
@@ -118,23 +141,32 @@ def _check(templates: Mapping[str, str]) -> None:
         raise ValueError(f"more than {MAX_TEMPLATE_WORDS} template words")
 
 
+def _label(template: str) -> str:
+    return template.split("/")[0]
+
+
 def _runs(spark, templates: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
-    """(gram, template, t_at, t_runs, t_words) of all runs, and the words that every run needs one of."""
+    """(gram, template, t_at, t_words, t_own) of all runs, and the words that every run needs one of."""
+    words_of_label: dict[str, set[str]] = {}
+    for name, text in templates.items():
+        words_of_label.setdefault(_label(name), set()).update(template_words(text))
     rows, needed = [], set()
     for name, text in templates.items():
         words = template_words(text)
+        others = set().union(*(w for label, w in words_of_label.items() if label != _label(name)))
         runs = [
             (i, words[i : i + K]) for i in range(len(words) - K + 1)
             if set(words[i : i + K]) - COMMON
         ]
         for i, run in runs:
             needed.update(set(run) - COMMON)
-            rows.append((*run, name, i, len(runs), words))
+            rows.append((*run, name, i, words, sorted(set(words) - others)))
     names = [f"w{i}" for i in range(K)]
-    schema = ", ".join(f"{n} string" for n in names) + ", template string, t_at int, t_runs int, t_words array<string>"
+    schema = ", ".join(f"{n} string" for n in names)
+    schema += ", template string, t_at int, t_words array<string>, t_own array<string>"
     return (
         spark.createDataFrame(rows, schema)
-        .select(F.xxhash64(*names).alias("gram"), "template", "t_at", "t_runs", "t_words"),
+        .select(F.xxhash64(*names).alias("gram"), "template", "t_at", "t_words", "t_own"),
         sorted(needed),
     )
 
@@ -198,7 +230,7 @@ def scan(
     votes = (
         grams.join(F.broadcast(runs.select("gram", "template", "t_at")), "gram")
         .groupBy("row", "template", (F.col("at") - F.col("t_at")).alias("diagonal"))
-        .agg(F.count(F.lit(1)).alias("votes"), F.min("at").alias("first"), F.max("at").alias("last"))
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
     )
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     spans = (
@@ -207,16 +239,23 @@ def scan(
         ))
         .withColumn("span", F.sum("new").over(along))
         .groupBy("row", "template", "span")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.min("diagonal").alias("from"),
+            F.max("diagonal").alias("to"),
+        )
     )
-    facts = runs.groupBy("template").agg(F.first("t_runs").alias("t_runs"), F.first("t_words").alias("t_words"))
-    inside = F.slice(F.col("words"), F.col("first") + 1, F.col("last") - F.col("first") + K)
-    held = F.size(F.array_intersect(inside, "t_words")) / F.size(F.array_distinct("t_words"))
-    shares = F.least(F.lit(1.0), held, F.col("votes") / F.col("t_runs"))
+    facts = runs.groupBy("template").agg(F.first("t_words").alias("t_words"), F.first("t_own").alias("t_own"))
+    # Where the template lies in the text, by the diagonals that its runs voted for.
+    begin = F.greatest(F.col("from"), F.lit(0))
+    inside = F.slice(F.col("words"), begin + 1, F.col("to") + F.size("t_words") - begin)
+
+    def held(words_: str) -> Column:
+        return F.size(F.array_intersect(inside, words_)) / F.greatest(F.size(F.array_distinct(words_)), F.lit(1))
+
     verified = (
-        spans.join(F.broadcast(facts), "template").where(F.col("votes") >= MIN_SHARE * F.col("t_runs"))
-        .join(looked.select("row", "words"), "row")
-        .select("row", "template", shares.alias("share"), "first", (F.col("last") + K - 1).alias("last"))
+        spans.join(F.broadcast(facts), "template").join(looked.select("row", "words"), "row")
+        .where((F.size("t_own") == 0) | (held("t_own") >= MIN_OWN))
+        .select("row", "template", held("t_words").alias("share"), "first", (F.col("last") + K - 1).alias("last"))
         .where(F.col("share") >= MIN_SHARE)
         .groupBy("row")
         .agg(

@@ -588,5 +588,65 @@ def test_license_passages_and_phrases(spark):
 def test_every_run_that_is_looked_up_needs_a_rare_word(spark):
     runs, needed = license_scan._runs(spark, license_scan.TEMPLATES)
     assert not set(needed) & license_scan.COMMON
-    assert runs.where(F.col("t_runs") < 1).count() == 0
+    assert runs.where("t_at < 0 or size(t_words) < t_at + 4").count() == 0
     assert {r[0] for r in runs.select("template").distinct().collect()} == set(license_scan.TEMPLATES)
+
+
+def license_labels(text):
+    """Labels by comparing every run of the text with every run of every template."""
+    k, common = license_scan.K, license_scan.COMMON
+    w = license_scan.template_words(text)
+    found = {label for phrase, label in license_scan.PHRASES.items()
+             if any(w[i : i + len(phrase.split())] == phrase.split() for i in range(len(w)))}
+    by_label = defaultdict(set)
+    for name, template in license_scan.TEMPLATES.items():
+        by_label[name.split("/")[0]] |= set(license_scan.template_words(template))
+    for name, template in license_scan.TEMPLATES.items():
+        t, label = license_scan.template_words(template), name.split("/")[0]
+        own = set(t) - set().union(*(x for other, x in by_label.items() if other != label))
+        diagonals = sorted({
+            i - j for i in range(len(w) - k + 1) for j in range(len(t) - k + 1)
+            if w[i : i + k] == t[j : j + k] and set(t[j : j + k]) - common
+        })
+        clusters = []
+        for d in diagonals:
+            if clusters and d - clusters[-1][-1] <= license_scan.MERGE:
+                clusters[-1].append(d)
+            else:
+                clusters.append([d])
+        for c in clusters:
+            inside = set(w[max(c[0], 0) : c[-1] + len(t)])
+            share = len(inside & set(t)) / len(set(t))
+            if share >= license_scan.MIN_SHARE and (not own or len(inside & own) / len(own) >= license_scan.MIN_OWN):
+                found.add(label)
+    return ",".join(sorted(found))
+
+
+def test_labels_equal_brute_force(spark):
+    r = random.Random(21)
+    texts = {}
+    for i in range(150):
+        words = _sentence(r, r.randint(0, 20)).split()
+        for _ in range(r.randint(0, 3)):
+            t = r.choice(list(license_scan.TEMPLATES.values())).split()
+            t = t[r.choice([0, 0, 2]) : len(t) - r.choice([0, 0, 3])]
+            for _ in range(r.randint(0, 4)):
+                at = r.randrange(len(t) + 1)
+                t[at : at + r.randint(0, 1)] = r.choice([[], ["other"], ["an", "extra"]])
+            words += t + _sentence(r, r.randint(1, 8)).split()
+        texts[i] = " ".join(words)
+    found = {x.doc_id: x.labels for x in license_scan.scan(helpers.docs(spark, list(texts.items()))).collect()}
+    assert found == {i: license_labels(t) for i, t in texts.items()}
+    assert sum(bool(v) for v in found.values()) > 60
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under CC BY-NC 3.0", "cc-by,cc-by-nc"), ("Licensed under CC BY-SA 2.0", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY 4.0", "cc-by"), ("SPDX-License-Identifier: MIT", "mit"),
+    ("Redistribution and usage in source or binary forms, with or without modification, is permitted "
+     "provided that the following conditions are met", "bsd"),
+    ("the source code is governed by nobody", ""),
+])
+def test_changed_passages(spark, text, labels):
+    assert license_labels(text) == labels
+    assert license_scan.scan(helpers.docs(spark, [(1, text)])).first().labels == labels
