@@ -1,4 +1,13 @@
-"""Documents to packed sequences, in stages that each call one operator."""
+"""Documents to packed sequences, in stages that each call one operator.
+
+Defined cases of every stage: NULL and empty texts are documents without words, which
+the quality rules reject; a stage given one all the same keeps it as it is (packing: its
+end-of-document token). Rows without an id, rows that share an id and equal rows are
+kept and judged row by row, but of near copies with ids one row stays (equal rows that
+share its id with it). Extra columns, also ones named like a stage's own, are passed on
+unchanged by all stages but the last, which ignores them. Tables without rows give
+tables without rows.
+"""
 
 from __future__ import annotations
 
