@@ -1,9 +1,11 @@
 """The registered queries over the smallest tables, and the pipeline against brute force."""
 
+import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -117,3 +119,52 @@ def test_pipeline_equals_brute_force(spark):
     assert set(by_doc) == set(clean)
     packed = packing.pack(stages, tokenizer_path(), with_ids=True).collect()
     check_packed(packed, clean, packing.LENGTH)
+
+
+def _prose(seed, n):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(3, 8))) for _ in range(n))
+
+
+def test_every_stage_takes_odd_tables(spark, tmp_path):
+    """NULL ids and texts, rows that share an id, equal rows, very long texts, clashing columns, no rows."""
+    item = "this very item of a benchmark must not be seen by anyone at all"
+    texts = [
+        (1, _prose(1, 80)), (1, _prose(2, 80)), (2, _prose(3, 60)), (2, _prose(3, 60)), (3, _prose(1, 80)),
+        (None, _prose(4, 70)), (None, _prose(4, 70)), (4, None), (5, ""), (6, " \n"), (7, _prose(5, 60_000)),
+        (8, f"{_prose(6, 30)} {item} {_prose(7, 30)}"), (9, _prose(8, 12)),
+    ]
+    clash = {n: F.lit(f"own {n}") for n in (
+        "row", "words", "kept_id", "component_id", "n", "key", "start", "length", "failed_bits", "anchor", "ids",
+    )}
+    docs = helpers.docs(spark, texts).withColumns(clash)
+    spark.createDataFrame([(1, item), (None, "x"), (2, None)], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    for table_, n in ((docs, len(texts)), (docs.limit(0), 0)):
+        for name, build in corpus_pipeline.STAGES:
+            # Each stage by itself takes them all.
+            found = build(spark, table_, str(tmp_path))
+            rows = found.collect()
+            if name == "packing":
+                assert sum(r.start == 0 for r in rows) == n
+                continue
+            assert found.columns == table_.columns
+            assert all(r[c] == f"own {c}" for r in rows for c in clash)
+            own = [(r.doc_id, r.text) for r in rows]
+            if not n:
+                assert own == []
+            elif name == "quality_rules":
+                assert own and {i for i, _ in own} <= {1, 2, 3, None, 7, 8, 9} and own.count((None, _prose(4, 70))) == 2
+            elif name == "ngram_jaccard_join":
+                # Document 3 is a copy of a row of document 1.
+                assert sorted(map(repr, own)) == sorted(repr(t) for t in texts if t[0] != 3)
+            elif name == "substring_dedup":
+                # The same words in a later document go, and with them a document of nothing else.
+                assert 3 not in {i for i, _ in own} and (4, None) in own and (7, _prose(5, 60_000)) in own
+            else:
+                assert sorted(map(repr, own)) == sorted(repr(t) for t in texts if t[0] != 8)
+    docs = docs.where("true")
+    for _, build in corpus_pipeline.STAGES:
+        docs = build(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in docs.collect()} == {1, 2, None, 7, 9}
