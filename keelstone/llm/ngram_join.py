@@ -45,6 +45,7 @@ from keelstone.llm.shared import fresh, repeated_ids, stage
 from keelstone.llm.words import (
     Words, distinct_per_text, lists, map_blocks, mix, signed, text_bytes,
 )
+from keelstone.operators.lookup import fits_broadcast
 
 BITMAP_WORDS = 16  # 1,024 bits
 CLASS_RATIO = 1.25
@@ -312,14 +313,25 @@ def _may_link(percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that link, by their whole sets."""
-    side = lambda x: members.select(
-        F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("hashes").alias(f"h{x}"),
-        F.col("bits").alias(f"b{x}"),
+    """Pairs (a, b) that link, by their whole sets.
+
+    Sizes and bitmaps rule out most pairs; only the sets of the others, which
+    are far fewer, meet in full.
+    """
+    def side(rows: DataFrame, x: str, *columns: str) -> DataFrame:
+        return rows.select(F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}{x}") for c in columns])
+
+    few = ("n", "bits")
+    likely = stage(
+        pairs.join(side(members, "a", *few), "a").join(side(members, "b", *few), "b")
+        .where(_may_link(percent)).select("a", "b"),
+        "likely",
     )
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = members.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "id", "left_semi")
     common = F.size(F.array_intersect("ha", "hb"))
     return (
-        pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link(percent))
+        likely.join(side(sets, "a", "n", "hashes"), "a").join(side(sets, "b", "n", "hashes"), "b")
         .where(100 * common >= percent * (F.col("na") + F.col("nb") - common))
         .select("a", "b")
     )
