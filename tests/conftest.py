@@ -11,6 +11,8 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
+        # One session runs all tests; the default is too little for the plans that it remembers.
+        spark__driver__memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
