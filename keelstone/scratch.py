@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,7 +52,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     with _shuffles_removed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+# Where staged tables lie, as long as somebody holds them.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables that no later job reads, so that they take no disk until the end."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(_folders.pop(table))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Removes the shuffle files of a query when it has ended.

@@ -1,4 +1,5 @@
 import glob
+import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
@@ -72,6 +73,16 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert rows(staged) == [(0,), (1,), (2,)]
 
 
+def test_dropped_tables_are_deleted(spark):
+    kept, gone = scratch.stage(spark.range(3), "kept"), scratch.stage(spark.range(4), "gone")
+    folder = gone.inputFiles()[0].removeprefix("file:").rpartition("/")[0].replace("//", "")
+    assert os.path.exists(folder)
+    scratch.drop(gone)
+    assert not os.path.exists(folder) and rows(kept) == [(0,), (1,), (2,)]
+    with pytest.raises(KeyError):
+        scratch.drop(gone)
+
+
 def test_staging_leaves_no_shuffles(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
@@ -82,10 +93,11 @@ def test_staging_leaves_no_shuffles(spark):
     counts = spark.range(1000).repartition(3).groupBy(F.expr("id % 7")).count()
     with ThreadPoolExecutor(3) as pool:
         staged = list(pool.map(lambda i: scratch.stage(counts, f"counts-{i}"), range(3)))
-    for _ in range(50):
+    # They are removed in the background, which takes its time on a busy machine.
+    for _ in range(300):
         if not shuffles() - before:
             break
-        time.sleep(0.1)
+        time.sleep(0.2)
     assert not shuffles() - before and spark.conf.get(scratch._CLEANUP) == setting
     assert all(table.count() == 7 for table in staged)
 
