@@ -46,6 +46,7 @@ from keelstone.llm.words import (
     Words, distinct_per_text, lists, map_blocks, mix, signed, text_bytes,
 )
 from keelstone.operators.lookup import fits_broadcast
+from keelstone.scratch import drop
 
 BITMAP_WORDS = 16  # 1,024 bits
 CLASS_RATIO = 1.25
@@ -439,6 +440,8 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
         .select("a", "b").distinct()
     )
     links = stage(_verified(pairs, members, percent).union(first_links), "links")
+    # Only the links are read from here on.
+    drop(listed, members, open_rows, first_links)
     final = components(links)
     of_leader = (
         leaders.join(final, "id", "left")
