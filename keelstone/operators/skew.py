@@ -4,12 +4,13 @@ Keys with more rows than one task should hold are found by a pre-aggregated
 count. If there are any, and their table is measured to fit a broadcast, their
 rows take another way than the ordinary shuffle join of all others: a semi join
 keeps them by that broadcast, an inner join deals them out to a grid of cells.
-Both parts together are the whole result.
+Both parts together are the whole result. Counts and sums over the pairs of a
+join need no pairs and so no such way: `pair_sums`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -128,3 +129,27 @@ def inner_join(
     for copies in ("_times", "_by"):
         cells = cells.withColumn("_copy", F.explode(F.sequence(one, F.col(copies).cast("long"))))
     return light[0].join(light[1], keys).select(order).union(cells.select(order))
+
+
+def pair_sums(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], pairs: str,
+    left_sums: Mapping[str, str], right_sums: Mapping[str, str],
+) -> DataFrame:
+    """Per key the number of pairs of rows with equal keys, and sums over these pairs, without forming one.
+
+    A row of one side is in as many pairs as the other side has rows of its key.
+    So both sides are reduced to one row per key before they meet, and a key costs
+    its L + R rows and not its L * R pairs. A NULL key matches nothing. `left_sums`
+    and `right_sums` name the columns of each side to sum, by the name of the result.
+    """
+    keys = list(keys)
+    sides = []
+    for side, sums, rows in ((left, left_sums, "_left"), (right, right_sums, "_right")):
+        totals = [F.sum(column(c)).alias(name) for name, c in sums.items()]
+        grouped = side.where(_named(keys)).groupBy(*[column(k) for k in keys])
+        sides.append(grouped.agg(F.count(F.lit(1)).alias(rows), *totals))
+    times = [(n, "_right") for n in left_sums] + [(n, "_left") for n in right_sums]
+    return sides[0].join(sides[1], keys).select(
+        *[column(k) for k in keys], (F.col("_left") * F.col("_right")).alias(pairs),
+        *[(column(n) * F.col(rows)).alias(n) for n, rows in times],
+    )

@@ -127,10 +127,7 @@ def join_hot_key(spark, folder):
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
     left = orders.select(F.expr("IF(o_orderkey % 3 = 0, 0, o_custkey)").alias("k"), "o_orderkey")
     right = customers.select(F.expr("IF(c_custkey % 3 = 0, 0, c_custkey)").alias("k"), "c_nationkey")
-    return skew.inner_join(left, right, ["k"], heavy_rows=1000).groupBy("k").agg(
-        F.count(F.lit(1)).alias("pairs"), F.sum("o_orderkey").alias("orders"),
-        F.sum("c_nationkey").cast("long").alias("nations"),
-    )
+    return skew.pair_sums(left, right, ["k"], "pairs", {"orders": "o_orderkey"}, {"nations": "c_nationkey"})
 
 
 @query("SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keelstone import scratch
 from keelstone.operators import cleaning, fill, gates, profile, skew
 from keelstone.operators.lookup import attach_port_codes, fits_broadcast
+from suite import QUERIES
 from tests.conftest import final_plan, rows
 
 
@@ -356,6 +357,32 @@ def test_inner_join_of_odd_frames(spark):
     assert rows(skew.inner_join(a.union(a), b, ["k"], 1)) == [(1, 2, 2), (1, 2, 2)]
 
 
+def test_pair_sums_equal_those_of_the_joined_rows(spark):
+    left = [("hot" if i % 3 == 0 else None if i % 20 == 1 else f"k{i % 30}", None if i % 4 == 1 else i, 0.5 * i) for i in range(120)]
+    right = [("hot" if i % 2 == 0 else None if i % 20 == 1 else f"k{i % 40}", None if i % 5 == 0 else -i) for i in range(90)]
+    # Equal rows, and a key whose values are all missing.
+    left, right = left + left[:40] + [("none", None, 1.0)] * 2, right + right[:9] + [("none", 1)] * 3
+    a = spark.createDataFrame(left, "k string, n int, x double").repartition(3)
+    b = spark.createDataFrame(right, "k string, v long").repartition(4)
+    found = skew.pair_sums(a, b, ["k"], "pairs", {"ns": "n", "xs": "x"}, {"vs": "v"})
+    joined = a.join(b, "k").groupBy("k").agg(
+        F.count("*").alias("pairs"), F.sum("n").alias("ns"), F.sum("x").alias("xs"), F.sum("v").alias("vs")
+    )
+    assert found.dtypes == joined.dtypes and rows(found) == rows(joined)
+    assert ("none", 6, None, 6.0, 6) in rows(found)
+
+
+def test_the_query_of_hot_keys_never_forms_their_pairs(spark, tmp_path):
+    size = 300_000
+    numbers = spark.range(size)
+    numbers.selectExpr("id AS o_orderkey", "id AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    numbers.selectExpr("id AS c_custkey", "1 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    found = QUERIES["join_hot_key"](spark, str(tmp_path))
+    hot = size // 3
+    assert rows(found.where("k = 0")) == [(0, hot * hot, 3 * (hot * (hot - 1) // 2) * hot, hot * hot)]
+    assert found.count() == 1 + (size - hot)
+
+
 # Fingerprints
 
 
