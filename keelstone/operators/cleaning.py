@@ -99,8 +99,9 @@ class Counted:
     """A cleaned frame with counts of what its cleaning did, carried as data.
 
     Every row kept knows how many rows it stands for, and the rows with missing
-    keys are reduced to one row that counts them; all of this goes through the
-    one aggregate that removes the duplicates. The counts are sums over the
+    keys are reduced to a number beside the row without a key; all of this goes
+    through the one aggregate that removes the duplicates. Nothing but the keys
+    groups it, so a single one is all that its sorts compare. The counts are sums over the
     staged result. So they follow the rules of data: the output of a map task
     that runs again replaces the first one, while an accumulator before the
     shuffle would add it twice.
@@ -117,25 +118,28 @@ class Counted:
         self._lock = Lock()
 
     def _reduced(self) -> DataFrame:
-        """Rows of `df` with `_lost` and `_copies`; a lost row has no other value."""
-        flagged = self._df.withColumn("_lost", self._lost)
+        """Rows of `df` with `_copies`, none in a row not kept, and the `_dropped` lost ones beside them."""
+        flagged, lost = self._df.withColumn("_lost", self._lost), F.col("_lost")
         if self._keys is None:
             # Nothing is shuffled but the count of the lost rows.
-            kept = flagged.where(~F.col("_lost")).withColumn("_copies", F.lit(1).cast("long"))
-            count = flagged.where("_lost").agg(F.count(F.lit(1)).alias("_copies"))
+            none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+            kept = flagged.where(~lost).drop("_lost").withColumns({"_copies": one, "_dropped": none})
+            count = flagged.where(lost).agg(F.count(F.lit(1)).alias("_dropped"))
             nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self._df.schema]
-            return kept.union(count.select(*nothing, F.lit(True), "_copies").where("_copies > 0"))
+            return kept.union(count.select(*nothing, none, "_dropped").where("_dropped > 0"))
         keys = _required(self._keys)
         rest = [c for c in self._columns if c not in keys]
-        keep = lambda c: F.when(~F.col("_lost"), column(c)).alias(c)
-        narrowed = flagged.select(*[keep(c) for c in self._columns], "_lost")
-        first = F.min(F.struct(*[column(c) for c in rest])) if rest else F.lit(None)
-        groups = narrowed.groupBy("_lost", *[column(k) for k in keys]).agg(
-            first.alias("_first"), F.count(F.lit(1)).alias("_copies")
+        # A lost row has no key, and no values to be the first of.
+        narrowed = flagged.select(
+            *[F.when(~lost, column(k)).alias(k) for k in keys], *[column(c) for c in rest], "_lost"
+        )
+        first = F.min(F.when(~lost, F.struct(*[column(c) for c in rest]))) if rest else F.lit(None)
+        groups = narrowed.groupBy(*[column(k) for k in keys]).agg(
+            first.alias("_first"), F.count_if(~lost).alias("_copies"), F.count_if(lost).alias("_dropped")
         )
         inner = {c: F.col("_first").getField(c).alias(c) for c in rest}
         return groups.select(
-            *[inner[c] if c in inner else column(c) for c in self._columns], "_lost", "_copies"
+            *[inner[c] if c in inner else column(c) for c in self._columns], "_copies", "_dropped"
         )
 
     @property
@@ -149,15 +153,15 @@ class Counted:
     @property
     def frame(self) -> DataFrame:
         """The cleaned rows."""
-        return self.staged.where(~F.col("_lost")).select([column(c) for c in self._columns])
+        return self.staged.where("_copies > 0").select([column(c) for c in self._columns])
 
     def counts(self) -> dict[str, int]:
         """rows_in, missing_dropped, duplicates_dropped, rows_out."""
-        lost, copies, one = F.col("_lost"), F.col("_copies"), F.lit(1)
+        lost, copies = F.col("_dropped"), F.col("_copies")
         found = self.staged.agg(
-            F.sum(copies).alias("rows_in"), F.sum(F.when(lost, copies)).alias("missing_dropped"),
-            F.sum(F.when(~lost, copies - one)).alias("duplicates_dropped"),
-            F.count_if(~lost).alias("rows_out"),
+            F.sum(copies + lost).alias("rows_in"), F.sum(lost).alias("missing_dropped"),
+            F.sum(F.when(copies > 0, copies - F.lit(1))).alias("duplicates_dropped"),
+            F.count_if(copies > 0).alias("rows_out"),
         ).first()
         return {name: value or 0 for name, value in found.asDict().items()}
 

@@ -11,7 +11,7 @@ as if it had not begun, and no file is ever loaded twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -119,14 +119,6 @@ def _merge(
     ).select(star.ARRIVAL_COLUMNS)
     if settings.arrivals_format.lower() not in batch.COLUMNAR_FORMATS:
         raw = scratch.stage(raw, "arrivals")
-    new = cleaning.Counted(raw, ["i94cit"], ["cicid"], "new-arrivals").frame.select("*", _month())
-    old = _Table(spark, settings.output, CLEANED, new)
-    on = F.col("cicid").eqNullSafe(F.col("_cicid"))
-    ids = new.select(F.col("cicid").alias("_cicid"))
-    # Rows in use that a new row may replace.
-    rivals = scratch.stage(old.rows.join(ids, on, "left_semi"), "rivals")
-    both = new.union(rivals)
-    winners = scratch.stage(cleaning.keep_first(both, ["cicid"]), "winners")
 
     def write(table: star.Table, rows: DataFrame, touched: Sequence, used: _Table) -> DataFrame:
         return publication.write(
@@ -134,26 +126,47 @@ def _merge(
             replace=PARTITIONS, covers=used.folders(touched), may_be_empty=used.there,
         ).table
 
-    months = _values(both, CLEANED.partition_by)
-    touched = _among(CLEANED.partition_by, months)
-    stay = old.rows.where(touched).join(ids, on, "left_anti")
-    cleaned = write(CLEANED, stay.union(winners), months, old)
-    everything = old.rows.where(~touched).union(cleaned)
-
-    for table, source, build in (
-        (star.FACT, "visatype", lambda df: star.immigration_fact(df, stable_id=True)),
-        (star.PERSONS, "i94mode", lambda df: star.person_details(cleaning.drop_missing(df, ["fltno"]))),
-    ):
-        values = _values(both, source)
-        rows = build(everything.where(_among(source, values)))
-        write(table, rows, values, _Table(spark, settings.output, table, rows))
-
-    arrived = star.arrival_dates(raw, settings.distinct_dates)
-    used = _Table(spark, settings.output, star.DATES, arrived)
-    years = _values(arrived, star.DATES.partition_by)
-    rows = used.rows.where(_among(star.DATES.partition_by, years)).union(arrived)
-    write(star.DATES, rows.distinct() if settings.distinct_dates else rows, years, used)
+    def fact_and_persons() -> None:
+        new = cleaning.Counted(raw, ["i94cit"], ["cicid"], "new-arrivals").frame.select("*", _month())
+        old = _Table(spark, settings.output, CLEANED, new)
+        on = F.col("cicid").eqNullSafe(F.col("_cicid"))
+        ids = new.select(F.col("cicid").alias("_cicid"))
+        both = winners = new
+        stay = old.rows
+        if old.there:
+            # Rows in use that a new row may replace. Without any, the new rows are one per cicid already.
+            rivals = scratch.stage(old.rows.join(ids, on, "left_semi"), "rivals")
+            if not rivals.isEmpty():
+                both = new.union(rivals)
+                winners = cleaning.keep_first(both, ["cicid"])
+                stay = old.rows.join(ids, on, "left_anti")
+        months = _values(both, CLEANED.partition_by)
+        touched = _among(CLEANED.partition_by, months)
+        cleaned = write(CLEANED, stay.where(touched).union(winners), months, old)
+        everything = old.rows.where(~touched).union(cleaned)
+
+        def derived(table: star.Table, source: str, build: Callable[[DataFrame], DataFrame]) -> None:
+            values = _values(both, source)
+            rows = build(everything.where(_among(source, values)))
+            write(table, rows, values, _Table(spark, settings.output, table, rows))
+
+        def persons(df: DataFrame) -> DataFrame:
+            return star.person_details(cleaning.drop_missing(df, ["fltno"]))
+
+        batch._side_by_side(
+            spark,
+            lambda: derived(star.FACT, "visatype", lambda df: star.immigration_fact(df, stable_id=True)),
+            lambda: derived(star.PERSONS, "i94mode", persons),
+        )
+
+    def arrival_dates() -> None:
+        arrived = star.arrival_dates(raw, settings.distinct_dates)
+        used = _Table(spark, settings.output, star.DATES, arrived)
+        years = _values(arrived, star.DATES.partition_by)
+        rows = used.rows.where(_among(star.DATES.partition_by, years)).union(arrived)
+        write(star.DATES, rows.distinct() if settings.distinct_dates else rows, years, used)
 
+    batch._side_by_side(spark, fact_and_persons, arrival_dates)
     known = {**loaded_files(spark, settings.output), **fresh}
     listed = spark.createDataFrame(sorted(known.items()), LOADED_SCHEMA)
     publication.write(listed.coalesce(1), LOADED_FOLDER, replace=TABLE)

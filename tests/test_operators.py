@@ -273,6 +273,24 @@ def test_counts_are_data(spark):
         assert set(counts.values()) == {0} and frame.count() == 0
 
 
+def test_rows_without_a_key_and_lost_rows_are_told_apart(spark):
+    data = [(None, "b", 1), (None, "a", None), (None, None, 0), (1.0, None, 0), (2.0, None, 5), (1.0, "c", None), (1.0, "c", 7)]
+    df = spark.createDataFrame(data, "k double, x string, n int")
+    counts, frame = _counts(df, ["x"], ["k"])
+    assert counts == {"rows_in": 7, "missing_dropped": 3, "duplicates_dropped": 2, "rows_out": 2}
+    assert rows(frame) == rows([(None, "a", None), (1.0, "c", None)])
+    # All rows are lost: no key is left, not even NULL.
+    counts, frame = _counts(df.where("x is null"), ["x"], ["k"])
+    assert counts == {"rows_in": 3, "missing_dropped": 3, "duplicates_dropped": 0, "rows_out": 0} and frame.count() == 0
+
+
+def test_counted_cleaning_sorts_by_its_key_alone(spark):
+    df = spark.range(50).selectExpr("double(id % 9) AS k", "string(id) AS x")
+    plan = final_plan(cleaning.Counted(df, ["k"], ["k"])._reduced())
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert sorts and all(line.count(" ASC") == 1 for line in sorts)
+
+
 def test_counts_when_a_map_task_runs_again(spark, settings, tmp_path, monkeypatch):
     """One map output is lost after its task has ended; the map task runs again for the later readers."""
     settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="40")

@@ -63,6 +63,26 @@ def test_step_by_step_equals_all_at_once(spark, tmp_path, distinct):
     assert refresh.refresh(spark, once) == paths and tables(spark, once) == wanted
 
 
+def test_rows_without_a_rival_are_deduplicated_once(spark, tmp_path, monkeypatch):
+    def row(cicid, mode):
+        return (cicid, 1.0, 1.0, "A", 20600.0 + (cicid or 0), None, mode, None, 1.0, "M", "1", "M", "B1", 1.0)
+
+    paths = []
+    for name, data in (("a", [row(1.0, 1.0), row(1.0, 2.0), row(None, 1.0)]), ("b", [row(2.0, 1.0), row(2.0, 1.0)])):
+        paths.append(f"{tmp_path}/{name}")
+        spark.createDataFrame(data, SCHEMA).write.parquet(paths[-1])
+    chosen = settings(paths, tmp_path / "t")
+
+    def fail(*_):
+        raise AssertionError("all rows are aggregated again")
+
+    monkeypatch.setattr(refresh.cleaning, "keep_first", fail)
+    refresh.refresh(spark, replace(chosen, arrivals=paths[:1]))
+    refresh.refresh(spark, chosen)
+    dates, fact, persons = tables(spark, chosen)
+    assert len(dates) == 5 and sorted(r[1] or 0 for r in fact) == [0, 1, 2] and len(persons) == 3
+
+
 def test_only_touched_partitions_are_written(spark, tmp_path):
     paths = months(spark, tmp_path, n=12)
     chosen = settings(paths, tmp_path / "t")
