@@ -24,6 +24,8 @@ and components are built; then lists that still hold several components are
 scanned in full, but a pair is put out only if it lies in two components and
 its bitmaps (whose Hamming distance is at most the number of elements that
 differ) do not rule it out. Copies by the thousand thus never become pairs.
+Such a bitmap is full for sets of thousands of elements, so pairs of large sets are then
+compared by bitmaps that grow with the sets. Hashes are only shuffled for the pairs left.
 
 Defined cases: NULL, empty or blank texts have an empty set and link with
 nothing. Equal rows stay rows of the result. Rows of one id are in one component, and each of
@@ -49,6 +51,7 @@ from keelstone.operators.lookup import fits_broadcast
 from keelstone.scratch import drop
 
 BITMAP_WORDS = 16  # 1,024 bits
+LARGE_SET = 1365  # elements of which 1,024 bits are too few
 CLASS_RATIO = 1.25
 LIGHT_CHOICES = (0, 1, 2)  # elements left out of light subsets
 ROW_COST = 1.0  # a shuffled row, the unit of cost
@@ -200,6 +203,22 @@ def bitmaps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(flat.astype(np.uint8).reshape(bits.shape), axis=1).view(np.int64)
 
 
+def large_bitmap(values: np.ndarray) -> bytes:
+    """Parity bitmap of one set: a power of two of bits, at least 3 for 4 elements."""
+    size = 1 << (3 * len(values) // 4).bit_length()
+    flags = np.bincount((mix(values) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(flags.astype(np.uint8)).tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two large bitmaps differ; the longer one is folded to the shorter."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        half = len(y) // 2
+        y = y[:half] ^ y[half:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, f1, f2): set size and fingerprint of every document."""
 
@@ -282,23 +301,36 @@ def _keys(docs: DataFrame, k: int, classes: Sizes) -> DataFrame:
 
 
 def _members(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, hashes, bits) of the documents given."""
+    """(id, n, bits, large) of the documents given; `large` is NULL for sets that `bits` suffice for."""
 
     def work(block):
         values, sizes = shingle_sets(block.column(1), k)
         bits = bitmaps(values, sizes)
+        ends = np.cumsum(sizes)
+        large = [large_bitmap(values[e - n : e]) if n > LARGE_SET else None for n, e in zip(sizes, ends)]
         return pa.RecordBatch.from_arrays(
             [
                 block.column(0), pa.array(sizes.astype(np.int64)),
-                lists(pa.array(signed(values)), sizes),
                 lists(pa.array(bits.reshape(-1)), np.full(len(sizes), BITMAP_WORDS)),
+                pa.array(large, pa.binary()),
             ],
-            ["id", "n", "hashes", "bits"],
+            ["id", "n", "bits", "large"],
         )
 
-    return map_blocks(
-        docs, "text", work, "id bigint, n bigint, hashes array<bigint>, bits array<bigint>"
-    )
+    return map_blocks(docs, "text", work, "id bigint, n bigint, bits array<bigint>, large binary")
+
+
+def _hashes(docs: DataFrame, k: int) -> DataFrame:
+    """(id, n, hashes) of the documents given."""
+
+    def work(block):
+        values, sizes = shingle_sets(block.column(1), k)
+        return pa.RecordBatch.from_arrays(
+            [block.column(0), pa.array(sizes.astype(np.int64)), lists(pa.array(signed(values)), sizes)],
+            ["id", "n", "hashes"],
+        )
+
+    return map_blocks(docs, "text", work, "id bigint, n bigint, hashes array<bigint>")
 
 
 def _may_link(percent: int) -> Column:
@@ -313,29 +345,48 @@ def _may_link(percent: int) -> Column:
     )
 
 
-def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that link, by their whole sets.
+def _side(rows: DataFrame, x: str, *columns: str) -> DataFrame:
+    return rows.select(F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}{x}") for c in columns])
 
-    Sizes and bitmaps rule out most pairs; only the sets of the others, which
-    are far fewer, meet in full.
+
+def _not_apart(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that the bitmaps of large sets do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            la, lb = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
+            total = batch.column("na").to_numpy(False) + batch.column("nb").to_numpy(False)
+            kept = [
+                i for i, (x, y) in enumerate(zip(la, lb))
+                if x is None or y is None or (100 + percent) * bits_apart(x, y) <= (100 - percent) * total[i]
+            ]
+            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    large = members.where("large is not null")
+    met = pairs.join(_side(large, "a", "n", "large"), "a", "left")
+    met = met.join(_side(large, "b", "n", "large"), "b", "left")
+    return met.select("a", "b", "na", "nb", "la", "lb").mapInArrow(run, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) that link, by their whole sets; a staged table.
+
+    Bitmaps rule out most pairs; only the sets of the others, which are far
+    fewer, are made again and meet in full.
     """
-    def side(rows: DataFrame, x: str, *columns: str) -> DataFrame:
-        return rows.select(F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}{x}") for c in columns])
-
-    few = ("n", "bits")
-    likely = stage(
-        pairs.join(side(members, "a", *few), "a").join(side(members, "b", *few), "b")
-        .where(_may_link(percent)).select("a", "b"),
-        "likely",
-    )
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = members.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "id", "left_semi")
+    likely = stage(_not_apart(pairs, members, percent), "likely")
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    sets = stage(_hashes(docs.join(wanted, "doc_id", "left_semi"), k), "hashes")
     common = F.size(F.array_intersect("ha", "hb"))
-    return (
-        likely.join(side(sets, "a", "n", "hashes"), "a").join(side(sets, "b", "n", "hashes"), "b")
+    links = stage(
+        likely.join(_side(sets, "a", "n", "hashes"), "a").join(_side(sets, "b", "n", "hashes"), "b")
         .where(100 * common >= percent * (F.col("na") + F.col("nb") - common))
-        .select("a", "b")
+        .select("a", "b"),
+        "links",
     )
+    drop(likely, sets)
+    return links
 
 
 def jaccard_components(
@@ -383,7 +434,16 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     largest = leaders.agg(F.max("n")).first()[0] or 0
     classes = Sizes(percent, choose_light(histogram, percent), int(largest))
 
-    lead_docs = docs.join(leaders.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    lead_ids = leaders.select(F.col("id").alias("doc_id"))
+    copies = stage(
+        sets.where("n > 0 and doc_id is not null").select("doc_id").join(lead_ids, "doc_id", "left_anti"),
+        "copies",
+    )
+    if fits_broadcast(copies):
+        # Texts stay where they are.
+        lead_docs = docs.where("doc_id is not null").join(F.broadcast(copies), "doc_id", "left_anti")
+    else:
+        lead_docs = docs.join(lead_ids, "doc_id", "left_semi")
     rows = _keys(lead_docs, k, classes).select("id", F.explode("keys").alias("key"))
     in_key = Window.partitionBy("key").orderBy("id")
     listed = stage(
@@ -392,7 +452,7 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
             F.lag("id").over(in_key).alias("before"),
             F.lead("id").over(in_key).alias("after"),
             F.first("id").over(in_key).alias("head"),
-        ).where("before <> id or after <> id"),
+        ).where("before <> id or after <> id").drop("after"),
         "lists",
     )
     members = stage(
@@ -415,7 +475,12 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
         counted.groupBy("b", "x.kind")
         .agg(F.max_by("x.a", F.struct("count", -F.col("x.a"))).alias("a")).select("a", "b").distinct()
     )
-    first_links = stage(_verified(first_pairs, members, percent), "first_links")
+    small = members.select("id", "n", "bits")
+    first_pairs = (
+        first_pairs.join(_side(small, "a", "n", "bits"), "a").join(_side(small, "b", "n", "bits"), "b")
+        .where(_may_link(percent)).select("a", "b")
+    )
+    first_links = _verified(first_pairs, members, docs, k, percent)
     found = components(first_links)
 
     # Lists that still hold several components are scanned in full.
@@ -425,7 +490,6 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where(
         "p <> q"
     ).select("key")
-    small = members.select("id", "n", "bits")
     open_rows = stage(
         placed.join(mixed, "key", "left_semi").join(small, "id"), "open_lists"
     )
@@ -439,9 +503,9 @@ def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
                & _may_link(percent))
         .select("a", "b").distinct()
     )
-    links = stage(_verified(pairs, members, percent).union(first_links), "links")
+    links = _verified(pairs, members, docs, k, percent).union(first_links)
     # Only the links are read from here on.
-    drop(listed, members, open_rows, first_links)
+    drop(listed, members, open_rows, copies)
     final = components(links)
     of_leader = (
         leaders.join(final, "id", "left")

@@ -65,6 +65,39 @@ def test_bitmaps_bound_the_difference():
     assert differ <= len(np.setxor1d(a, b))
 
 
+def test_large_bitmaps_bound_the_difference():
+    r = np.random.default_rng(0)
+    a, other = (np.unique(r.integers(0, 2**63, 5000).astype(np.uint64)) for _ in range(2))
+    b = np.unique(np.concatenate((a[:2000], other[:600])))  # its bitmap is half as long
+    x, y, z = map(ngram_join.large_bitmap, (a, b, other))
+    assert len(x) == 2 * len(y)
+    assert ngram_join.bits_apart(x, x) == 0
+    assert 0 < ngram_join.bits_apart(x, y) == ngram_join.bits_apart(y, x) <= len(np.setxor1d(a, b))
+    # Sets without a common element are told apart at a similarity of 0.8.
+    assert 180 * ngram_join.bits_apart(x, z) > 20 * (len(a) + len(other))
+
+
+def test_hashes_of_large_unlike_sets_are_not_compared(spark, monkeypatch):
+    """Large documents share cells by chance; as pairs they would grow with the square of their number."""
+    real, staged = ngram_join.stage, []
+
+    def counted(df, label):
+        staged.append((label, real(df, label)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    common = " ".join(f"c{j}" for j in range(300))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(3000)) + " " + common) for i in range(24)]
+    rows.append((100, rows[3][1] + " more"))
+    likely = []
+    monkeypatch.setattr(
+        ngram_join, "drop", lambda *tables: likely.extend(t.count() for label, t in staged if label == "likely")
+    )
+    found = ngram_join.jaccard_components(helpers.docs(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 3 if i == 100 else i for i, _ in rows}
+    assert max(likely) == 1
+
+
 def test_join_edge_cases(spark):
     rows = [
         (1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "one two three"),
