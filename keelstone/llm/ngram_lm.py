@@ -10,9 +10,10 @@ block. Its size follows the text: `BITS_PER_BYTE` bits for every byte trained on
 so the rate of false positives does not change with the input.
 
 A filter of up to `BROADCAST_BYTES` is broadcast and probed where the texts are.
-A larger one stays a table: the distinct n-grams of every text go to their
-buckets, and the levels found there come back to the text. The scores are the
-same either way.
+A larger one stays a table: texts are dealt out in blocks of `TEXT_BYTES`, the distinct
+n-grams of a block go to their buckets as packed marks, and the levels found there, a
+byte each in the same order, meet the block's texts again. The scores are the same
+either way.
 
 Probabilities are smoothed by the next lower order as a prior of weight `PRIOR`:
 P(w | u) = (min(c(uw), c(u)) + PRIOR * P(w)) / (c(u) + PRIOR), with add-one
@@ -40,7 +41,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from keelstone.llm.counting import bucket_of, deal, gather
 from keelstone.llm.shared import stage
-from keelstone.llm.words import Words, lists, mix, signed, split_block, text_bytes
+from keelstone.llm.words import BLOCK_BYTES, Words, lists, mix, signed, split_block, text_bytes
+from keelstone.scratch import drop
 
 ORDER = 2
 PRIOR = 500.0
@@ -52,6 +54,8 @@ PROBES = 4
 BITS_PER_BYTE = 0.6
 BROADCAST_BYTES = 128 * 1024 * 1024
 COMMON = 262_144
+# Text bytes of a block that looks its n-grams up together.
+TEXT_BYTES = 8 * 1024 * 1024
 # Text bytes for each bucket of exact counts.
 BUCKET_BYTES = 4 * 1024 * 1024
 
@@ -246,10 +250,10 @@ SCORED = (
 )
 
 
-def _scorer(order: int, total: int, distinct: int, common, lookup: Callable) -> Callable:
-    """Score blocks of (row, doc_id, text, ...); `lookup(block)` gives the levels of n-grams."""
+def _scorer(order: int, total: int, distinct: int, common) -> Callable:
+    """Score a block of (row, doc_id, text, ...); `levels` looks n-grams up."""
 
-    def work(block: pa.RecordBatch) -> pa.RecordBatch:
+    def work(block: pa.RecordBatch, levels: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
         own = Tokens(block.column("text"))
         keys, times = common.value
         ids, row = own.ids[own.counted], own.row[own.counted]
@@ -270,75 +274,138 @@ def _scorer(order: int, total: int, distinct: int, common, lookup: Callable) ->
             "n_tokens": pa.array(np.bincount(row, minlength=own.rows).astype(np.int64)),
             "n_known": pa.array(np.bincount(row[found], minlength=own.rows).astype(np.int64)),
             "base": pa.array(np.bincount(row, logs, own.rows)),
-            "score": pa.array(_log_p(own, order, total, distinct, lookup(block))),
+            "score": pa.array(_log_p(own, order, total, distinct, levels)),
             "rest": lists(pa.array(signed(rest[first])), lengths),
             "rest_times": lists(pa.array(counts), lengths),
         })
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in split_block(batch, "text"):
-                yield work(block)
+    return work
 
-    return run
 
+def _scored_by_broadcast(texts: DataFrame, model: Model, work: Callable) -> DataFrame:
+    bits, buckets = texts.sparkSession.sparkContext.broadcast(filter_of(model)), model.buckets
 
-def _broadcast_levels(bits, buckets: int) -> Callable:
     def levels(keys: np.ndarray) -> np.ndarray:
         return probe(bits.value, bucket_of(keys, buckets) * BUCKET_BITS, _mark(keys))
 
-    return lambda block: levels
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in split_block(batch, "text"):
+                yield work(block, levels)
 
+    return texts.mapInArrow(run, SCORED)
 
-def _with_levels(texts: DataFrame, model: Model) -> DataFrame:
-    """`texts` with the n-grams that each holds and their levels, looked up in the filter's table."""
-    order, buckets = model.order, model.buckets
 
-    def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in split_block(batch, "text"):
-                own = Tokens(block.column("text"))
-                numbers = block.column("row").to_numpy()
-                for keys in own.grams(order):
-                    # Distinct n-grams of every text, by bucket.
-                    sort = np.lexsort((keys, own.row))
-                    keys, row = keys[sort], own.row[sort]
-                    new = np.ones(len(keys), dtype=bool)
-                    new[1:] = (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])
-                    keys, row = keys[new], row[new]
-                    yield pa.record_batch({
-                        "bucket": pa.array(bucket_of(keys, buckets).astype(np.int32)),
-                        "row": pa.array(numbers[row]), "key": pa.array(signed(keys)),
-                    })
+def _blocks(texts: DataFrame) -> DataFrame:
+    """(block, row, doc_id, text) of (row, doc_id, text): runs of rows of about `TEXT_BYTES` of text."""
+    limit = TEXT_BYTES
 
-    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = None, 0
         for batch in batches:
-            for bits, rows, keys in zip(batch.column("bits"), batch.column("rows"), batch.column("keys")):
-                keys = keys.values.to_numpy().view(np.uint64)
-                found = probe(np.frombuffer(bits.as_buffer(), np.uint8), 0, _mark(keys))
-                yield pa.record_batch({
-                    "row": rows.values, "key": pa.array(signed(keys)), "level": pa.array(found.astype(np.int32)),
-                })
-
-    asked = texts.select("row", "text").mapInArrow(grams, "bucket int, row long, key long")
-    # A bucket meets its n-grams in portions, so that no row grows with the table.
-    portion = F.pmod(F.xxhash64("row"), F.lit(64))
-    asked = asked.groupBy("bucket", portion.alias("portion")).agg(
-        F.collect_list("row").alias("rows"), F.collect_list("key").alias("keys")
-    )
-    found = asked.join(model.filters, "bucket").select("bits", "rows", "keys").mapInArrow(
-        look_up, "row long, key long, level int"
-    )
-    per = found.groupBy("row").agg(F.collect_list("key").alias("keys"), F.collect_list("level").alias("levels"))
-    return texts.join(per, "row")
+            for part in split_block(batch, "text", min(limit, BLOCK_BYTES)):
+                if block is None or size >= limit:
+                    # The number of a block is that of its first row.
+                    block, size = part.column("row")[0].as_py(), 0
+                size += len(text_bytes(part.column("text"))[0])
+                yield pa.record_batch(
+                    [pa.array(np.full(len(part), block)), *(part.column(n) for n in ("row", "doc_id", "text"))],
+                    ["block", "row", "doc_id", "text"],
+                )
+
+    return texts.mapInArrow(run, "block long, row long, doc_id long, text string")
+
+
+def _known(batches: Iterable[pa.RecordBatch], order: int) -> np.ndarray:
+    """Distinct n-grams of texts, in order."""
+    blocks = (block for batch in batches for block in split_block(batch, "text"))
+    return np.unique(np.concatenate([
+        np.unique(np.concatenate(Tokens(block.column("text")).grams(order))) for block in blocks
+    ]))
+
+
+def _asked(blocks: DataFrame, model: Model) -> DataFrame:
+    """(block, piece, bucket, marks): marks of the distinct n-grams of a piece, in order of the n-grams.
 
+    A piece is what a task reads of a block in one go, rows with consecutive
+    numbers; its name is the first of them. Texts thus stay where they are.
+    """
+    order, buckets = model.order, model.buckets
+
+    def packed(block: int, piece: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys = _known(parts, order)
+        bucket, marks = bucket_of(keys, buckets), _mark(keys).astype("<u4")
+        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        return pa.record_batch({
+            "block": pa.array(np.full(len(cuts) - 1, block)), "piece": pa.array(np.full(len(cuts) - 1, piece)),
+            "bucket": pa.array(bucket[cuts[:-1]].astype(np.int32)),
+            "marks": pa.array([marks[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+        })
 
-def _listed_levels(block: pa.RecordBatch) -> Callable:
-    keys = block.column("keys").flatten().to_numpy().view(np.uint64)
-    found = block.column("levels").flatten().to_numpy()
-    keys, first = np.unique(keys, return_index=True)
-    found = found[first]
-    return lambda wanted: found[np.searchsorted(keys, wanted)]
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, block, piece, after = [], None, None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            of, row = batch.column("block").to_numpy(), batch.column("row").to_numpy()
+            cuts = 1 + np.flatnonzero((of[1:] != of[:-1]) | (row[1:] != row[:-1] + 1))
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+                if of[a] != block or row[a] != after:
+                    if parts:
+                        yield packed(block, piece, parts)
+                    parts, block, piece = [], of[a], row[a]
+                parts.append(batch.slice(a, b - a))
+                after = row[b - 1] + 1
+        if parts:
+            yield packed(block, piece, parts)
+
+    return blocks.select("block", "row", "text").mapInArrow(run, "block long, piece long, bucket int, marks binary")
+
+
+def _answered(asked: DataFrame, model: Model) -> DataFrame:
+    """(block, piece, bucket, levels): what the filter's table has for every mark, a byte each."""
+
+    def work(filters: pa.Table, rows: pa.Table) -> pa.Table:
+        out = []
+        for marks in rows["marks"]:
+            marks = np.frombuffer(marks.as_buffer(), "<u4")
+            # A bucket without a row has no n-grams of the training rows.
+            none = not len(filters)
+            found = np.zeros(len(marks)) if none else probe(
+                np.frombuffer(filters["bits"][0].as_buffer(), np.uint8), 0, marks
+            )
+            out.append(found.astype(np.uint8).tobytes())
+        return rows.select(["block", "piece", "bucket"]).append_column("levels", pa.array(out, pa.binary()))
+
+    pairs = model.filters.groupBy("bucket").cogroup(asked.groupBy("bucket"))
+    return pairs.applyInArrow(work, "block long, piece long, bucket int, levels binary")
+
+
+def _scored_by_join(texts: DataFrame, model: Model, work: Callable) -> DataFrame:
+    order = model.order
+    blocks = stage(_blocks(texts), "blocks", compression="zstd")
+    answered = stage(_answered(_asked(blocks, model), model), "levels")
+
+    def pieces(group: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
+        group, answers = group.sort_by("row"), answers.sort_by([("piece", "ascending"), ("bucket", "ascending")])
+        first, at = np.unique(answers["piece"].to_numpy(), return_index=True)
+        cuts = [*np.searchsorted(group["row"].to_numpy(), first).tolist(), len(group)]
+        at = [*at.tolist(), len(answers)]
+        for i in range(len(first)):
+            batches = group.slice(cuts[i], cuts[i + 1] - cuts[i]).to_batches()
+            found = b"".join(answers["levels"].slice(at[i], at[i + 1] - at[i]).to_pylist())
+            keys, found = _known(batches, order), np.frombuffer(found, np.uint8)
+            for batch in batches:
+                for block in split_block(batch, "text"):
+                    yield work(block, lambda wanted: found[np.searchsorted(keys, wanted)])
+
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(pieces(group, answers))
+
+    pairs = blocks.groupBy("block").cogroup(answered.groupBy("block"))
+    scored = stage(pairs.applyInArrow(run, SCORED), "scores")
+    drop(blocks, answered)
+    return scored
 
 
 def score(docs: DataFrame, model: Model, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -348,13 +415,11 @@ def score(docs: DataFrame, model: Model, broadcast_bytes: int = BROADCAST_BYTES)
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    common = context.broadcast(model.common)
+    work = _scorer(model.order, model.tokens, model.distinct, context.broadcast(model.common))
     if model.buckets * BUCKET_BITS // 8 <= broadcast_bytes:
-        lookup = _broadcast_levels(context.broadcast(filter_of(model)), model.buckets)
+        scored = stage(_scored_by_broadcast(texts, model, work), "scores")
     else:
-        texts, lookup = _with_levels(stage(texts, "texts"), model), _listed_levels
-    scorer = _scorer(model.order, model.tokens, model.distinct, common, lookup)
-    scored = stage(texts.mapInArrow(scorer, SCORED), "scores")
+        scored = _scored_by_join(texts, model, work)
     # Tokens that are not among the common ones get their exact counts by a join.
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "rest_times")).alias("of")).select(
         "row", F.col("of.rest").alias("key"), F.col("of.rest_times").alias("times")

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from keelstone import scratch
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write `df` once in the shared folder and return the written table."""
-    return scratch.stage(df, label)
+    return scratch.stage(df, label, **options)
 
 
 def repeated_ids(docs: DataFrame) -> bool:

@@ -41,8 +41,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{_own_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once as Parquet and return the written table.
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write `df` once as Parquet, with the writer's `options`, and return the written table.
 
     Use it where several later jobs need the same expensive frame: the
     lineage ends at the files, so a lost executor costs a re-read and not a
@@ -51,7 +51,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, label)
     with _shuffles_removed(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     _folders[table] = path
     return table

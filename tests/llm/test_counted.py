@@ -150,6 +150,39 @@ def test_lm_equals_brute_force(spark, monkeypatch, order, broadcast):
         assert r.score == pytest.approx(score, rel=1e-9)
 
 
+def test_lm_asks_for_the_ngrams_of_a_block_once(spark, monkeypatch):
+    """What is shuffled follows the distinct n-grams of a block and not those of each text."""
+    monkeypatch.setattr(ngram_lm, "BITS_PER_BYTE", 60.0)
+    verse = shuffled_words(1, 300)
+    df = helpers.docs(spark, [(i, f"{verse} own{i % 5}") for i in range(400)]).coalesce(1)
+    model = ngram_lm.learn(df, F.col("doc_id") % 7 != 2)
+    texts = df.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    asked = ngram_lm._asked(ngram_lm._blocks(texts), model).collect()
+    distinct = {g for t in (f"{verse} own{i}" for i in range(5)) for n in (1, 2)
+                for w in [["<", *helpers.words(t), ">"]] for g in zip(*(w[j:] for j in range(n)))}
+    # One more: the places of a text that no bigram ends at.
+    assert sum(len(r.marks) // 4 for r in asked) == len(distinct) + 1
+    assert len({(r.block, r.bucket) for r in asked}) == len(asked)
+
+
+@pytest.mark.parametrize("rows_a_file", ["1", "7", "0"])
+def test_lm_blocks_may_be_read_in_pieces(spark, settings, monkeypatch, rows_a_file):
+    """Parts of a block that several tasks read, in any order, are looked up one by one."""
+    settings(spark__sql__files__maxRecordsPerFile=rows_a_file, spark__sql__files__maxPartitionBytes="20000")
+    monkeypatch.setattr(ngram_lm, "TEXT_BYTES", 5000)
+    df = helpers.docs(spark, [(i, shuffled_words(i, 5 + 7 * i)) for i in range(60)] + [(99, None)]).repartition(3)
+    model = ngram_lm.learn(df, F.col("doc_id") % 3 != 0)
+    one, other = (sorted(map(tuple, ngram_lm.score(df, model, size).collect())) for size in (ngram_lm.BROADCAST_BYTES, 0))
+    assert one == other
+
+
+def test_lm_without_training_by_a_table(spark):
+    df = helpers.docs(spark, [(None, "a b"), (1, "a b"), (1, "c"), (1, None)])
+    model = ngram_lm.learn(df, F.lit(False))
+    one, other = (sorted(map(repr, ngram_lm.score(df, model, size).collect())) for size in (ngram_lm.BROADCAST_BYTES, -1))
+    assert one == other and len(one) == 4
+
+
 def test_lm_learns_from_context(spark):
     verse = "the quick brown fox jumps over the lazy dog"
     df = helpers.docs(spark, [(i, verse) for i in range(2000)] + [(5000, verse), (5001, "dog lazy the over jumps fox brown quick the")])
